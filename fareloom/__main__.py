@@ -29,14 +29,14 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--output-path", required=True)
         stream.add_argument("--checkpoint-location", required=True)
         stream.add_argument("--format", default="parquet", choices=("parquet", "delta"))
-        stream.add_argument("--max-bytes-per-trigger")
+        stream.add_argument("--max-bytes-per-trigger", type=int)
         stream.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "silver":
             stream.add_argument("--validation", default="off", choices=("off", "report", "fail"))
             stream.add_argument("--rebalance", action="store_true", help="shuffle for fewer, fuller files")
         if name == "gold":
             stream.add_argument("--input-path-weather", required=True)
-            stream.add_argument("--mode", default="stream", choices=jobs.GOLD_MODES)
+            stream.add_argument("--mode", default="table", choices=jobs.GOLD_MODES)
             stream.add_argument("--salts", type=int)
     return parser
 

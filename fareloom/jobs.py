@@ -25,7 +25,7 @@ from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_
 from fareloom.streaming.remembered import start_remembered_join
 from fareloom.streaming.sinks import EVERY_100_SECONDS, append_stream
 
-GOLD_MODES = ("stream", "bounded", "static", "table")
+GOLD_MODES = ("table", "stream", "bounded", "static")
 
 
 def run_enrich(spark: SparkSession, trips: str, zones: str, output: str, mode: str = "overwrite") -> None:
@@ -48,7 +48,7 @@ def run_bronze(
     schema: StructType = RAW,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Append arriving raw files to the bronze table: scan and write, no shuffle.
@@ -68,7 +68,7 @@ def run_silver(
     validation: str = "off",
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     rebalance: bool = False,
     wait: bool = True,
 ) -> StreamingQuery:
@@ -88,17 +88,17 @@ def run_gold(
     output: str,
     checkpoint: str,
     *,
-    mode: str = "stream",
+    mode: str = "table",
     salts: int | None = None,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Silver and weather to gold. The modes differ in what they remember:
 
-    ``stream``   both sides for good, in the state store; late weather still finds earlier trips
-    ``table``    the same rows as ``stream``, remembered in a written table instead of the state store
+    ``table``    both sides for good, in a written table; late weather still finds earlier trips
+    ``stream``   the same rows, remembered in the state store, which then grows with the trips
     ``bounded``  both sides up to the watermarks; later rows are ignored
     ``static``   nothing; weather as it is at the start, so each trip needs its weather to be there already
     """

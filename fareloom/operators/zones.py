@@ -3,15 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.operators.sizing import MAX_BROADCAST_BYTES, fits_broadcast
+from fareloom.operators.sizing import MAX_BROADCAST_BYTES, row_bytes
 from fareloom.schemas import ZONE_NAME_COLUMNS
 
 
 def one_name_per_zone(zones: DataFrame) -> DataFrame:
-    """``LocationID, Zone`` with each id once, so that no lookup can multiply trips.
-
-    Where an id is listed twice the row that comes last in the file wins, even if its name is null.
-    """
+    """``LocationID, Zone`` with each id once; the row that comes last in the file wins, even a null name."""
     return (
         zones.where(F.col("LocationID").isNotNull())
         .select("LocationID", F.struct("Zone").alias("name"), F.monotonically_increasing_id().alias("position"))
@@ -45,9 +42,23 @@ def add_zone_names(trips: DataFrame, zones: DataFrame, max_broadcast_bytes: int
     return _add(trips, zones, dict(zip(ZONE_NAME_COLUMNS, ("PULocationID", "DOLocationID"))), max_broadcast_bytes)
 
 
+def _names(zones: DataFrame, max_broadcast_bytes: int) -> tuple[DataFrame, bool]:
+    """The dimension with each id once, so that no lookup can multiply trips, and whether to broadcast it.
+
+    One small job looks at both. Ids that are unique already, the normal case, need no further step.
+    """
+    names = zones.where(F.col("LocationID").isNotNull()).select("LocationID", "Zone")
+    seen = names.agg(
+        F.coalesce(F.sum(row_bytes(names)), F.lit(0)).alias("bytes"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("LocationID").alias("ids"),
+    ).first()
+    unique = names if seen["rows"] == seen["ids"] else one_name_per_zone(zones)
+    return unique, seen["bytes"] <= max_broadcast_bytes
+
+
 def _add(trips: DataFrame, zones: DataFrame, roles: dict[str, str], max_broadcast_bytes: int) -> DataFrame:
-    names = one_name_per_zone(zones)
-    broadcast = fits_broadcast(names, max_broadcast_bytes)
+    names, broadcast = _names(zones, max_broadcast_bytes)
     kept = trips.drop(*roles)
     result = kept
     for name_column, id_column in roles.items():

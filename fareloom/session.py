@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -19,6 +20,8 @@ SETTINGS = {
     # Join state lives on disk and is checkpointed as changes, not as whole snapshots on the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the rows of the state costs a lookup per write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 
@@ -54,9 +57,20 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _located(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whichever file system the path names."""
+    file_system, location = _located(spark, path)
+    return file_system.exists(location)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        file_system, location = _located(spark, path)
+        file_system.delete(location, True)
     except Exception:  # the JVM may already be gone; a left-over scratch folder is harmless
         pass

@@ -16,7 +16,7 @@ def _ordered(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str, max_bytes_per_trigger: str | None
+    spark: SparkSession, path: str, schema: StructType, fmt: str, max_bytes_per_trigger: int | None
 ) -> DataFrame:
     reader = spark.readStream.format(fmt)
     if fmt == "parquet":
@@ -41,11 +41,11 @@ def stream_trips(
     path: str,
     schema: StructType = RAW,
     fmt: str = "parquet",
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Raw or bronze trips as they arrive in a folder.
 
-    ``max_bytes_per_trigger`` (for example ``"500g"``) cuts a large backlog into restartable batches.
+    ``max_bytes_per_trigger`` cuts a large backlog into restartable batches.
     """
     return _stream(spark, path, schema, fmt, max_bytes_per_trigger)
 
@@ -62,7 +62,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_silver(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_bytes_per_trigger: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """Silver trips as they are appended; ``vendor_id`` comes from the folder names, as text."""
     return _ordered(_stream(spark, path, SILVER, fmt, max_bytes_per_trigger), SILVER)

@@ -1,10 +1,10 @@
 """Weather joins between two streams, with the state spread so that no day is held by one task."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.days import trip_day
+from fareloom.session import path_exists
 
 
 def _nullable(salt: Column) -> Column:
@@ -68,10 +68,7 @@ def pinned_salts(spark: SparkSession, checkpoint: str, wanted: int | None) -> in
     Weather in the state is repeated that many times, so another number after a restart would lose rows.
     """
     path = f"{checkpoint.rstrip('/')}/salts"
-    try:
-        stored = spark.read.schema("salts int").json(path).first()
-    except AnalysisException:
-        stored = None
+    stored = spark.read.schema("salts int").json(path).first() if path_exists(spark, path) else None
     if stored:
         if wanted not in (None, stored["salts"]):
             raise ValueError(f"this checkpoint was started with {stored['salts']} salts, not {wanted}")

@@ -10,7 +10,6 @@ the pairs (trip, weather row) batch ``n`` emits those whose later member arrived
 
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +19,7 @@ from fareloom.functions.days import trip_day
 from fareloom.operators.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 from fareloom.operators.weather import to_gold
 from fareloom.schemas import GOLD, SILVER
+from fareloom.session import path_exists
 
 # One folder per kind and batch: one batch, or all weather, is read without listing the rest. Files are sorted
 # by day, so that new weather skips the row groups of other days.
@@ -39,12 +39,9 @@ def _one_stream(trips: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def _kept(spark: SparkSession, memory: str, folder: str) -> DataFrame:
-    try:
-        return spark.read.schema(_KEPT).option("basePath", memory).parquet(f"{memory}/{folder}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, f"{memory}/{folder}"):
         return spark.createDataFrame([], _KEPT)
+    return spark.read.schema(_KEPT).option("basePath", memory).parquet(f"{memory}/{folder}")
 
 
 def _of_days(trips: DataFrame, weather: DataFrame) -> DataFrame:
@@ -72,12 +69,15 @@ def start_remembered_join(
 ) -> StreamingQuery:
     """Start the join; gold rows go to ``path``, seen rows to ``memory``.
 
-    Every write replaces the folders of its own batch, so a batch that is repeated after a failure leaves the
-    same rows behind.
+    Every write replaces the folders of its own batch, so a batch that is cut off and repeated leaves the same
+    rows behind. A batch whose gold folder is complete is not written again; its readers keep their files.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        target = f"{path.rstrip('/')}/batch_id={batch_id}"
+        if path_exists(spark, f"{target}/_SUCCESS"):
+            return
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .sortWithinPartitions(*_FOLDERS, "day")
@@ -93,7 +93,7 @@ def start_remembered_join(
             earlier_trips = _kept(spark, memory, "kind=trip").where(F.col("batch_id") < batch_id)
             late = _pairs(_of_days(earlier_trips, new_weather), new_weather, max_broadcast_bytes)
             gold = gold.unionByName(late)
-        gold.write.mode("overwrite").partitionBy("vendor_id").parquet(f"{path}/batch_id={batch_id}")
+        gold.write.mode("overwrite").partitionBy("vendor_id").parquet(target)
 
     writer = _one_stream(trips, weather).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     if trigger:

@@ -1,0 +1,81 @@
+"""Zone lookups."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from fareloom.operators.zones import add_drop_off_zone, add_pickup_zone, add_zone_names, one_name_per_zone
+from fareloom.schemas import RAW, UNENRICHED
+from fareloom.sources.readers import read_zones
+from tests.conftest import frame, plan_of, raw_trips, rows_of, zone_table
+
+ZONES = [(1, "Airport"), (2, "Corner"), (3, "Corner"), (264, None)]
+
+
+def _names(df):
+    return [tuple(r) for r in df.orderBy("payment_type").select("pickup_location", "drop_off_location").collect()]
+
+
+def test_misses_nulls_and_unnamed_zones_keep_the_trip(spark):
+    ids = [(1, 2), (2, 3), (99, 1), (None, 264), (264, None)]
+    trips = raw_trips(
+        spark, [{"payment_type": i, "PULocationID": p, "DOLocationID": d} for i, (p, d) in enumerate(ids)]
+    )
+    result = add_zone_names(trips, zone_table(spark, ZONES))
+    assert _names(result) == [
+        ("Airport", "Corner"),
+        ("Corner", "Corner"),
+        (None, "Airport"),
+        (None, None),
+        (None, None),
+    ]
+    assert result.columns == RAW.fieldNames()
+
+
+def test_single_roles_append_one_column_after_the_input(spark):
+    trips = frame(spark, UNENRICHED, [{"PULocationID": 1, "DOLocationID": 2}])
+    zones = zone_table(spark, ZONES)
+    assert add_pickup_zone(trips, zones).columns == [*UNENRICHED.fieldNames(), "pickup_location"]
+    assert add_drop_off_zone(trips, zones).first()["drop_off_location"] == "Corner"
+
+
+def test_duplicate_ids_do_not_multiply_trips_and_the_last_row_wins(spark, folder):
+    path = folder("zones.csv")
+    with open(path, "w") as file:
+        file.write('"LocationID","Borough","Zone","service_zone"\n7,"A","First","x"\n7,"A","Last","x"\n')
+        file.write('8,"A","Named","x"\n8,"A","N/A","x"\n')
+    zones = read_zones(spark, path)
+    assert rows_of(one_name_per_zone(zones)) == [(7, "Last"), (8, None)]
+    trips = raw_trips(spark, [{"PULocationID": 7, "DOLocationID": 8}] * 3)
+    assert _names(add_zone_names(trips, zones)) == [("Last", None)] * 3
+
+
+def test_one_broadcast_serves_both_roles_and_trips_stay_put(spark, folder):
+    raw_trips(spark, [{"PULocationID": 1, "DOLocationID": 2}]).write.parquet(folder("trips"))
+    result = add_zone_names(spark.read.parquet(folder("trips")), zone_table(spark, ZONES))
+    result.collect()
+    final = plan_of(result).split("Initial Plan")[0]
+    assert final.count("BroadcastHashJoin") == 2
+    assert "ReusedExchange" in final and "SortMergeJoin" not in final
+
+
+def test_a_dimension_above_the_bound_is_not_broadcast_and_gives_the_same_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = raw_trips(spark, [{"PULocationID": i % 5, "DOLocationID": None} for i in range(50)])
+        zones = zone_table(spark, ZONES)
+        shuffled = add_zone_names(trips, zones, max_broadcast_bytes=0)
+        assert rows_of(shuffled) == rows_of(add_zone_names(trips, zones))
+        assert "BroadcastHashJoin" not in plan_of(shuffled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    trips=st.lists(st.tuples(st.none() | st.integers(0, 6), st.none() | st.integers(0, 6)), min_size=1, max_size=20),
+    names=st.dictionaries(st.integers(0, 6), st.none() | st.sampled_from(["a", "b"]), min_size=1),
+)
+def test_agrees_with_a_dictionary(spark, trips, names):
+    df = raw_trips(spark, [{"PULocationID": p, "DOLocationID": d} for p, d in trips])
+    result = add_zone_names(df, zone_table(spark, names.items())).select("pickup_location", "drop_off_location")
+    assert rows_of(result) == sorted(((names.get(p), names.get(d)) for p, d in trips), key=repr)
