@@ -10,6 +10,7 @@ from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="fareloom", description=__doc__)
+    parser.add_argument("--job-name", help="name of the Spark application")
     commands = parser.add_subparsers(dest="job", required=True)
 
     enrich = commands.add_parser("enrich", help="add zone names to raw trips (batch)")
@@ -43,13 +44,14 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
-    spark = get_session(f"fareloom-{args.job}")
+    spark = get_session(args.job_name or f"fareloom-{args.job}")
     if args.job == "enrich":
         return jobs.run_enrich(spark, args.input_path, args.zones_path, args.output_path)
     if args.job == "catalog":
         jobs.run_catalog(spark, args.input_path, args.output_path, args.database, args.table)
         return None
-    options = {"fmt": args.format, "max_bytes_per_trigger": args.max_bytes_per_trigger}
+    limit = args.max_bytes_per_trigger
+    options = {"fmt": args.format, "source_options": {"maxBytesPerTrigger": limit} if limit else None}
     if args.job == "bronze":
         options["trigger"] = ONCE_OVER_ALL_INPUT if args.once else None
         jobs.run_bronze(spark, args.input_path, args.output_path, args.checkpoint_location, **options)

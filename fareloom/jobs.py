@@ -48,14 +48,14 @@ def run_bronze(
     schema: StructType = RAW,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = None,
-    max_bytes_per_trigger: int | None = None,
+    source_options: dict[str, Any] | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Append arriving raw files to the bronze table: scan and write, no shuffle.
 
     Passing a wider ``schema`` after a restart adds columns; rows already written read as null there.
     """
-    trips = stream_trips(spark, source, schema, max_bytes_per_trigger=max_bytes_per_trigger)
+    trips = stream_trips(spark, source, schema, options=source_options)
     return _finish(append_stream(trips, output, checkpoint, fmt=fmt, trigger=trigger), wait)
 
 
@@ -68,12 +68,12 @@ def run_silver(
     validation: str = "off",
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
-    max_bytes_per_trigger: int | None = None,
+    source_options: dict[str, Any] | None = None,
     rebalance: bool = False,
     wait: bool = True,
 ) -> StreamingQuery:
     """Bronze to silver: rename, prune, validate, append by vendor."""
-    bronze = stream_trips(spark, source, fmt=fmt, max_bytes_per_trigger=max_bytes_per_trigger)
+    bronze = stream_trips(spark, source, fmt=fmt, options=source_options)
     silver = validate(to_silver(bronze), validation)
     query = append_stream(
         silver, output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger, rebalance=rebalance
@@ -92,7 +92,7 @@ def run_gold(
     salts: int | None = None,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
-    max_bytes_per_trigger: int | None = None,
+    source_options: dict[str, Any] | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
     """Silver and weather to gold. The modes differ in what they remember:
@@ -104,7 +104,7 @@ def run_gold(
     """
     if mode not in GOLD_MODES:
         raise ValueError(f"unknown gold mode: {mode!r}")
-    trips = stream_silver(spark, source, fmt, max_bytes_per_trigger)
+    trips = stream_silver(spark, source, fmt, source_options)
     if mode == "table":
         if fmt != "parquet":
             raise ValueError("the table mode writes parquet")

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
+    # Every write task opens a file per vendor, so large splits keep those files from being small.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # Join state lives on disk and is checkpointed as changes, not as whole snapshots on the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

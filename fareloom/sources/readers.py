@@ -1,5 +1,7 @@
 """Static readers (``read_*``) and streaming readers (``stream_*``) over the same folders and schemas."""
 
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -16,14 +18,11 @@ def _ordered(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str, max_bytes_per_trigger: int | None
+    spark: SparkSession, path: str, schema: StructType, fmt: str, options: dict[str, Any] | None
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt)
-    if fmt == "parquet":
-        reader = reader.schema(schema)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.load(path)
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    # A Delta table brings its own schema.
+    return (reader if fmt == "delta" else reader.schema(schema)).load(path)
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -41,13 +40,14 @@ def stream_trips(
     path: str,
     schema: StructType = RAW,
     fmt: str = "parquet",
-    max_bytes_per_trigger: int | None = None,
+    options: dict[str, Any] | None = None,
 ) -> DataFrame:
     """Raw or bronze trips as they arrive in a folder.
 
-    ``max_bytes_per_trigger`` cuts a large backlog into restartable batches.
+    ``options`` are those of Spark's file source. ``maxBytesPerTrigger`` cuts a large backlog into batches that
+    can be restarted one by one; ``maxFileAge`` admits files whose time stamp is over a week behind the newest.
     """
-    return _stream(spark, path, schema, fmt, max_bytes_per_trigger)
+    return _stream(spark, path, schema, fmt, options)
 
 
 def read_bronze(spark: SparkSession, path: str, schema: StructType | None = RAW) -> DataFrame:
@@ -62,10 +62,10 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_silver(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_bytes_per_trigger: int | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", options: dict[str, Any] | None = None
 ) -> DataFrame:
     """Silver trips as they are appended; ``vendor_id`` comes from the folder names, as text."""
-    return _ordered(_stream(spark, path, SILVER, fmt, max_bytes_per_trigger), SILVER)
+    return _ordered(_stream(spark, path, SILVER, fmt, options), SILVER)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
@@ -73,7 +73,8 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_weather(spark: SparkSession, path: str) -> DataFrame:
-    return with_weather_day(spark.readStream.options(**WEATHER_OPTIONS).schema(WEATHER).csv(path))
+    """Weather files as they arrive, however old their time stamps are: late weather counts."""
+    return with_weather_day(_stream(spark, path, WEATHER, "csv", {**WEATHER_OPTIONS, "maxFileAge": "36500d"}))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

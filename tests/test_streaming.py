@@ -1,6 +1,8 @@
 """Streaming jobs: the same rows as batch, across restarts, late data and failures."""
 
+import os
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -144,10 +146,40 @@ def test_trips_and_weather_may_come_in_either_order(lake, mode):
 def test_small_batches_give_the_same_rows(lake):
     for start in range(0, len(TRIPS), 5):
         lake.add_trips(TRIPS[start : start + 5], "bronze")
-    lake.silver(max_bytes_per_trigger=10_000)
+    lake.silver(source_options={"maxBytesPerTrigger": 10_000})
     lake.add_weather(DAY_ONE, DAY_TWO)
     for mode in ("table", "stream", "static"):
-        assert lake.gold(mode, max_bytes_per_trigger=10_000) == lake.batch_gold(), mode
+        assert lake.gold(mode, source_options={"maxBytesPerTrigger": 10_000}) == lake.batch_gold(), mode
+
+
+def test_default_triggers_keep_running_and_pick_up_new_files(spark, lake):
+    lake.add_trips(TRIPS[:2])
+    bronze = jobs.run_bronze(spark, lake.folder("raw"), lake.folder("bronze"), lake.folder("bronze-c"), wait=False)
+    try:
+        bronze.processAllAvailable()
+        lake.add_trips(TRIPS[2:5])
+        bronze.processAllAvailable()
+        assert bronze.isActive
+    finally:
+        bronze.stop()
+    silver = jobs.run_silver(spark, lake.folder("bronze"), lake.folder("silver"), lake.folder("silver-c"), wait=False)
+    try:
+        silver.processAllAvailable()
+    finally:
+        silver.stop()
+    assert read_silver(spark, lake.folder("silver")).count() == 5
+
+
+def test_old_time_stamps_do_not_hide_late_weather(lake):
+    lake.add_trips(TRIPS, "bronze")
+    lake.silver()
+    lake.add_weather(DAY_TWO)
+    known = set(Path(lake.folder("weather")).glob("*.csv"))
+    lake.gold("table")
+    lake.add_weather(DAY_ONE)
+    for file in set(Path(lake.folder("weather")).glob("*.csv")) - known:
+        os.utime(file, (0, 10**9))
+    assert lake.gold("table") == lake.batch_gold()
 
 
 def test_static_mode_misses_weather_that_comes_later(lake):
