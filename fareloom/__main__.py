@@ -18,9 +18,10 @@ def _parser() -> argparse.ArgumentParser:
     enrich.add_argument("--zones-path", required=True)
     enrich.add_argument("--output-path", required=True)
 
-    table = commands.add_parser("catalog", help="lay out and register the bronze catalog table (batch)")
+    table = commands.add_parser("catalog", help="bring the bronze catalog table up to date")
     table.add_argument("--input-path", required=True)
     table.add_argument("--output-path", required=True)
+    table.add_argument("--checkpoint-location", required=True)
     table.add_argument("--database", default=catalog.DATABASE)
     table.add_argument("--table", default=catalog.TABLE)
 
@@ -38,7 +39,9 @@ def _parser() -> argparse.ArgumentParser:
         if name == "gold":
             stream.add_argument("--input-path-weather", required=True)
             stream.add_argument("--mode", default="table", choices=jobs.GOLD_MODES)
-            stream.add_argument("--salts", type=int)
+            stream.add_argument("--salts", type=int, help="shares of a day in the stream and bounded modes")
+            stream.add_argument("--trip-delay", default="10 minutes", help="watermark of the bounded mode")
+            stream.add_argument("--weather-delay", default="1 day", help="watermark of the bounded mode")
     return parser
 
 
@@ -48,7 +51,9 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "enrich":
         return jobs.run_enrich(spark, args.input_path, args.zones_path, args.output_path)
     if args.job == "catalog":
-        jobs.run_catalog(spark, args.input_path, args.output_path, args.database, args.table)
+        jobs.run_catalog(
+            spark, args.input_path, args.output_path, args.checkpoint_location, args.database, args.table
+        )
         return None
     limit = args.max_bytes_per_trigger
     options = {"fmt": args.format, "source_options": {"maxBytesPerTrigger": limit} if limit else None}
@@ -61,7 +66,9 @@ def main(arguments: list[str] | None = None) -> None:
         options.update(validation=args.validation, rebalance=args.rebalance)
         jobs.run_silver(spark, args.input_path, args.output_path, args.checkpoint_location, **options)
         return None
-    options.update(mode=args.mode, salts=args.salts)
+    options.update(
+        mode=args.mode, salts=args.salts, trip_delay=args.trip_delay, weather_delay=args.weather_delay
+    )
     jobs.run_gold(
         spark, args.input_path, args.input_path_weather, args.output_path, args.checkpoint_location, **options
     )

@@ -18,15 +18,11 @@ for _field in RAW:
 
 
 def to_catalog_layout(raw: DataFrame) -> DataFrame:
+    """The table's columns; the vendor is text and comes last, as a folder name."""
     columns = [F.col(name).alias(name.lower()) for name in RAW.fieldNames() if name.lower() != PARTITION_COLUMN]
     return raw.select(*columns, F.col("VendorID").cast("string").alias(PARTITION_COLUMN))
 
 
-def write_catalog_layout(raw: DataFrame, location: str) -> None:
-    """Append raw trips to the table's folder. There is no shuffle, so a hot vendor stays spread over all tasks."""
-    to_catalog_layout(raw).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(location)
-
-
 def register_bronze(
     spark: SparkSession,
     location: str,
@@ -39,9 +35,13 @@ def register_bronze(
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in DATA_COLUMNS)
     place = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `{PARTITION_COLUMN}` string) "
-        f"USING PARQUET PARTITIONED BY (`{PARTITION_COLUMN}`) LOCATION '{location}'"
-    )
+    if not spark.catalog.tableExists(name):
+        # Created over a folder that a stream has written, a table would lose its partition column; it is
+        # therefore created over no folder and then pointed to the real one.
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}, `{PARTITION_COLUMN}` string) "
+            f"USING PARQUET PARTITIONED BY (`{PARTITION_COLUMN}`) LOCATION '{location}/_none'"
+        )
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.recoverPartitions(name)
     return name

@@ -2,7 +2,7 @@
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -13,7 +13,6 @@ from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_zone_names
 from fareloom.schemas import RAW
 from fareloom.sources.readers import (
-    read_bronze,
     read_trips,
     read_weather,
     read_zones,
@@ -23,7 +22,7 @@ from fareloom.sources.readers import (
 )
 from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
-from fareloom.streaming.sinks import EVERY_100_SECONDS, append_stream
+from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream
 
 GOLD_MODES = ("table", "stream", "bounded", "static")
 
@@ -56,7 +55,8 @@ def run_bronze(
     Passing a wider ``schema`` after a restart adds columns; rows already written read as null there.
     """
     trips = stream_trips(spark, source, schema, options=source_options)
-    return _finish(append_stream(trips, output, checkpoint, fmt=fmt, trigger=trigger), wait)
+    query = append_stream(trips, output, checkpoint, fmt=fmt, trigger=trigger, merge_schema=True)
+    return _finish(query, wait)
 
 
 def run_silver(
@@ -90,6 +90,8 @@ def run_gold(
     *,
     mode: str = "table",
     salts: int | None = None,
+    trip_delay: str = "10 minutes",
+    weather_delay: str = "1 day",
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
     source_options: dict[str, Any] | None = None,
@@ -99,7 +101,7 @@ def run_gold(
 
     ``table``    both sides for good, in a written table; late weather still finds earlier trips
     ``stream``   the same rows, remembered in the state store, which then grows with the trips
-    ``bounded``  both sides up to the watermarks; later rows are ignored
+    ``bounded``  both sides up to the watermarks, which the two delays set; later rows are ignored
     ``static``   nothing; weather as it is at the start, so each trip needs its weather to be there already
     """
     if mode not in GOLD_MODES:
@@ -111,31 +113,34 @@ def run_gold(
         memory = f"{checkpoint.rstrip('/')}/remembered"
         arriving = stream_weather(spark, weather)
         return _finish(start_remembered_join(trips, arriving, output, memory, checkpoint, trigger), wait)
-    joined = _joined(spark, trips, weather, mode, salts, checkpoint)
+    if mode == "static":
+        joined = join_weather(trips, read_weather(spark, weather).select(*WEATHER_SIDE))
+    else:
+        arriving = stream_weather(spark, weather).select(*WEATHER_SIDE)
+        shares = pinned_salts(spark, checkpoint, salts)
+        if mode == "stream":
+            joined = join_streams(trips, arriving, shares)
+        else:
+            joined = join_streams_bounded(trips, arriving, shares, trip_delay, weather_delay)
     query = append_stream(
         to_gold(joined), output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger
     )
     return _finish(query, wait)
 
 
-def _joined(
-    spark: SparkSession, trips: DataFrame, weather: str, mode: str, salts: int | None, checkpoint: str
-) -> DataFrame:
-    if mode == "static":
-        return join_weather(trips, read_weather(spark, weather).select(*WEATHER_SIDE))
-    arriving = stream_weather(spark, weather).select(*WEATHER_SIDE)
-    join = join_streams if mode == "stream" else join_streams_bounded
-    return join(trips, arriving, pinned_salts(spark, checkpoint, salts))
-
-
 def run_catalog(
     spark: SparkSession,
     source: str,
     location: str,
+    checkpoint: str,
     database: str = catalog.DATABASE,
     table: str = catalog.TABLE,
     database_location: str | None = None,
 ) -> str:
-    """Batch: lay bronze rows out as the catalog declares them and register the table."""
-    catalog.write_catalog_layout(read_bronze(spark, source), location)
+    """Bring the catalog table up to date with the bronze rows it does not have yet; return its name."""
+    rows = catalog.to_catalog_layout(stream_trips(spark, source))
+    partition = catalog.PARTITION_COLUMN
+    append_stream(
+        rows, location, checkpoint, partition_by=partition, trigger=ONCE_OVER_ALL_INPUT
+    ).awaitTermination()
     return catalog.register_bronze(spark, location, database, table, database_location)

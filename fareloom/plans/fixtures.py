@@ -5,8 +5,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.catalog import register_bronze, write_catalog_layout
-from fareloom.jobs import run_bronze, run_silver
+from fareloom.jobs import run_bronze, run_catalog, run_silver
 from fareloom.operators.zones import add_zone_names
 from fareloom.schemas import RAW, UNENRICHED, WEATHER_COLUMNS
 from fareloom.session import isolated_session, scratch_folder
@@ -136,10 +135,14 @@ def staged_silver(spark: SparkSession, sf_dir: str) -> str:
 
 
 def catalog_table(spark: SparkSession, sf_dir: str) -> str:
-    """Enriched trips laid out by vendor and registered under a name of their own."""
+    """Bronze trips laid out by vendor and registered under a name of their own."""
     folder = scratch_folder(spark, "catalog")
-    write_catalog_layout(typed(enriched(spark, sf_dir)), f"{folder}/table")
-    name = "bronze_" + folder.rsplit("-", 1)[-1]
-    return register_bronze(
-        spark, f"{folder}/table", database="fareloom_check", table=name, database_location=f"{folder}/database"
+    return run_catalog(
+        job_session(spark),
+        staged_bronze(spark, sf_dir),
+        f"{folder}/table",
+        f"{folder}/checkpoint",
+        database="fareloom_check",
+        table="bronze_" + folder.rsplit("-", 1)[-1],
+        database_location=f"{folder}/database",
     )

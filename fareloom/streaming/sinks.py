@@ -19,16 +19,18 @@ def append_stream(
     partition_by: str | None = None,
     trigger: dict[str, Any] | None = None,
     rebalance: bool = False,
+    merge_schema: bool = False,
 ) -> StreamingQuery:
     """Start appending ``df`` to the table at ``path``; no trigger means batches run back to back.
 
     Rows go from the task that has them straight into their partition folder, so a hot partition value stays
     spread over all tasks. ``rebalance`` adds a shuffle for fewer, fuller files; it splits hot values by size.
+    ``merge_schema`` lets new columns into a Delta table; parquet files merge theirs when they are read.
     """
     if rebalance:
         df = df.hint("rebalance", *([partition_by] if partition_by else []))
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    if fmt == "delta":
+    if merge_schema and fmt == "delta":
         writer = writer.option("mergeSchema", "true")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -3,10 +3,9 @@
 from fareloom import catalog
 from fareloom.__main__ import main
 from fareloom.jobs import run_catalog
-from fareloom.schemas import RAW
+from fareloom.schemas import RAW, UNENRICHED, ZONES
 from fareloom.sources.readers import read_bronze, read_gold, read_silver
 from tests.conftest import at, frame, plan_of, raw_trips, rows_of, weather_rows
-from fareloom.schemas import UNENRICHED, ZONES
 
 ROWS = [
     {
@@ -21,12 +20,21 @@ ROWS = [
 ]
 
 
+def _update(spark, folder):
+    return run_catalog(
+        spark,
+        folder("bronze"),
+        folder("table"),
+        folder("checkpoint"),
+        "lake_test",
+        "rows_" + folder("x").split("/")[-2].replace("-", "_"),
+        database_location=folder("database"),
+    )
+
+
 def test_catalog_table(spark, folder):
     raw_trips(spark, ROWS).write.parquet(folder("bronze"))
-    name = run_catalog(
-        spark, folder("bronze"), folder("table"), "lake_test", "bronze_rows", database_location=folder("database")
-    )
-    table = spark.table(name)
+    table = spark.table(_update(spark, folder))
     assert [f.name for f in table.schema] == [*catalog.DATA_COLUMNS.fieldNames(), "vendorid"]
     assert len(catalog.DATA_COLUMNS) == 20
     assert table.schema["vendorid"].dataType.simpleString() == "string"
@@ -34,14 +42,14 @@ def test_catalog_table(spark, folder):
     assert "PartitionFilters: [isnotnull(vendorid" in plan_of(table.where("vendorid = '2'"))
 
 
-def test_new_vendor_folders_are_picked_up(spark, folder):
-    raw_trips(spark, ROWS[:1]).write.parquet(folder("a"))
-    raw_trips(spark, ROWS[1:2]).write.parquet(folder("b"))
-    for source in ("a", "b"):
-        name = run_catalog(
-            spark, folder(source), folder("table"), "lake_test", "grown_rows", database_location=folder("database")
-        )
-    assert spark.table(name).count() == 2
+def test_updating_the_table_takes_only_new_rows(spark, folder):
+    raw_trips(spark, ROWS[:1]).write.parquet(folder("bronze"))
+    assert spark.table(_update(spark, folder)).count() == 1
+    raw_trips(spark, ROWS[1:]).write.mode("append").parquet(folder("bronze"))
+    for _ in range(2):
+        name = _update(spark, folder)
+        spark.catalog.refreshTable(name)
+        assert spark.table(name).count() == 4
 
 
 def test_every_job_from_the_command_line(spark, folder):
@@ -68,3 +76,7 @@ def test_every_job_from_the_command_line(spark, folder):
     run("gold", "silver", "gold-s", "--input-path-weather", folder("weather"), "--mode", "stream", "--salts", "2")
     gold = rows_of(read_gold(spark, folder("gold")))
     assert len(gold) == 4 and gold == rows_of(read_gold(spark, folder("gold-s")))
+    names = ("--checkpoint-location", folder("table-c"), "--database", "lake_cli", "--table", "bronze_rows")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake_cli LOCATION '{folder('database')}'")
+    run("catalog", "bronze", "table", *names)
+    assert spark.table("lake_cli.bronze_rows").count() == 4

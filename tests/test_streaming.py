@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from fareloom import jobs
 from fareloom.operators.quality import OBSERVATION_NAME
 from fareloom.operators.silver import to_silver
-from fareloom.operators.weather import join_weather, to_gold, with_weather_day
+from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
 from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
-from fareloom.streaming.remembered import start_remembered_join
+from fareloom.streaming.remembered import _kept, _of_days, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
-from tests.conftest import at, raw_trips, rows_of, weather_rows
+from tests.conftest import at, plan_of, raw_trips, rows_of, weather_rows
 
 NOW = {"trigger": ONCE_OVER_ALL_INPUT}
 FOREVER = ("table", "stream")
@@ -301,6 +301,28 @@ def test_empty_input_writes_nothing(lake):
     assert read_silver(lake.spark, lake.folder("silver")).count() == 0
 
 
+def test_static_weather_beyond_the_broadcast_bound(spark, lake):
+    lake.add_trips(TRIPS, "bronze")
+    lake.silver()
+    lake.add_weather(DAY_ONE, DAY_TWO)
+    weather = read_weather(spark, lake.folder("weather")).select(*WEATHER_SIDE)
+    joined = join_weather(stream_silver(spark, lake.folder("silver")), weather, max_broadcast_bytes=0)
+    query = to_gold(joined).writeStream.format("parquet").option("checkpointLocation", lake.folder("c"))
+    query.trigger(**ONCE_OVER_ALL_INPUT).start(lake.folder("gold-s")).awaitTermination()
+    assert lake.gold_rows("s") == lake.batch_gold()
+
+
+def test_earlier_trips_are_filtered_in_the_scan(spark, lake):
+    lake.add_trips(TRIPS, "bronze")
+    lake.silver()
+    lake.add_weather(DAY_TWO)
+    lake.gold("table")
+    memory = _kept(spark, lake.folder("gold-table-c", "remembered"), "kind=trip").where("batch_id < 1")
+    plan = plan_of(_of_days(memory, spark.sql("SELECT DATE'2024-01-02' AS day")).select("day"))
+    assert "PushedFilters: [IsNotNull(day), GreaterThanOrEqual(day,2024-01-02), LessThanOrEqual(day,2024-01-02)]" in plan
+    assert "(batch_id" in plan.split("PartitionFilters")[1]
+
+
 def test_unknown_mode_is_refused(spark, folder):
     with pytest.raises(ValueError):
         jobs.run_gold(spark, "a", "b", "c", "d", mode="sideways")
