@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: name of the check in reports.
 CHECK_NAME = "Data Validation Check"
 OBSERVATION_NAME = "trip_quality"
 
@@ -35,6 +36,7 @@ def satisfies(predicate: str, name: str) -> Constraint:
     return Constraint(name, predicate)
 
 
+# The constraints on silver trips.
 TRIP_CONSTRAINTS = (
     is_complete("vendor_id"),
     is_non_negative("fare_amount"),

@@ -72,6 +72,8 @@ def start_remembered_join(
     Every write replaces the folders of its own batch, so a batch that is cut off and repeated leaves the same
     rows behind. A batch whose gold folder is complete is not written again; its readers keep their files.
     """
+    if path_exists(trips.sparkSession, path) and not path_exists(trips.sparkSession, memory):
+        raise ValueError(f"{path} holds rows that this checkpoint does not know; batch numbers would clash")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

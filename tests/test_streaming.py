@@ -246,6 +246,28 @@ def test_a_repeated_batch_leaves_the_same_gold_rows(spark, lake):
     assert lake.gold("table") == applied
 
 
+def test_table_mode_refuses_an_output_of_another_checkpoint(spark, lake):
+    lake.add_trips(TRIPS[:1], "bronze")
+    lake.silver()
+    lake.add_weather(DAY_ONE)
+    lake.gold("table")
+    with pytest.raises(ValueError, match="does not know"):
+        jobs.run_gold(
+            spark, lake.folder("silver"), lake.folder("weather"), lake.folder("gold-table"), lake.folder("new-c"), **NOW
+        )
+
+
+def test_table_mode_starts_before_any_row_can_join(lake):
+    lake.add_trips([TRIPS[-1]], "bronze")
+    lake.silver()
+    lake.add_weather(("NYC", "bad", "1.0", "0.5"))
+    assert lake.gold("table") == []
+    lake.add_weather(DAY_ONE)
+    lake.add_trips(TRIPS[:2], "bronze")
+    lake.silver()
+    assert lake.gold("table") == lake.batch_gold() != []
+
+
 def test_table_mode_without_broadcast_gives_the_same_rows(spark, lake):
     lake.add_trips(TRIPS, "bronze")
     lake.silver()
