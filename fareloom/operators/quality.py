@@ -108,11 +108,10 @@ def guard_rows(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRAIN
     Each constraint asks all rows to pass, so one bad row decides it. The check therefore rides along with
     the write in one pass, and a failed batch is never committed to the sink.
     """
-    verdict = F.when(F.lit(False), F.lit(False))
     for constraint in constraints:
-        message = F.lit(f"The data quality check has failed: {constraint.name}")
-        verdict = verdict.when(~constraint.passes(), F.raise_error(message).cast("boolean"))
-    return df.where(verdict.otherwise(F.lit(True)))
+        stop = F.raise_error(F.lit(f"The data quality check has failed: {constraint.name}")).cast("boolean")
+        df = df.where(F.when(constraint.passes(), F.lit(True)).otherwise(stop))
+    return df
 
 
 def observe_quality(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS) -> DataFrame:

@@ -12,6 +12,7 @@ from fareloom.session import isolated_session, scratch_folder
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 
 ROW_TAG = "l_orderkey"
+SMALLEST_FILE = 25_000  # rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,8 +97,12 @@ def write_weather(df: DataFrame, folder: str) -> None:
 
 @lru_cache(maxsize=None)
 def staged_trips(spark: SparkSession, sf_dir: str) -> str:
+    """Raw trips in several files, as they arrive: a task with a large share of the rows writes more than one."""
     folder = scratch_folder(spark, "trips")
-    typed(enriched(job_session(spark), sf_dir)).write.parquet(folder)
+    rows = table(spark, sf_dir, "lineitem").count()
+    per_file = max(rows // (2 * spark.sparkContext.defaultParallelism), SMALLEST_FILE)
+    raw = typed(enriched(job_session(spark), sf_dir))
+    raw.write.option("maxRecordsPerFile", per_file).parquet(folder)
     return folder
 
 

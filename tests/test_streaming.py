@@ -1,6 +1,7 @@
 """Streaming jobs: the same rows as batch, across restarts, late data and failures."""
 
 import os
+import random
 from datetime import timedelta
 from pathlib import Path
 
@@ -132,6 +133,25 @@ def test_late_weather_finds_earlier_trips(lake, mode):
     assert lake.gold(mode) == lake.batch_gold()  # a run without news adds nothing
 
 
+def test_any_order_of_arrival_gives_the_batch_rows(lake):
+    draw = random.Random(7)
+    trips, weather = list(TRIPS), [DAY_ONE, DAY_TWO, DAY_ONE_AGAIN]
+    draw.shuffle(trips)
+    draw.shuffle(weather)
+    while trips or weather:
+        share = draw.randint(1, 9)
+        if trips:
+            lake.add_trips(trips[:share], "bronze")
+        if weather and (not trips or draw.random() < 0.6):
+            lake.add_weather(weather.pop())
+        trips = trips[share:]
+        lake.silver()
+        if Path(lake.folder("weather")).exists():
+            for mode in FOREVER:
+                lake.gold(mode)
+    assert lake.gold("table") == lake.gold("stream") == lake.batch_gold()
+
+
 @pytest.mark.parametrize("mode", FOREVER)
 def test_trips_and_weather_may_come_in_either_order(lake, mode):
     lake.add_weather(DAY_ONE, DAY_TWO)
