@@ -91,7 +91,7 @@ def start_remembered_join(
         new_weather = _kept(spark, memory, f"kind=weather/batch_id={batch_id}")
         known_weather = _kept(spark, memory, "kind=weather").where(F.col("batch_id") <= batch_id)
         gold = _pairs(_kept(spark, memory, f"kind=trip/batch_id={batch_id}"), known_weather, max_broadcast_bytes)
-        if not new_weather.isEmpty():
+        if batch_id > 0 and not new_weather.isEmpty():
             earlier_trips = _kept(spark, memory, "kind=trip").where(F.col("batch_id") < batch_id)
             late = _pairs(_of_days(earlier_trips, new_weather), new_weather, max_broadcast_bytes)
             gold = gold.unionByName(late)

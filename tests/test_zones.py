@@ -2,6 +2,7 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fareloom.operators.zones import add_drop_off_zone, add_pickup_zone, add_zone_names, one_name_per_zone
 from fareloom.schemas import RAW, UNENRICHED
@@ -70,6 +71,38 @@ def test_a_dimension_above_the_bound_is_not_broadcast_and_gives_the_same_rows(sp
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_null_id_beyond_the_broadcast_bound_is_split(spark):
+    """A third of the trips have no pickup id; a left join keeps them all and they share one key."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        number = F.col("id")
+        trips = spark.range(0, 60000, 1, 8).select(
+            F.when(number % 3 != 0, number % 80).cast("int").alias("PULocationID"),
+            F.sha2(number.cast("string"), 256).alias("store_and_fwd_flag"),
+        )
+        zones = zone_table(spark, [(i, f"zone {i}") for i in range(60)])
+        split = add_pickup_zone(trips, zones, max_broadcast_bytes=0)
+        counted = split.groupBy("PULocationID", "pickup_location").count()
+        expected = [(None, None, 20000)]
+        per_id = {i: sum(1 for n in range(60000) if n % 3 and n % 80 == i) for i in range(80)}
+        expected += [(i, f"zone {i}" if i < 60 else None, n) for i, n in per_id.items()]
+        assert rows_of(counted) == sorted(expected, key=repr)
+        split.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(split)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     trips=st.lists(st.tuples(st.none() | st.integers(0, 6), st.none() | st.integers(0, 6)), min_size=1, max_size=20),
