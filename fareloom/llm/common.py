@@ -1,8 +1,11 @@
 """Helpers that the operators share."""
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,17 @@ from fareloom.session import scratch_folder
 _DRAW_BITS = 20
 
 
+def _workers_find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, besides where they look anyway."""
+    environment = spark.sparkContext.environment
+    places = environment.get("PYTHONPATH", "").split(os.pathsep)
+    own = str(Path(__file__).resolve().parents[2])
+    if own not in places:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, places), own])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -20,6 +33,11 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _workers_find_package(spark)
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared scratch folder and read again: later reads survive lost executors."""
     folder = scratch_folder(df.sparkSession, label)
@@ -36,7 +54,7 @@ def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into shorter ones of about ``most_bytes`` of text, one row at least."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for row, size in enumerate(sizes):
             if held and held + size > most_bytes:

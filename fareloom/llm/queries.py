@@ -2,23 +2,132 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareloom.llm import rules, simhash
-from fareloom.llm.common import documents, labels
+from fareloom.llm import hamming_search, langid, pieces, resampling, rules, simhash, token_rollup
+from fareloom.llm.common import documents, embeddings, labels, saved
+from fareloom.session import scratch_folder
+
+#: Two counters, one for each tokenizer version of the token rollup: runs of other bytes than white space, and runs
+#: of letters and digits with every other visible character for itself.
+WORDS_1 = r"[^\x20\x09-\x0D]+"
+WORDS_2 = r"[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]"
+MARKUP = r"[#*$%&|<>]+"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(documents(spark, sf_dir))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op5_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embeddings(spark, sf_dir)
+    codes = rows.select(F.col("vec_id").alias("id"), hamming_search.sign_code("embedding").alias("code"))
+    return hamming_search.nearest_neighbors(codes, codes.where("id % 20 = 0"), k=10)
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted; texts with markup are recounted without it; all but English ones move to the
+    second tokenizer version; toxic ones are deleted. The third batch is committed twice, then deltas are compacted."""
+    counted = documents(spark, sf_dir).select(
+        "doc_id",
+        "source",
+        "lang",
+        F.regexp_count("text", F.lit(WORDS_1)).alias("first"),
+        F.regexp_count(F.regexp_replace("text", MARKUP, " "), F.lit(WORDS_1)).alias("cleaned"),
+        F.regexp_count("text", F.lit(WORDS_2)).alias("second"),
+    )
+    toxic = labels(spark, sf_dir).where("toxic = 1").select("doc_id").distinct().withColumn("toxic", F.lit(True))
+    counts = saved(counted.join(toxic, "doc_id", "left"), "counts")
+    moved = F.coalesce(F.col("lang") != "en", F.lit(False))
+
+    def changes(rows: DataFrame, op: str, version: str, tokens: str, old: str | None = None) -> DataFrame:
+        return rows.select(
+            "source",
+            "lang",
+            F.lit(version).alias("tokenizer_version"),
+            F.lit(op).alias("op"),
+            F.col(tokens).cast("long").alias("n_tokens"),
+            (F.col(old) if old else F.lit(None)).cast("long").alias("old_tokens"),
+        )
+
+    rollup = token_rollup.TokenRollup(spark, scratch_folder(spark, "rollup"))
+    rollup.commit("load", changes(counts, token_rollup.INSERT, "words-1", "first"))
+    rollup.commit("clean", changes(counts.where("first <> cleaned"), token_rollup.REVISE, "words-1", "cleaned", "first"))
+    migrated = changes(counts.where(moved), token_rollup.DELETE, "words-1", "cleaned").union(
+        changes(counts.where(moved), token_rollup.INSERT, "words-2", "second")
+    )
+    rollup.commit("migrate", migrated)
+    rollup.commit("migrate", migrated)
+    forgotten = counts.where("toxic")
+    rollup.commit(
+        "forget",
+        changes(forgotten.where(moved), token_rollup.DELETE, "words-2", "second").union(
+            changes(forgotten.where(~moved), token_rollup.DELETE, "words-1", "cleaned")
+        ),
+    )
+    rollup.compact()
+    return rollup.totals()
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_language_id": op2_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_exact_search": op5_exact_search,
+    "op6_token_counts": op6_token_counts,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_exact_search": """
+WITH codes AS (
+    SELECT vec_id AS id,
+           array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN embedding[1:64]], '') AS code
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+),
+pairs AS (
+    SELECT q.id AS query_id, n.id AS neighbor_id, CAST(hamming(q.code, n.code) AS BIGINT) AS distance
+    FROM codes q JOIN codes n ON q.id <> n.id
+    WHERE q.id % 20 = 0
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank
+    FROM pairs
+)
+SELECT query_id, neighbor_id, distance, rank FROM ranked WHERE rank <= 10
+""",
+    "op6_token_counts": f"""
+WITH counted AS (
+    SELECT d.source, d.lang, d.lang IS NOT NULL AND d.lang <> 'en' AS moved,
+           len(regexp_extract_all(text, '{WORDS_2}')) AS second,
+           len(regexp_extract_all(regexp_replace(text, '{MARKUP}', ' ', 'g'), '{WORDS_1}')) AS cleaned
+    FROM documents d
+    WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+)
+SELECT source, lang, CASE WHEN moved THEN 'words-2' ELSE 'words-1' END AS tokenizer_version,
+       COUNT(*) AS n_docs,
+       CAST(SUM(CASE WHEN moved THEN second ELSE cleaned END) AS BIGINT) AS n_tokens
+FROM counted
+GROUP BY ALL
+""",
+}
