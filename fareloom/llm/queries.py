@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import hamming_search, langid, pieces, resampling, rules, simhash, token_rollup
+from fareloom.llm import hamming_search, langid, packing, pieces, rans, resampling, rules, simhash, token_rollup
 from fareloom.llm.common import documents, embeddings, labels, saved
 from fareloom.session import scratch_folder
 
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(documents(spark, sf_dir))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -79,6 +83,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "token-files")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rans.write_dataset(documents(spark, sf_dir), folder, path, drops_spaces=True)
+    return rans.read_dataset(spark, folder)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -90,9 +101,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_packing": op3_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_exact_search": op5_exact_search,
     "op6_token_counts": op6_token_counts,
+    "op7_token_files": op7_token_files,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash": op10_simhash,
 }
