@@ -250,20 +250,26 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, threshold: int = 3) -> DataFrame:
-    """``doc_id``, ``mark``, ``fp`` and ``root``, the smallest fingerprint of the component, for each document."""
+    """``doc_id``, ``mark``, ``fp``, ``root`` (smallest fingerprint of the component) and ``component_id`` (smallest id).
+
+    All that concerns components is settled between distinct fingerprints; documents are joined with the outcome
+    once, by fingerprint. A fingerprint or component may have a third of the rows: both sides of each join are
+    exchanged, so the plan can split it.
+    """
     printed = saved(fingerprints(docs), "fingerprints")
-    roots = connected(links(printed.select("fp").distinct(), threshold)).withColumnRenamed("node", "fp")
-    # A third of the documents may have one fingerprint: the plan can split both exchanges of this join.
-    return printed.join(roots, "fp", "left").select("doc_id", "mark", "fp", F.coalesce("root", "fp").alias("root"))
+    distinct = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = connected(links(distinct.select("fp"), threshold)).withColumnRenamed("node", "fp")
+    rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = saved(rooted, "rooted")
+    smallest = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    named = saved(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
+    return printed.join(named, "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of the component."""
-    rooted = saved(components(docs, threshold), "components")
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rooted.join(smallest, "root").select("doc_id", digits.alias("fingerprint"), "component_id")
-
+    return components(docs, threshold).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, threshold: int = 3) -> DataFrame:
