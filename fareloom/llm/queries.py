@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import hamming_search, langid, packing, pieces, rans, resampling, rules, simhash, token_rollup
+from fareloom.llm import hamming_search, langid, packing, pieces, rans, resampling, rules, simhash, suffix_dedup, token_rollup
 from fareloom.llm.common import documents, embeddings, labels, saved
 from fareloom.session import scratch_folder
 
@@ -90,6 +90,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_dataset(spark, folder)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_digest(documents(spark, sf_dir))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_search": op5_exact_search,
     "op6_token_counts": op6_token_counts,
     "op7_token_files": op7_token_files,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_simhash": op10_simhash,
 }
