@@ -1,13 +1,14 @@
 """Helpers that the operators share."""
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareloom.session import scratch_folder
 
@@ -45,6 +46,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def with_text(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """These columns of ``docs`` and, last, its texts as ``__text``."""
+    return docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text").alias("__text"))
+
+
+def extended(given: DataFrame, columns: str) -> StructType:
+    """The fields of ``with_text`` but its last, and then the columns of this schema text."""
+    return StructType([*given.schema.fields[:-1], *StructType.fromDDL(columns).fields])
+
+
 def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, the same ones on every run: those whose hashed key falls below a share."""
     share = 1.0 if total <= rows else rows / total

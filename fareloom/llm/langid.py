@@ -24,7 +24,7 @@ remainder. Repeated rows each get their row; repeated texts enter a reference on
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import hashed_sample, sliced
+from fareloom.llm.common import extended, hashed_sample, sliced, with_text
 
 REFERENCE_CHARS = 24_000
 #: Longest document taken into a reference, so that one of them holds several.
@@ -206,22 +206,30 @@ def references(docs: DataFrame, reference_chars: int = REFERENCE_CHARS) -> dict[
     return {lang: "\n".join(texts) for lang, texts in parts.items()}
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``lang_pred`` and ``score`` of each document."""
+def identify(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """These columns, ``__lang`` and ``__score`` of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = with_text(docs, columns)
+    schema = extended(given, "__lang string, __score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 4 << 20):
-            found, scores = predict(batch.column(1).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"]
-            )
+        for batch in sliced(batches, "__text", 4 << 20):
+            *kept, texts = batch.columns
+            found, scores = predict(texts.to_pylist(), shared.value)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.string()), pa.array(scores)], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return given.mapInArrow(run, schema)
 
 
 def language_id(docs: DataFrame, reference_chars: int = REFERENCE_CHARS) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score``: learned from the documents whose remainder is not 2."""
-    model = build_model(references(docs, reference_chars))
+    told = identify(docs, build_model(references(docs, reference_chars)))
     held_out = F.coalesce(remainder() == HELD_OUT, F.lit(True))
-    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return told.select("doc_id", held_out.alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+def in_known_language(docs: DataFrame, least_score: float, reference_chars: int = REFERENCE_CHARS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language can be told with at least this score."""
+    told = identify(docs, build_model(references(docs, reference_chars)), docs.columns)
+    sure = (F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least_score)
+    return told.where(sure).drop("__lang", "__score")

@@ -17,14 +17,15 @@ document with a word has weight 0 and, k not being given, is kept. An empty tabl
 """
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import hashed_sample, saved
+from fareloom.llm.common import extended, hashed_sample, saved, with_text
 
 BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
@@ -72,24 +73,27 @@ def log_ratios(docs: DataFrame, good: DataFrame) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
 
-def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """``doc_id``, ``n_grams`` and ``log_weight`` (null without n-grams) of each document."""
+def log_weights(docs: DataFrame, ratios: np.ndarray, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """These columns, ``__n_grams`` and ``__log_weight`` (null without n-grams) of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    given = with_text(docs, columns)
+    schema = extended(given, "__n_grams long, __log_weight double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value[ngram_buckets(t.as_py())] for t in batch.column(1)]
+            *kept, texts = batch.columns
+            found = [shared.value[ngram_buckets(t.as_py())] for t in texts]
             sizes = pa.array([len(x) for x in found], pa.int64())
             means = pa.array([float(x.mean()) if len(x) else None for x in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, means], ["doc_id", "n_grams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([*kept, sizes, means], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_grams long, log_weight double")
+    return given.mapInArrow(run, schema)
 
 
 def with_keys(weighted: DataFrame, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """Adds ``key``: the tempered log weight plus Gumbel noise of the document."""
+    """Adds ``__key``: the tempered log weight plus Gumbel noise of the document."""
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    return weighted.withColumn("key", F.col("log_weight") / temperature - F.log(-F.log(uniform)))
+    return weighted.withColumn("__key", F.col("__log_weight") / temperature - F.log(-F.log(uniform)))
 
 
 def kth_largest(values: DataFrame, k: int) -> float:
@@ -114,7 +118,16 @@ def kth_largest(values: DataFrame, k: int) -> float:
             k -= row["n"]
 
 
-def resample(
+@dataclass(frozen=True)
+class Sampler:
+    """The bucket weights, and the k-th highest key: documents with a lower one are not in the sample."""
+
+    ratios: np.ndarray
+    temperature: float
+    bound: float
+
+
+def fit_sampler(
     docs: DataFrame,
     labels: DataFrame,
     *,
@@ -122,23 +135,40 @@ def resample(
     temperature: float = TEMPERATURE,
     clean_loss: float = CLEAN_LOSS,
     max_labelled: int = MAX_LABELLED,
-) -> DataFrame:
-    """``doc_id``, ``n_grams``, ``log_weight``, ``key`` and ``kept`` of each document."""
+) -> tuple[Sampler, DataFrame]:
+    """The sampler of these documents, and their ids with keys, which it was made of."""
     good = labels.where("quality = 1 and toxic = 0").select("doc_id").dropna()
     drawn = saved(hashed_sample(good, "doc_id", max_labelled, good.count()).distinct(), "target")
     odd = F.xxhash64("doc_id", F.lit(1)) % 2 != 0
-    weighted = log_weights(docs, log_ratios(docs, drawn.where(odd)))
-    keyed = saved(with_keys(weighted, temperature), "weights")
-    usable = keyed.where("key is not null")
+    ratios = log_ratios(docs, drawn.where(odd))
+    keyed = saved(with_keys(log_weights(docs, ratios), temperature), "weights")
+    usable = keyed.where("__key is not null").withColumnRenamed("__key", "key")
     if k is None:
         aside = usable.join(F.broadcast(drawn.where(~odd)), "doc_id", "left_semi").select("key").toPandas()["key"]
-        if not len(aside):
-            return keyed.withColumn("kept", F.col("key").isNotNull())
-        lowest = float(np.sort(aside.to_numpy())[int(clean_loss * len(aside))])
+        lowest = float(np.sort(aside.to_numpy())[int(clean_loss * len(aside))]) if len(aside) else -np.inf
         k = usable.where(F.col("key") >= lowest).count()
     if k <= 0:
-        return keyed.withColumn("kept", F.lit(False))
-    if usable.count() <= k:
-        return keyed.withColumn("kept", F.col("key").isNotNull())
-    bound = kth_largest(usable.select("key"), k)
-    return keyed.withColumn("kept", F.coalesce(F.col("key") >= bound, F.lit(False)))
+        bound = np.inf
+    elif usable.count() <= k:
+        bound = -np.inf
+    else:
+        bound = kth_largest(usable.select("key"), k)
+    return Sampler(ratios, temperature, bound), keyed
+
+
+def _in_sample(sampler: Sampler) -> Column:
+    return F.coalesce(F.col("__key") >= F.lit(sampler.bound), F.lit(False))
+
+
+def resample(docs: DataFrame, labels: DataFrame, **options: int | float | None) -> DataFrame:
+    """``doc_id``, ``n_grams``, ``log_weight``, ``key`` and ``kept`` of each document; options as for ``fit_sampler``."""
+    sampler, keyed = fit_sampler(docs, labels, **options)
+    named = [F.col(f"__{c}").alias(c) for c in ("n_grams", "log_weight", "key")]
+    return keyed.select("doc_id", *named, _in_sample(sampler).alias("kept"))
+
+
+def sampled_rows(docs: DataFrame, labels: DataFrame, **options: int | float | None) -> DataFrame:
+    """The rows of ``docs``, all columns, that are in the sample."""
+    sampler, _ = fit_sampler(docs, labels, **options)
+    keyed = with_keys(log_weights(docs, sampler.ratios, docs.columns), sampler.temperature)
+    return keyed.where(_in_sample(sampler)).drop("__n_grams", "__log_weight", "__key")
