@@ -102,14 +102,21 @@ class Model:
 
 def _table(reference: str, alphabet: str, width: int) -> np.ndarray:
     automaton = suffix_automaton(reference)
-    table = np.zeros((len(automaton), width), np.int32)
+    size = len(automaton)
+    # Behind a character that the reference does not have: a phrase of its own, so the next one starts another.
+    alone = size * width
+    table = np.empty((size + 1, width), np.int64)
     for k, char in enumerate(alphabet, 1):
-        column = np.fromiter((moves.get(char, -1) for moves in automaton), np.int64, len(automaton))
-        restart = max(int(column[0]), 0) * width
-        table[:, k] = np.where(column >= 0, column * width, restart | int(_BREAK))
-    table[:, 0] = _BREAK
-    table[:, width - 1] = np.arange(len(automaton)) * width
-    return table.ravel()
+        column = np.fromiter((moves.get(char, -1) for moves in automaton), np.int64, size)
+        restart = int(column[0]) * width if column[0] >= 0 else alone
+        table[:size, k] = np.where(column >= 0, column * width, restart | int(_BREAK))
+        table[size, k] = restart | int(_BREAK)
+        if column[0] < 0:
+            table[0, k] = alone
+    table[:, 0] = alone | int(_BREAK)
+    table[0, 0] = alone
+    table[:, width - 1] = np.arange(size + 1) * width
+    return table.astype(np.int32).ravel()
 
 
 def build_model(references: dict[str, str]) -> Model:

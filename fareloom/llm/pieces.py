@@ -92,8 +92,7 @@ class PieceCodec:
 
     def _word(self, word: str, marks: str) -> tuple[np.ndarray, float, int]:
         """A word with the spaces before it; ``marks`` is the mark in front of a text's first word."""
-        key = marks + word
-        known = self.remembered.get(key)
+        known = None if marks else self.remembered.get(word)
         if known is None:
             bare = word.lstrip(" ")
             marked = marks + SPACE * (len(word) - len(bare))
@@ -108,9 +107,11 @@ class PieceCodec:
                     part = part if k else marked + part
                     more = self.best_path(part)
                     ids, score, unknown = ids + more[0], score + more[1], unknown + more[2]
-            if len(self.remembered) >= REMEMBERED_WORDS:
-                self.remembered.clear()
-            known = self.remembered[key] = (np.array(ids, "<u4").tobytes(), score, unknown)
+            known = (np.array(ids, "<u4").tobytes(), score, unknown)
+            if not marks:
+                if len(self.remembered) >= REMEMBERED_WORDS:
+                    self.remembered.clear()
+                self.remembered[word] = known
         return known
 
     def encode(self, text: str) -> tuple[np.ndarray, float, int]:

@@ -1,0 +1,88 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from fareloom.llm import packing
+from fareloom.llm.tokens import word_tokenizer
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def plain_cost(cuts, size, window_cost):
+    """Least cost by trying every window."""
+    p, penalty = cuts.positions.tolist(), cuts.penalties.tolist()
+    best = [0.0] + [float("inf")] * (len(p) - 1)
+    for j in range(1, len(p)):
+        for i in range(j):
+            if p[j] - p[i] <= size:
+                best[j] = min(best[j], best[i] + packing.padding(p[j] - p[i], size) + penalty[j] + window_cost)
+    return best[-1]
+
+
+def test_windows_are_the_cheapest():
+    drawn = random.Random(4)
+    for _ in range(200):
+        size = drawn.choice([8, 16, 64])
+        gaps = [drawn.randint(1, size) for _ in range(drawn.randint(1, 40))]
+        positions = np.cumsum([0, *gaps])
+        cuts = packing.Cuts(positions, np.array([drawn.choice([0.0, 2.0, 9.0]) for _ in positions]))
+        chosen = packing.best_windows(cuts, size, 3.0)
+        assert chosen[0] == 0 and chosen[-1] == positions[-1]
+        widths = np.diff(chosen)
+        assert (widths > 0).all() and (widths <= size).all()
+        cost = sum(packing.padding(int(w), size) + 3.0 for w in widths)
+        cost += cuts.penalties[np.searchsorted(positions, chosen[1:])].sum()
+        assert abs(cost - plain_cost(cuts, size, 3.0)) < 1e-9
+
+
+def check(docs, pieces):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    expected = {}
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        expected.setdefault(r["doc_id"], []).append(ids)
+    by_document, by_sequence = {}, {}
+    for r in pieces.collect():
+        by_document.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert by_document.keys() == expected.keys()
+    for doc_id, texts in expected.items():
+        assert sum(r["length"] for r in by_document[doc_id]) == sum(map(len, texts))
+        for r in by_document[doc_id]:
+            possible = [np.array(t[r["start"] : r["start"] + r["length"]], "<u4").tobytes() for t in texts if len(t) == r["doc_tokens"]]
+            assert r["ids_crc32"] in map(zlib.crc32, possible)
+    padded = total = 0
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 1024
+        padded += packing.padding(at)
+        total += at
+    return padded / max(total, 1)
+
+
+def test_every_id_lies_in_one_piece(spark, odd_documents, no_documents):
+    # The few rows lie in several tasks, each of which ends with a short window.
+    assert check(odd_documents, packing.pack(odd_documents, PATH)) < 0.1
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert check(docs, packing.pack(docs, PATH)) < 0.03
+    assert packing.pack(no_documents, PATH).count() == 0
+
+
+def test_remembered_words_give_the_librarys_ids():
+    drawn = random.Random(6)
+    letters = " \n\t\r\x0b\x1c\x85\xa0 ab'stéÉßΣ!?.,09́ İŉ<|endoftext|>中"
+    texts = ["".join(drawn.choice(letters) for _ in range(drawn.randint(0, 40))) for _ in range(3000)]
+    for name, drops in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = public_tokenizers.path(name)
+        plain = Tokenizer.from_file(path)
+        plain.encode_special_tokens = True
+        own = word_tokenizer(path, drops)
+        for text in [*texts, "", " ", "\n\n", "don't  we'll\n\n x ", "<|startoftext|> a"]:
+            assert own.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids

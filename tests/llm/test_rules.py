@@ -1,0 +1,83 @@
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from fareloom.llm import rules
+from tests.llm.conftest import SMALL, rows
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def plain_statistics(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    lines, again = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            again += line in lines
+            lines.add(line)
+    symbols = len(re.findall("[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, again, len(covered)
+
+
+def test_statistics_equal_a_plain_count():
+    texts = ["a b c a b c a b c d", "x\n x\nx\n\n  \nx", "", " ", "é ß # <b> $5\tq\x0bw\x1cz", "a a a a", "one two", "l\nl\nl\n"]
+    for text in texts:
+        assert rules.text_statistics(text)[:5] == plain_statistics(text)
+
+
+def test_odd_rows(spark, odd_documents, odd_labels, no_documents):
+    found = rules.quality_rules(odd_documents, odd_labels).collect()
+    assert len(found) == odd_documents.count()
+    texts = {(r["doc_id"], len(r["text"] or "")): r["text"] for r in odd_documents.collect()}
+    by_size = {(r["doc_id"], r["n_chars_all"]): r for r in found}
+    for key, text in texts.items():
+        if len(text or "") < 10_000:
+            row = by_size[key]
+            assert (row["n_words"], row["word_chars"], row["n_symbols"], row["n_dup_lines"], row["n_repeat_words"]) == (
+                plain_statistics(text)
+            )
+    assert all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) for r in found)
+    assert not any(r["base_failed"] and r["kept"] for r in found)
+    assert rules.quality_rules(no_documents, odd_labels).count() == 0
+    assert rules.fit_rules(no_documents, odd_labels) == []
+
+
+def test_rules_separate_what_thresholds_can_separate():
+    drawn = np.random.default_rng(1)
+    table = {"a": drawn.random(3000), "b": drawn.random(3000), "c": drawn.random(3000)}
+    bad = ((table["a"] > 0.8) & (table["b"] <= 0.5)) | (table["c"] > 0.95)
+    learned = rules.learn_rules(table, bad)
+    rejected = np.zeros(3000, bool)
+    for rule in learned:
+        rejected |= rules._covered(rule, table, 3000)
+    assert len(learned) >= 2
+    assert (rejected == bad).mean() > 0.98
+    assert rules.learn_rules(table, drawn.random(3000) > 0.5) == []
+    assert rules.learn_rules(table, np.zeros(3000, bool)) == []
+
+
+def test_the_expression_is_an_ordered_list(spark):
+    table = spark.createDataFrame([(i, 100, 500, i, 0, 0, 600, 0, 0, 0, 5, 90) for i in range(6)], "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars_all long, n_upper long, n_digits long, n_marks long, n_lines long, n_distinct_words long")
+    many = (rules.Condition("symbols_per_word", True, 0.025),)
+    keep = rules.keep_expression([many])
+    assert [r["k"] for r in table.orderBy("doc_id").select(keep.alias("k")).collect()] == [True] * 3 + [False] * 3
+    assert "CASE WHEN" in str(keep._jc.toString()).upper() or "WHEN" in str(keep._jc.toString()).upper()
+    assert table.select(rules.keep_expression([]).alias("k")).where("k").count() == 6
+
+
+def test_junk_is_rejected_and_good_text_kept(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    judged = rules.quality_rules(docs, labels).join(labels.dropDuplicates(["doc_id"]), "doc_id")
+    good = judged.where("quality = 1 and not base_failed").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    junk = judged.where("quality = 0").agg(F.avg(F.col("kept").cast("int"))).first()[0]
+    assert good > 0.98 and junk < 0.1
+
+
+def test_one_label_kind_gives_no_rules(spark):
+    docs = rows(spark, [(i, "some words " * 40, "en") for i in range(30)])
+    labels = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    assert rules.fit_rules(docs, labels) == []
+    assert SMALL

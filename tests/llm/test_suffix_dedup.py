@@ -1,0 +1,102 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from fareloom.llm import suffix_dedup
+from fareloom.llm.run_index import RunIndex
+from tests.llm.conftest import rows
+
+
+def plain(docs, length=50):
+    """(doc_id, bytes, removed, spans, digest), by looking every string up."""
+    order = lambda i: 2**63 - 1 if i is None else i
+    first = {}
+    texts = [(order(i), (t or "").encode(), i) for i, t in docs]
+    for o, b, _ in texts:
+        for at in range(len(b) - length + 1):
+            s = b[at : at + length]
+            first[s] = min(o, first.get(s, o))
+    out = []
+    for o, b, i in texts:
+        gone = bytearray(len(b))
+        for at in range(len(b) - length + 1):
+            if first[b[at : at + length]] < o:
+                gone[at : at + length] = b"\x01" * length
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
+        out.append((i, len(b), len(b) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def repetitive(n, seed):
+    """Documents cut and joined from a few passages, with small changes."""
+    drawn = random.Random(seed)
+    letters = "abcdé 漢\n"
+    passages = ["".join(drawn.choice(letters) for _ in range(300)) for _ in range(6)]
+    docs = []
+    for i in range(n):
+        text = ""
+        for _ in range(drawn.randint(0, 4)):
+            p, at = drawn.choice(passages), drawn.randrange(250)
+            text += p[at : at + drawn.randint(20, 150)] + drawn.choice(["", "x", "yz"])
+        if text and drawn.random() < 0.4:
+            at = drawn.randrange(len(text))
+            text = text[:at] + "#" + text[at + 1 :]
+        docs.append((drawn.randint(0, n), text) if drawn.random() < 0.2 else (i, text))
+    return docs
+
+
+def test_index_finds_first_places():
+    drawn = random.Random(3)
+    for length in (9, 17, 50):
+        base = bytes(drawn.choice(b"ab\x00") for _ in range(200))
+        strings = [base[a : a + drawn.randint(0, 90)] for a in (drawn.randrange(200) for _ in range(50))]
+        index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), length)
+        seen, wanted = {}, {}
+        for begin, s in zip(index.begins.tolist(), strings):
+            for at in range(len(s) - length + 1):
+                wanted[begin + at] = seen.setdefault(s[at : at + length], begin + at)
+        place, first = index.first_places()
+        assert dict(zip(place.tolist(), first.tolist())) == wanted
+        assert index.runs < len(index.text)
+
+
+@pytest.mark.parametrize("length", [50, 20])
+def test_removal_equals_brute_force(spark, monkeypatch, length):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 6_000)
+    docs = repetitive(250, length) + [(None, "a" * 120), (None, None), (700, "a" * 130), (701, ""), (702, None)]
+    frame = rows(spark, [(i, t, "en") for i, t in docs])
+    found = sorted((tuple(r) for r in suffix_dedup.repeats_digest(frame, length).collect()), key=repr)
+    assert found == plain(docs, length)
+    assert sum(r[2] for r in found) > 1000
+
+
+def test_long_texts_are_cut_into_windows(monkeypatch):
+    drawn = random.Random(1)
+    text = bytes(drawn.choice(b"abc") for _ in range(5000))
+    monkeypatch.setattr(suffix_dedup, "_WINDOW", 700)
+    document, start, end, _ = suffix_dedup.stretches([b"", text, b"short", text[:60]], 50)
+    inside = [(d, p) for d, s, e in zip(document, start, end) for p in range(s, e - 49)]
+    assert sorted(inside) == [(1, p) for p in range(4951)] + [(3, p) for p in range(11)]
+    assert len(set(inside)) == len(inside)
+
+
+def test_odd_rows(odd_documents, no_documents):
+    found = sorted((tuple(r) for r in suffix_dedup.repeats_digest(odd_documents).collect()), key=repr)
+    assert found == plain([(r["doc_id"], r["text"]) for r in odd_documents.collect()])
+    assert suffix_dedup.repeats_digest(no_documents).count() == 0
+    left = suffix_dedup.without_repeats(odd_documents)
+    assert left.schema == odd_documents.schema and left.count() == odd_documents.count()
+    kept = {r["doc_id"]: r["text"] for r in left.where("doc_id in (1, 2, 6)").collect()}
+    assert kept[2] == "" and kept[6] is None and len(kept[1]) > 100
+
+
+def test_a_passage_that_most_documents_share(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 20_000)
+    shared = "this passage stands in every document of the table and is longer than fifty bytes by far "
+    docs = [(i, f"own words {i * 7919} begin {shared} and {i * 104729} end") for i in range(600)]
+    found = {r["doc_id"]: r for r in suffix_dedup.repeats_digest(rows(spark, [(*d, "en") for d in docs])).collect()}
+    assert found[0]["n_removed"] == 0
+    assert all(found[i]["n_spans"] == 1 and found[i]["n_removed"] >= len(shared) for i in range(1, 600))

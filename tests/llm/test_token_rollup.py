@@ -1,0 +1,65 @@
+import pytest
+
+from fareloom.llm.token_rollup import DELETE, INSERT, REVISE, TokenRollup
+
+SCHEMA = "source string, lang string, tokenizer_version string, op string, n_tokens long, old_tokens long, n_docs int"
+
+
+def totals(rollup):
+    return sorted((tuple(r) for r in rollup.totals().collect()), key=repr)
+
+
+@pytest.fixture
+def rollup(spark, folder):
+    return TokenRollup(spark, folder("rollup"))
+
+
+def changes(spark, rows):
+    return spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
+
+
+def test_inserts_deletes_and_revisions_add_up(spark, rollup):
+    assert rollup.totals().count() == 0
+    assert rollup.commit("1", changes(spark, [("a", "en", "v1", INSERT, 10, None), ("a", "en", "v1", INSERT, 5, None), (None, None, "v1", INSERT, 3, None), ("b", "de", "v1", INSERT, None, None)]))
+    assert totals(rollup) == [("a", "en", "v1", 2, 15), ("b", "de", "v1", 1, 0), (None, None, "v1", 1, 3)]
+    assert rollup.commit("2", changes(spark, [("a", "en", "v1", REVISE, 7, 5), ("b", "de", "v1", DELETE, 0, None), (None, None, "v1", DELETE, 3, None), (None, None, "v2", INSERT, 4, None)]))
+    assert totals(rollup) == [("a", "en", "v1", 2, 17), (None, None, "v2", 1, 4)]
+
+
+def test_a_batch_counts_once(spark, rollup):
+    batch = changes(spark, [("a", "en", "v1", INSERT, 10, None)] * 3)
+    assert rollup.commit("x", batch) and not rollup.commit("x", batch)
+    assert totals(rollup) == [("a", "en", "v1", 3, 30)]
+    with pytest.raises(ValueError):
+        rollup.commit("x", batch.limit(1))
+    assert totals(rollup) == [("a", "en", "v1", 3, 30)]
+
+
+def test_a_delta_without_a_record_does_not_count(spark, rollup):
+    rollup.commit("1", changes(spark, [("a", "en", "v1", INSERT, 10, None)]))
+    broken = changes(spark, [("a", "en", "v1", INSERT, 99, None)]).groupBy("source", "lang", "tokenizer_version")
+    broken.agg({"n_docs": "sum", "n_tokens": "sum"}).toDF("source", "lang", "tokenizer_version", "n_docs", "n_tokens").selectExpr(
+        "source", "lang", "tokenizer_version", "cast(n_docs as long) n_docs", "n_tokens"
+    ).write.parquet(f"{rollup.root}/deltas/batch_id=2")
+    assert totals(rollup) == [("a", "en", "v1", 1, 10)]
+    assert rollup.commit("2", changes(spark, [("a", "en", "v1", INSERT, 1, None)]))
+    assert totals(rollup) == [("a", "en", "v1", 2, 11)]
+
+
+def test_compaction_keeps_totals_and_known_batches(spark, rollup):
+    first = changes(spark, [("a", "en", "v1", INSERT, 10, None)])
+    rollup.commit("1", first)
+    rollup.commit("2", changes(spark, []))
+    rollup.compact()
+    rollup.compact()
+    assert totals(rollup) == [("a", "en", "v1", 1, 10)]
+    assert not rollup.commit("1", first)
+    rollup.commit("3", changes(spark, [("a", "en", "v1", DELETE, 10, None)]))
+    assert totals(rollup) == []
+
+
+def test_unknown_operations_are_refused(spark, rollup):
+    for op in ("upsert", None):
+        with pytest.raises(Exception, match="not an operation"):
+            rollup.commit("1", changes(spark, [("a", "en", "v1", op, 10, None)]))
+    assert rollup.totals().count() == 0
