@@ -99,17 +99,14 @@ def best_windows(cuts: Cuts, size: int = SIZE, window_cost: float = WINDOW_COST)
 
 def possible_cuts(ids: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray) -> Cuts:
     """Cuts of a stream: ``ends`` are the positions behind its documents, ``sentence_end`` tells it of each id."""
-    behind = np.flatnonzero(sentence_end[ids]) + 1
-    positions = np.union1d(np.union1d(behind, ends), [0])
-    gaps = np.diff(positions)
-    wide = np.flatnonzero(gaps > LONG_SENTENCE)
-    inside = [np.arange(positions[k] + STEP, positions[k + 1], STEP) for k in wide]
-    if inside:
-        positions = np.union1d(positions, np.concatenate(inside))
-    penalties = np.full(len(positions), INSIDE_PENALTY)
-    penalties[np.isin(positions, behind)] = SENTENCE_PENALTY
-    penalties[np.isin(positions, ends)] = 0.0
-    return Cuts(positions, penalties)
+    penalty = np.full(len(ids) + 1, np.inf)
+    penalty[1:][sentence_end[ids]] = SENTENCE_PENALTY
+    penalty[ends] = penalty[0] = 0.0
+    positions = np.flatnonzero(np.isfinite(penalty))
+    for k in np.flatnonzero(np.diff(positions) > LONG_SENTENCE):
+        penalty[positions[k] + STEP : positions[k + 1] : STEP] = INSIDE_PENALTY
+    positions = np.flatnonzero(np.isfinite(penalty))
+    return Cuts(positions, penalty[positions])
 
 
 @lru_cache
@@ -132,7 +129,8 @@ def pack_block(
     ids = np.concatenate(parts).astype("<u4")
     ends = np.cumsum([len(p) for p in parts])[[p is end for p in parts]]
     cuts = best_windows(possible_cuts(ids, ends, sentence_end), size)
-    bounds = np.union1d(cuts, ends)
+    bounds = np.sort(np.concatenate([cuts, ends]))
+    bounds = bounds[np.diff(bounds, prepend=-1) > 0]
     start, length = bounds[:-1], np.diff(bounds)
     begins = np.concatenate([[0], ends[:-1]])
     document = np.searchsorted(ends, start, side="right")

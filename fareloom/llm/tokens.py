@@ -7,6 +7,7 @@ each once.
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,27 +21,54 @@ _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _WORDS = re.compile(f"[^{_SPACE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Remembered pieces in a Python worker; beyond that it forgets all and starts again.
-MOST_REMEMBERED = 500_000
+MOST_REMEMBERED = 1_200_000
+#: Words of letters below this are units of both kinds of tokenizer, whatever follows them.
+_LETTERS_BELOW = "\u0130"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: The characters that stand for bytes in such vocabularies: printable Latin-1 for itself, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_STANDS_FOR = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class _Remembered(dict):
     """Ids of a piece, as bytes; ``prefix`` goes in front of a key that does not start with a line end."""
 
-    def __init__(self, tokenizer: Tokenizer, prefix: str, kind: str) -> None:
+    def __init__(self, tokenizer: Tokenizer, prefix: str, code: str, lower: bool) -> None:
         super().__init__()
-        self.tokenizer, self.prefix, self.kind = tokenizer, prefix, kind
+        self.tokenizer, self.merged, self.code, self.lower = tokenizer, tokenizer.model.tokenize, code, lower
+        self.prefix, self.shown_prefix = prefix, prefix.translate(_STANDS_FOR)
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of letters: one unit, so the library's merges alone decide."""
+        if self.lower:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_STANDS_FOR)
+        return array(self.code, [token.id for token in self.merged(self.shown_prefix + word)]).tobytes()
+
+    def _any(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, key: str) -> bytes:
-        piece = key if key.startswith("\n") else self.prefix + key
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(self) >= MOST_REMEMBERED:
+        word = key.rstrip(_MARKS)
+        if word.isalpha() and max(word) < _LETTERS_BELOW:
+            # Marks behind a word are a unit of their own.
+            marks = key[len(word) :]
+            if marks not in self.marks:
+                self.marks[marks] = self._any(marks)
+            ids = self._letters(word) + self.marks[marks]
+        else:
+            ids = self._any(key if key.startswith("\n") else self.prefix + key)
+        if len(self) + len(self.marks) >= MOST_REMEMBERED:
             self.clear()
+            self.marks = {"": b""}
         self[key] = ids
         return ids
 
 
 class WordTokenizer:
-    """A tokenizer file; ``drops_spaces`` if its ids do not depend on white space."""
+    """A tokenizer file; ``drops_spaces`` if it lowers letters and its ids do not depend on white space."""
 
     def __init__(self, path: str, drops_spaces: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,8 +76,9 @@ class WordTokenizer:
         self.size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.drops_spaces = drops_spaces
-        self.plain = _Remembered(self.tokenizer, "", self.kind)
-        self.spaced = _Remembered(self.tokenizer, " ", self.kind)
+        code = "H" if self.kind == "<u2" else "I"
+        self.plain = _Remembered(self.tokenizer, "", code, drops_spaces)
+        self.spaced = _Remembered(self.tokenizer, " ", code, drops_spaces)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of the text, without special tokens; special tokens' strings in it are ordinary text."""
