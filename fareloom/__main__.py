@@ -17,6 +17,7 @@ def _parser() -> argparse.ArgumentParser:
     enrich.add_argument("--input-path", required=True)
     enrich.add_argument("--zones-path", required=True)
     enrich.add_argument("--output-path", required=True)
+    enrich.add_argument("--mode", default="errorifexists", choices=("errorifexists", "append", "overwrite"))
 
     table = commands.add_parser("catalog", help="bring the bronze catalog table up to date")
     table.add_argument("--input-path", required=True)
@@ -25,8 +26,12 @@ def _parser() -> argparse.ArgumentParser:
     table.add_argument("--database", default=catalog.DATABASE)
     table.add_argument("--table", default=catalog.TABLE)
 
+    table.add_argument("--max-bytes-per-trigger", type=int)
+    table.add_argument("--max-file-age", help="skip files that are older than the newest by more (default: 100 years)")
+
     for name in ("bronze", "silver", "gold"):
         stream = commands.add_parser(name, help=f"{name} streaming job")
+        stream.add_argument("--max-file-age", help="skip files that are older than the newest by more (default: 100 years)")
         stream.add_argument("--input-path", required=True)
         stream.add_argument("--output-path", required=True)
         stream.add_argument("--checkpoint-location", required=True)
@@ -35,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--once", action="store_true", help="process what is there, then stop")
         if name == "silver":
             stream.add_argument("--validation", default="off", choices=("off", "report", "fail"))
+            stream.add_argument("--report-path", help="folder of the table that keeps the counts of each batch")
             stream.add_argument("--rebalance", action="store_true", help="shuffle for fewer, fuller files")
         if name == "gold":
             stream.add_argument("--input-path-weather", required=True)
@@ -49,21 +55,28 @@ def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = get_session(args.job_name or f"fareloom-{args.job}")
     if args.job == "enrich":
-        return jobs.run_enrich(spark, args.input_path, args.zones_path, args.output_path)
+        return jobs.run_enrich(spark, args.input_path, args.zones_path, args.output_path, args.mode)
+    given = {"maxBytesPerTrigger": args.max_bytes_per_trigger, "maxFileAge": args.max_file_age}
+    source_options = {name: value for name, value in given.items() if value} or None
     if args.job == "catalog":
         jobs.run_catalog(
-            spark, args.input_path, args.output_path, args.checkpoint_location, args.database, args.table
+            spark,
+            args.input_path,
+            args.output_path,
+            args.checkpoint_location,
+            args.database,
+            args.table,
+            source_options=source_options,
         )
         return None
-    limit = args.max_bytes_per_trigger
-    options = {"fmt": args.format, "source_options": {"maxBytesPerTrigger": limit} if limit else None}
+    options = {"fmt": args.format, "source_options": source_options}
     if args.job == "bronze":
         options["trigger"] = ONCE_OVER_ALL_INPUT if args.once else None
         jobs.run_bronze(spark, args.input_path, args.output_path, args.checkpoint_location, **options)
         return None
     options["trigger"] = ONCE_OVER_ALL_INPUT if args.once else EVERY_100_SECONDS
     if args.job == "silver":
-        options.update(validation=args.validation, rebalance=args.rebalance)
+        options.update(validation=args.validation, rebalance=args.rebalance, report=args.report_path)
         jobs.run_silver(spark, args.input_path, args.output_path, args.checkpoint_location, **options)
         return None
     options.update(

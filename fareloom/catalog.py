@@ -1,5 +1,7 @@
 """The bronze table as the catalog declares it: lower-case names, one folder per vendor."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,6 +25,15 @@ def to_catalog_layout(raw: DataFrame) -> DataFrame:
     return raw.select(*columns, F.col("VendorID").cast("string").alias(PARTITION_COLUMN))
 
 
+def _plain(location: str) -> str:
+    return re.sub(r"^file:/+", "/", location).rstrip("/")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return _plain(described["data_type"])
+
+
 def register_bronze(
     spark: SparkSession,
     location: str,
@@ -35,6 +46,9 @@ def register_bronze(
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in DATA_COLUMNS)
     place = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
+    if spark.catalog.tableExists(name) and _location(spark, name) != _plain(location):
+        # The rows have moved, or a run was cut off between the two steps below. No file goes with the entry.
+        spark.sql(f"DROP TABLE {name}")
     if not spark.catalog.tableExists(name):
         # Created over a folder that a stream has written, a table would lose its partition column; it is
         # therefore created over no folder and then pointed to the real one.

@@ -1,13 +1,15 @@
 """The jobs. The streaming ones are coupled only by the folders they read and write."""
 
+from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from fareloom import catalog
-from fareloom.operators.quality import validate
+from fareloom.operators.quality import TRIP_CONSTRAINTS, Constraint, validate
 from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_zone_names
@@ -22,14 +24,28 @@ from fareloom.sources.readers import (
 )
 from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
-from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream
+from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream, report_stream
 
+BATCH_LIMITS = ("maxBytesPerTrigger", "maxFilesPerTrigger")
 GOLD_MODES = ("table", "stream", "bounded", "static")
 
 
-def run_enrich(spark: SparkSession, trips: str, zones: str, output: str, mode: str = "overwrite") -> None:
-    """Batch: raw trips plus both zone names."""
-    add_zone_names(read_trips(spark, trips), read_zones(spark, zones)).write.mode(mode).parquet(output)
+def as_raw_layout(trips: DataFrame) -> DataFrame:
+    """The trips in the types of the raw layout, for the columns of it that they have; other columns are kept.
+
+    Files come with whole numbers where the layout has doubles. A value that does not fit its type stops the job.
+    """
+    types = {field.name: field.dataType for field in RAW}
+    return trips.select(*(F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in trips.columns))
+
+
+def run_enrich(spark: SparkSession, trips: str, zones: str, output: str, mode: str = "errorifexists") -> None:
+    """Batch: raw trips plus both zone names, in the layout that the bronze job reads.
+
+    A folder that has rows already is an error, unless ``mode`` says ``append`` or ``overwrite``.
+    """
+    named = add_zone_names(as_raw_layout(read_trips(spark, trips)), read_zones(spark, zones))
+    named.write.mode(mode).parquet(output)
 
 
 def _finish(query: StreamingQuery, wait: bool) -> StreamingQuery:
@@ -66,15 +82,25 @@ def run_silver(
     checkpoint: str,
     *,
     validation: str = "off",
+    constraints: Sequence[Constraint] = TRIP_CONSTRAINTS,
+    report: str | None = None,
+    schema: StructType = RAW,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
     source_options: dict[str, Any] | None = None,
     rebalance: bool = False,
     wait: bool = True,
 ) -> StreamingQuery:
-    """Bronze to silver: rename, prune, validate, append by vendor."""
-    bronze = stream_trips(spark, source, fmt=fmt, options=source_options)
-    silver = validate(to_silver(bronze), validation)
+    """Bronze to silver: rename, prune, validate, append by vendor.
+
+    With ``report``, a folder, the counts of each batch and constraint are kept there by a second query.
+    """
+    bronze = stream_trips(spark, source, schema, fmt, source_options)
+    silver = validate(to_silver(bronze), validation, constraints)
+    if report:
+        place = f"{checkpoint.rstrip('/')}-report"
+        kept = report_stream(to_silver(bronze), report, place, constraints, trigger)
+        _finish(kept, wait and trigger == ONCE_OVER_ALL_INPUT)
     query = append_stream(
         silver, output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger, rebalance=rebalance
     )
@@ -106,6 +132,9 @@ def run_gold(
     """
     if mode not in GOLD_MODES:
         raise ValueError(f"unknown gold mode: {mode!r}")
+    if mode == "bounded" and any(limit in (source_options or {}) for limit in BATCH_LIMITS):
+        # Batches cut from a backlog move the watermark past rows that are still to come.
+        raise ValueError("the bounded mode takes all arrived trips in one batch; limit batches in the other modes")
     trips = stream_silver(spark, source, fmt, source_options)
     if mode == "table":
         if fmt != "parquet":
@@ -136,9 +165,13 @@ def run_catalog(
     database: str = catalog.DATABASE,
     table: str = catalog.TABLE,
     database_location: str | None = None,
+    source_options: dict[str, Any] | None = None,
 ) -> str:
-    """Bring the catalog table up to date with the bronze rows it does not have yet; return its name."""
-    rows = catalog.to_catalog_layout(stream_trips(spark, source))
+    """Bring the catalog table up to date with the bronze rows it does not have yet; return its name.
+
+    ``source_options`` may cut a backlog into batches.
+    """
+    rows = catalog.to_catalog_layout(stream_trips(spark, source, options=source_options))
     partition = catalog.PARTITION_COLUMN
     append_stream(
         rows, location, checkpoint, partition_by=partition, trigger=ONCE_OVER_ALL_INPUT

@@ -3,12 +3,13 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: name of the check in reports.
 CHECK_NAME = "Data Validation Check"
 OBSERVATION_NAME = "trip_quality"
+REPORT_SCHEMA = "batch_id long, constraint string, passed long, total long"
 
 
 @dataclass(frozen=True)
@@ -103,15 +104,39 @@ def require_quality(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONS
 
 
 def guard_rows(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS) -> DataFrame:
-    """Stop the job at the first row that fails.
+    """Stop the job at the first row that fails, naming all constraints that this row fails.
 
     Each constraint asks all rows to pass, so one bad row decides it. The check therefore rides along with
     the write in one pass, and a failed batch is never committed to the sink.
     """
-    for constraint in constraints:
-        stop = F.raise_error(F.lit(f"The data quality check has failed: {constraint.name}")).cast("boolean")
-        df = df.where(F.when(constraint.passes(), F.lit(True)).otherwise(stop))
-    return df
+    if not constraints:
+        return df
+    failed = F.concat_ws("; ", *(F.when(~c.passes(), F.lit(c.name)) for c in constraints))
+    stop = F.raise_error(F.concat(F.lit("The data quality check has failed: "), failed)).cast("boolean")
+    return df.where(F.when(failed == "", F.lit(True)).otherwise(stop))
+
+
+def batch_counts(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS) -> DataFrame:
+    """One row per constraint, counted in one pass: ``constraint``, rows that pass, and all rows."""
+    rows = [
+        F.struct(F.lit(c.name).alias("constraint"), F.col(f"passed_{i}").alias("passed"), F.col("total").alias("total"))
+        for i, c in enumerate(constraints)
+    ]
+    return df.agg(*_counts(constraints)).select(F.inline(F.array(*rows)))
+
+
+def keep_report(
+    df: DataFrame, folder: str, batch_id: int, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS
+) -> None:
+    """Write the counts of a static frame as batch ``batch_id`` of the report table; writing it again replaces it."""
+    batch_counts(df, constraints).coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """``batch_id, constraint, passed, total`` and the batch's status for each constraint."""
+    rows = spark.read.schema(REPORT_SCHEMA).parquet(folder)
+    status = F.when(F.col("passed") == F.col("total"), "Success").otherwise("Failure")
+    return rows.select("batch_id", "constraint", "passed", "total", status.alias("constraint_status"))
 
 
 def observe_quality(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS) -> DataFrame:

@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 
 from fareloom.operators.sizing import MAX_BROADCAST_BYTES, row_bytes
 from fareloom.schemas import ZONE_NAME_COLUMNS
+from fareloom.session import scratch_folder
 
 
 def one_name_per_zone(zones: DataFrame) -> DataFrame:
-    """``LocationID, Zone`` with each id once; the row that comes last in the file wins, even a null name."""
+    """``LocationID, Zone`` with each id once; the row that comes last in the file wins, even a null name.
+
+    Rows of several files count in the order of the splits they are read in: larger files first.
+    """
     return (
         zones.where(F.col("LocationID").isNotNull())
         .select("LocationID", F.struct("Zone").alias("name"), F.monotonically_increasing_id().alias("position"))
@@ -42,7 +46,7 @@ def add_zone_names(trips: DataFrame, zones: DataFrame, max_broadcast_bytes: int
     return _add(trips, zones, dict(zip(ZONE_NAME_COLUMNS, ("PULocationID", "DOLocationID"))), max_broadcast_bytes)
 
 
-def _names(zones: DataFrame, max_broadcast_bytes: int) -> tuple[DataFrame, bool]:
+def _names(zones: DataFrame, max_broadcast_bytes: int, streaming: bool) -> tuple[DataFrame, bool]:
     """The dimension with each id once, so that no lookup can multiply trips, and whether to broadcast it.
 
     One small job looks at both. Ids that are unique already, the normal case, need no further step.
@@ -53,12 +57,19 @@ def _names(zones: DataFrame, max_broadcast_bytes: int) -> tuple[DataFrame, bool]
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("LocationID").alias("ids"),
     ).first()
-    unique = names if seen["rows"] == seen["ids"] else one_name_per_zone(zones)
+    if seen["rows"] == seen["ids"]:
+        return names, seen["bytes"] <= max_broadcast_bytes
+    unique = one_name_per_zone(zones)
+    if streaming:
+        # Row positions cannot be part of a streaming plan, so they are settled before it starts.
+        folder = scratch_folder(zones.sparkSession, "zone-names")
+        unique.write.parquet(folder)
+        unique = zones.sparkSession.read.schema(unique.schema).parquet(folder)
     return unique, seen["bytes"] <= max_broadcast_bytes
 
 
 def _add(trips: DataFrame, zones: DataFrame, roles: dict[str, str], max_broadcast_bytes: int) -> DataFrame:
-    names, broadcast = _names(zones, max_broadcast_bytes)
+    names, broadcast = _names(zones, max_broadcast_bytes, trips.isStreaming)
     kept = trips.drop(*roles)
     result = kept
     for name_column, id_column in roles.items():

@@ -50,10 +50,11 @@ GOLD = StructType(list(SILVER.fields)).add("tempmax", "string").add("tempmin", "
 
 # The weather file is positional, so the order matters.
 WEATHER_COLUMNS = (
-    "name datetime tempmax tempmin temp feelslikemax feelslikemin feelslike dew humidity precip precipprob "
-    "precipcover preciptype snow snowdepth windgust windspeed winddir sealevelpressure cloudcover visibility "
-    "solarradiation solarenergy uvindex severerisk sunrise sunset moonphase conditions description icon stations"
-).split()
+    "name", "datetime", "tempmax", "tempmin", "temp", "feelslikemax", "feelslikemin", "feelslike", "dew",
+    "humidity", "precip", "precipprob", "precipcover", "preciptype", "snow", "snowdepth", "windgust",
+    "windspeed", "winddir", "sealevelpressure", "cloudcover", "visibility", "solarradiation", "solarenergy",
+    "uvindex", "severerisk", "sunrise", "sunset", "moonphase", "conditions", "description", "icon", "stations",
+)
 WEATHER = _layout(*((name, "string") for name in WEATHER_COLUMNS))
 
 ZONES = _layout(

@@ -44,17 +44,28 @@ def isolated_session(spark: SparkSession, settings: dict[str, str] | None = None
 
 
 @lru_cache(maxsize=1)
-def _fallback_root() -> str:
+def _local_root() -> str:
     return tempfile.mkdtemp(prefix="fareloom-")
 
 
+def _shared_root(spark: SparkSession) -> str:
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return _local_root()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused folder path under ``spark.checkpoint.dir``, removed when the driver exits.
+    """A new, unused folder path under the shared checkpoint folder, removed when the driver exits.
 
-    Only where that setting is absent, as in a local test, a local temporary folder is taken.
+    Where none is set, a local master takes a local temporary folder; on a cluster that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _fallback_root()
-    path = f"{root.rstrip('/')}/fareloom/{label}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark).rstrip('/')}/fareloom/{label}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
     return path
 
@@ -70,6 +81,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(location)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a glob pattern, on whichever file system it names."""
+    file_system, location = _located(spark, pattern)
+    return sorted(status.getPath().toString() for status in file_system.globStatus(location) or [])
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         file_system, location = _located(spark, path)

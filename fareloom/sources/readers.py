@@ -3,14 +3,20 @@
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fareloom.operators.weather import with_weather_day
 from fareloom.schemas import GOLD, RAW, SILVER, WEATHER, ZONES
+from fareloom.session import matching_paths
 
 # A header that is not in the expected order is an error instead of a silent mix-up.
 WEATHER_OPTIONS = {"header": "true", "sep": ",", "enforceSchema": "false"}
 
+# Spark's own limit of a week skips files that arrive late or are copied with their old time stamps. The price: the
+# driver keeps the names of all files it has seen, some hundred bytes each, until it compacts its log.
+MAX_FILE_AGE = "36500d"
+
 
 def _ordered(df: DataFrame, schema: StructType) -> DataFrame:
     # A partition column is read from the folder name and would otherwise come last.
@@ -20,9 +26,10 @@ def _ordered(df: DataFrame, schema: StructType) -> DataFrame:
 def _stream(
     spark: SparkSession, path: str, schema: StructType, fmt: str, options: dict[str, Any] | None
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt).options(**(options or {}))
-    # A Delta table brings its own schema.
-    return (reader if fmt == "delta" else reader.schema(schema)).load(path)
+    # A Delta table brings its own schema and knows its files.
+    if fmt == "delta":
+        return spark.readStream.format(fmt).options(**(options or {})).load(path)
+    return spark.readStream.format(fmt).options(**{"maxFileAge": MAX_FILE_AGE, **(options or {})}).schema(schema).load(path)
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -31,8 +38,16 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone dimension; the text ``N/A`` means no value."""
-    return spark.read.option("header", True).option("nullValue", "N/A").schema(ZONES).csv(path)
+    """Zone dimension, columns found by their header names; empty texts, ``N/A`` and ``NA`` mean no value.
+
+    Other columns are left out. A file without one of the expected columns is an error.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    missing = [name for name in ZONES.fieldNames() if name not in raw.columns]
+    if missing:
+        raise ValueError(f"zone file without {', '.join(missing)}: {path}")
+    value = {name: F.when(~F.trim(F.col(name)).isin("", "N/A", "NA"), F.col(name)) for name in ZONES.fieldNames()}
+    return raw.select(*(value[field.name].cast(field.dataType).alias(field.name) for field in ZONES))
 
 
 def stream_trips(
@@ -45,7 +60,7 @@ def stream_trips(
     """Raw or bronze trips as they arrive in a folder.
 
     ``options`` are those of Spark's file source. ``maxBytesPerTrigger`` cuts a large backlog into batches that
-    can be restarted one by one; ``maxFileAge`` admits files whose time stamp is over a week behind the newest.
+    can be restarted one by one; ``maxFileAge`` (100 years unless given) skips files that are older than the newest by more.
     """
     return _stream(spark, path, schema, fmt, options)
 
@@ -74,8 +89,16 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_weather(spark: SparkSession, path: str) -> DataFrame:
     """Weather files as they arrive, however old their time stamps are: late weather counts."""
-    return with_weather_day(_stream(spark, path, WEATHER, "csv", {**WEATHER_OPTIONS, "maxFileAge": "36500d"}))
+    return with_weather_day(_stream(spark, path, WEATHER, "csv", WEATHER_OPTIONS))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return _ordered(spark.read.schema(GOLD).parquet(path), GOLD)
+    """Gold rows. Of a table written in batch folders only the complete ones are read."""
+    reader = spark.read.schema(GOLD)
+    if not matching_paths(spark, f"{path.rstrip('/')}/batch_id=*"):
+        return _ordered(reader.parquet(path), GOLD)
+    complete = matching_paths(spark, f"{path.rstrip('/')}/batch_id=*/_SUCCESS")
+    if not complete:
+        return spark.createDataFrame([], GOLD)
+    folders = [marker.rsplit("/", 1)[0] for marker in complete]
+    return _ordered(reader.option("basePath", path).parquet(*folders), GOLD)

@@ -6,8 +6,12 @@ the pairs (trip, weather row) batch ``n`` emits those whose later member arrived
 
     trips of batch n      x  weather of batches <= n
     trips of batches < n  x  weather of batch n        (skipped unless new weather came)
+
+Trips are kept in a folder for each day and, in it, each batch: late weather opens the folders of its own days only.
+Output and checkpoint carry the same id; a folder written for another checkpoint is refused.
 """
 
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +23,9 @@ from fareloom.functions.days import trip_day
 from fareloom.operators.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 from fareloom.operators.weather import to_gold
 from fareloom.schemas import GOLD, SILVER
-from fareloom.session import path_exists
+from fareloom.session import matching_paths, path_exists
 
-# One folder per kind and batch: one batch, or all weather, is read without listing the rest. Files are sorted
-# by day, so that new weather skips the row groups of other days.
-_FOLDERS = ("kind", "batch_id")
+_KINDS = ("trip", "weather")
 _KEPT = StructType(list(GOLD.fields)).add("day", "date").add("kind", "string").add("batch_id", "long")
 _WEATHER_VALUES = ("tempmax", "tempmin")
 
@@ -38,16 +40,55 @@ def _one_stream(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return tagged_trips.unionByName(tagged_weather, allowMissingColumns=True).where(F.col("day").isNotNull())
 
 
-def _kept(spark: SparkSession, memory: str, folder: str) -> DataFrame:
-    if not path_exists(spark, f"{memory}/{folder}"):
+def _read(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], _KEPT)
-    return spark.read.schema(_KEPT).option("basePath", memory).parquet(f"{memory}/{folder}")
+    return spark.read.schema(_KEPT).option("basePath", root).parquet(*folders)
+
+
+def _known_weather(spark: SparkSession, memory: str, batch_id: int) -> DataFrame:
+    """Weather of the batches up to this one."""
+    root = f"{memory}/kind=weather"
+    folders = [root] if path_exists(spark, root) else []
+    return _read(spark, memory, folders).where(F.col("batch_id") <= batch_id)
+
+
+def _earlier_trips(spark: SparkSession, memory: str, weather: DataFrame, batch_id: int) -> DataFrame:
+    """Trips of earlier batches on the days of ``weather``; no other day's folder is listed or opened.
 
+    The days of one batch of weather come to the driver: there are as many as the calendar has.
+    """
+    days = [row["day"] for row in weather.select("day").distinct().collect()]
+    folders = [f"{memory}/kind=trip/day={day.isoformat()}" for day in days]
+    known = [folder for folder in folders if path_exists(spark, folder)]
+    return _read(spark, memory, known).where(F.col("batch_id") < batch_id)
+
+
+def _keep(rows: DataFrame, memory: str, kind: str, batch_id: int) -> None:
+    """Replace what this batch has kept of one kind. Weather, of which there is little, is not cut by day."""
+    folders = ("kind", "day", "batch_id") if kind == "trip" else ("kind", "batch_id")
+    (
+        rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .sortWithinPartitions(*folders)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders)
+        .parquet(memory)
+    )
 
-def _of_days(trips: DataFrame, weather: DataFrame) -> DataFrame:
-    """The trips within the first and last day of ``weather``, as a filter that reaches the scan."""
-    days = weather.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-    return trips.where(F.col("day").between(F.lit(days["first"]), F.lit(days["last"])))
+
+def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Give output and checkpoint one id on their first run; later refuse an output of another checkpoint."""
+    mine, its = f"{checkpoint.rstrip('/')}/output_id", f"{path.rstrip('/')}/_output_id"
+    read = lambda place: spark.read.schema("id string").json(place).first() if path_exists(spark, place) else None
+    own, found = read(mine), read(its)
+    if own is None:
+        own = {"id": uuid.uuid4().hex}
+        spark.createDataFrame([(own["id"],)], "id string").coalesce(1).write.mode("overwrite").json(mine)
+    if found is None and not matching_paths(spark, f"{path.rstrip('/')}/batch_id=*"):
+        spark.createDataFrame([(own["id"],)], "id string").coalesce(1).write.mode("overwrite").json(its)
+    elif found is None or found["id"] != own["id"]:
+        raise ValueError(f"{path} holds rows that this checkpoint does not know; batch numbers would clash")
 
 
 def _pairs(trips: DataFrame, weather: DataFrame, max_broadcast_bytes: int) -> DataFrame:
@@ -72,29 +113,22 @@ def start_remembered_join(
     Every write replaces the folders of its own batch, so a batch that is cut off and repeated leaves the same
     rows behind. A batch whose gold folder is complete is not written again; its readers keep their files.
     """
-    if path_exists(trips.sparkSession, path) and not path_exists(trips.sparkSession, memory):
-        raise ValueError(f"{path} holds rows that this checkpoint does not know; batch numbers would clash")
+    _claim(trips.sparkSession, path, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{path.rstrip('/')}/batch_id={batch_id}"
         if path_exists(spark, f"{target}/_SUCCESS"):
             return
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .sortWithinPartitions(*_FOLDERS, "day")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*_FOLDERS)
-            .parquet(memory)
-        )
-        new_weather = _kept(spark, memory, f"kind=weather/batch_id={batch_id}")
-        known_weather = _kept(spark, memory, "kind=weather").where(F.col("batch_id") <= batch_id)
-        gold = _pairs(_kept(spark, memory, f"kind=trip/batch_id={batch_id}"), known_weather, max_broadcast_bytes)
+        arrived = {kind: batch.where(F.col("kind") == kind) for kind in _KINDS}
+        for kind in _KINDS:
+            _keep(arrived[kind], memory, kind, batch_id)
+        gold = _pairs(arrived["trip"], _known_weather(spark, memory, batch_id), max_broadcast_bytes)
+        root = f"{memory}/kind=weather/batch_id={batch_id}"
+        new_weather = _read(spark, memory, [root] if path_exists(spark, root) else [])
         if batch_id > 0 and not new_weather.isEmpty():
-            earlier_trips = _kept(spark, memory, "kind=trip").where(F.col("batch_id") < batch_id)
-            late = _pairs(_of_days(earlier_trips, new_weather), new_weather, max_broadcast_bytes)
-            gold = gold.unionByName(late)
+            earlier = _earlier_trips(spark, memory, new_weather, batch_id)
+            gold = gold.unionByName(_pairs(earlier, new_weather, max_broadcast_bytes))
         gold.write.mode("overwrite").partitionBy("vendor_id").parquet(target)
 
     writer = _one_stream(trips, weather).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)

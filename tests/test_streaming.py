@@ -16,7 +16,7 @@ from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
 from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
-from fareloom.streaming.remembered import _kept, _of_days, start_remembered_join
+from fareloom.streaming.remembered import _earlier_trips, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 from tests.conftest import at, plan_of, raw_trips, rows_of, weather_rows
 
@@ -354,15 +354,17 @@ def test_static_weather_beyond_the_broadcast_bound(spark, lake):
     assert lake.gold_rows("s") == lake.batch_gold()
 
 
-def test_earlier_trips_are_filtered_in_the_scan(spark, lake):
+def test_late_weather_opens_the_folders_of_its_days_only(spark, lake):
     lake.add_trips(TRIPS, "bronze")
     lake.silver()
     lake.add_weather(DAY_TWO)
     lake.gold("table")
-    memory = _kept(spark, lake.folder("gold-table-c", "remembered"), "kind=trip").where("batch_id < 1")
-    plan = plan_of(_of_days(memory, spark.sql("SELECT DATE'2024-01-02' AS day")).select("day"))
-    assert "PushedFilters: [IsNotNull(day), GreaterThanOrEqual(day,2024-01-02), LessThanOrEqual(day,2024-01-02)]" in plan
-    assert "(batch_id" in plan.split("PartitionFilters")[1]
+    memory = lake.folder("gold-table-c", "remembered")
+    weather = spark.sql("SELECT explode(array(DATE'2024-01-01', DATE'2024-01-03', DATE'2031-05-05')) AS day")
+    earlier = _earlier_trips(spark, memory, weather, 1)
+    days = {Path(file).parent.parent.name for file in earlier.inputFiles()}
+    assert days == {"day=2024-01-01", "day=2024-01-03"} and earlier.count() == 13
+    assert "(batch_id" in plan_of(earlier.select("day")).split("PartitionFilters")[1]
 
 
 def test_unknown_mode_is_refused(spark, folder):
