@@ -73,6 +73,12 @@ SELECT CAST(vendor_id AS VARCHAR) AS vendor_id, pickup_timestamp, drop_off_times
 FROM silver JOIN weather ON CAST(drop_off_timestamp AS DATE) = date"""
 
 
+# The rows after each of two runs; the first knows the weather of the days before.
+_LATE_RUNS = f"""SELECT *, 1 AS run FROM ({_gold(_ONE_STATION)} AND date < DATE '1998-06-01')
+UNION ALL
+SELECT *, 2 AS run FROM ({_gold(_ONE_STATION)})"""
+
+
 _PASSES = {
     "isComplete(vendor_id)": "VendorID IS NOT NULL",
     "isNonNegative(fare_amount)": "coalesce(fare_amount, 0) >= 0",
@@ -106,12 +112,12 @@ ORACLES: dict[str, str] = {
     "bronze_scan": f"WITH {_TRIPS} SELECT * FROM trips",
     "zones_csv": """
 SELECT n_nationkey AS LocationID, CAST(n_regionkey AS VARCHAR) AS Borough,
-       CASE WHEN n_nationkey <> 24 THEN n_name END AS Zone, 'all' AS service_zone
+       CASE WHEN n_nationkey < 22 THEN n_name END AS Zone, 'all' AS service_zone
 FROM nation""",
     "enrich_pickup": f"WITH {_ENRICHED} SELECT * EXCLUDE (drop_off_location) FROM enriched",
     "enrich_dropoff": f"WITH {_ENRICHED} SELECT * EXCLUDE (pickup_location) FROM enriched",
     "enrich_zones": f"WITH {_ENRICHED} SELECT * FROM enriched",
-    "enrich_roundtrip": f"WITH {_ENRICHED} SELECT * FROM enriched",
+    "enrich_roundtrip": f"WITH {_ENRICHED} SELECT {_RAW_COLUMNS} FROM enriched",
     "silver_rename": f"""WITH {_ENRICHED}
 SELECT * RENAME (VendorID AS vendor_id, tpep_pickup_datetime AS pickup_timestamp,
                  tpep_dropoff_datetime AS drop_off_timestamp)
@@ -138,6 +144,7 @@ FROM counted""",
     "dq_gate": f"""{_REPORT}
 SELECT count(*) AS failed_constraints, count(*) > 0 AS rejected FROM counted WHERE passed <> total""",
     "stream_bronze": f"WITH {_ENRICHED} SELECT {_RAW_COLUMNS} FROM enriched",
+    "stream_bronze_batches": f"WITH {_ENRICHED} SELECT {_RAW_COLUMNS} FROM enriched",
     "stream_silver": f"WITH {_SILVER} SELECT * REPLACE ({_STREAM_SILVER}) FROM silver",
     "stream_report": f"""WITH {_TRIPS}
 SELECT count(*) AS total, {", ".join(f"{p} AS passed_{i}" for i, p in enumerate(_PASSED))} FROM trips""",
@@ -145,18 +152,19 @@ SELECT count(*) AS total, {", ".join(f"{p} AS passed_{i}" for i, p in enumerate(
 SELECT CASE WHEN bool_and({_ALL_PASS}) THEN count(*) ELSE 0 END AS rows_written,
        NOT bool_and({_ALL_PASS}) AS rejected
 FROM trips""",
+    "stream_gate_open": f"WITH {_SILVER} SELECT * REPLACE ({_STREAM_SILVER}) FROM silver",
     "silver_partition_read": f"""WITH {_SILVER}
-SELECT {_STREAM_SILVER}, count(*) AS trips, count(pickup_location) AS named_pickups FROM silver GROUP BY 1""",
+SELECT {_STREAM_SILVER}, payment_type, fare_amount, pickup_location FROM silver""",
     "stream_gold": _gold(_ONE_STATION),
     "stream_gold_fanout": _gold(_THREE_STATIONS),
     "stream_gold_bounded": _gold(_ONE_STATION),
     "stream_gold_static": _gold(_ONE_STATION),
     "stream_gold_table": _gold(_ONE_STATION),
-    "stream_gold_late_weather": _gold(_ONE_STATION),
-    "stream_gold_table_late_weather": _gold(_ONE_STATION),
+    "stream_gold_late_weather": _LATE_RUNS,
+    "stream_gold_table_late_weather": _LATE_RUNS,
     "bronze_evolution": f"""WITH {_ENRICHED}
-SELECT * FROM enriched
+SELECT {_RAW_COLUMNS} FROM enriched
 UNION ALL
-SELECT l_orderkey, {_BEFORE_NAMES}, NULL, NULL FROM enriched""",
+SELECT {_BEFORE_NAMES}, NULL, NULL FROM enriched""",
     "catalog_bronze": f"WITH {_ENRICHED} SELECT {_CATALOG_COLUMNS}, CAST(VendorID AS VARCHAR) AS vendorid FROM enriched",
 }

@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from fareloom.functions.days import trip_day
-from fareloom.jobs import run_gold, run_silver
+from fareloom.jobs import run_bronze, run_enrich, run_gold, run_silver
 from fareloom.operators.quality import (
-    OBSERVATION_NAME,
     TRIP_CONSTRAINTS,
-    failed_constraints,
+    QualityError,
+    is_complete,
+    is_non_negative,
     passing_rows,
     quality_report,
+    read_report,
+    require_quality,
 )
 from fareloom.operators.silver import rename_to_silver, to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_drop_off_zone, add_pickup_zone
 from fareloom.plans import fixtures
-from fareloom.schemas import UNENRICHED
-from fareloom.session import scratch_folder
-from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, read_zones
+from fareloom.schemas import RAW, UNENRICHED
+from fareloom.session import scratch_folder, set_old_time
+from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_trips, read_weather, read_zones
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,24 +36,26 @@ LATE_FROM = "1998-06-01"
 
 def _without_zone(df: DataFrame) -> DataFrame:
     """Instants as plain UTC times, which compare the same wherever the result is collected."""
-    df.sparkSession.conf.set("spark.sql.session.timeZone", "UTC")
+    utc = lambda name: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(name).cast("timestamp_ntz"))
     return df.select(
-        *(
-            F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
-            for f in df.schema
-        )
+        *(utc(f.name).alias(f.name) if isinstance(f.dataType, TimestampType) else f.name for f in df.schema)
     )
 
 
 def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.trips(spark, sf_dir)
+    folder = scratch_folder(spark, "raw")
+    fixtures.trips(spark, sf_dir).write.parquet(folder)
+    return read_trips(spark, folder)
 
 
 def zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone file with its columns in another order and one more, an empty name and two that say there is none."""
     folder = scratch_folder(spark, "zones")
-    last = F.col("LocationID") == 24
-    staged = fixtures.zones(spark, sf_dir).withColumn("Zone", F.when(last, "N/A").otherwise(F.col("Zone")))
-    staged.write.option("header", True).option("quoteAll", True).csv(folder)
+    number = F.col("LocationID")
+    name = F.when(number == 24, "N/A").when(number == 23, "").when(number == 22, "NA").otherwise(F.col("Zone"))
+    staged = fixtures.zones(spark, sf_dir).withColumn("Zone", name).withColumn("remark", F.lit("x"))
+    staged = staged.select("Zone", "remark", "LocationID", "service_zone", "Borough")
+    staged.write.option("header", True).option("quoteAll", True).option("emptyValue", "").csv(folder)
     return read_zones(spark, folder)
 
 
@@ -67,9 +72,16 @@ def enrich_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files with whole numbers and a zone file, through the enrichment job and the bronze job."""
     folder = scratch_folder(spark, "enriched")
-    fixtures.enriched(spark, sf_dir).write.parquet(folder)
-    return spark.read.parquet(folder)
+    whole = {name: F.col(name).cast("long") for name in ("passenger_count", "RatecodeID", "VendorID", "PULocationID")}
+    job = fixtures.job_session(spark)
+    raw = fixtures.trips(job, sf_dir).drop(fixtures.ROW_TAG).withColumns(whole)
+    raw.write.parquet(f"{folder}/raw")
+    fixtures.zones(job, sf_dir).write.option("header", True).csv(f"{folder}/zones")
+    run_enrich(job, f"{folder}/raw", f"{folder}/zones", f"{folder}/named")
+    run_bronze(job, f"{folder}/named", f"{folder}/bronze", f"{folder}/checkpoint", trigger=ONCE_OVER_ALL_INPUT)
+    return _without_zone(read_bronze(spark, f"{folder}/bronze"))
 
 
 def silver_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,26 +129,49 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = F.count(F.lit(1))
-    return failed_constraints(dq_report(spark, sf_dir)).agg(
-        failed.alias("failed_constraints"), (failed > 0).alias("rejected")
-    )
+    """One row: how many constraints the gate names when it stops the trips, and whether it does."""
+    rejected, named = False, 0
+    try:
+        require_quality(rename_to_silver(fixtures.trips(spark, sf_dir)))
+    except QualityError as error:
+        rejected, named = True, sum(constraint.name in str(error) for constraint in TRIP_CONSTRAINTS)
+    row = spark.range(1).select(F.lit(named).cast("long").alias("failed_constraints"))
+    return row.withColumn("rejected", F.lit(rejected))
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(read_bronze(spark, fixtures.staged_bronze(spark, sf_dir)))
 
 
+def stream_bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze in batches of one file, stopped and started again, with an old time stamp on a file that comes later."""
+    folder = scratch_folder(spark, "bronze-batches")
+    job = fixtures.job_session(spark)
+    staged = job.read.schema(RAW).parquet(fixtures.staged_trips(spark, sf_dir))
+    for part in (0, 1):
+        rows = staged.where(F.pmod(F.xxhash64(*RAW.fieldNames()), F.lit(2)) == part)
+        rows.repartition(3).write.mode("append").parquet(f"{folder}/raw")
+        if part:
+            set_old_time(spark, f"{folder}/raw")
+        run_bronze(
+            job,
+            f"{folder}/raw",
+            f"{folder}/table",
+            f"{folder}/checkpoint",
+            trigger=ONCE_OVER_ALL_INPUT,
+            source_options={"maxFilesPerTrigger": 1},
+        )
+    return _without_zone(read_bronze(spark, f"{folder}/table"))
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(read_silver(spark, fixtures.staged_silver(spark, sf_dir)))
 
 
 def silver_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per vendor folder: the vendor is text, and rows of no vendor keep theirs as null."""
+    """All rows by their vendor folder: the vendor is text, and rows of no vendor keep theirs as null."""
     silver = read_silver(spark, fixtures.staged_silver(spark, sf_dir))
-    return silver.groupBy("vendor_id").agg(
-        F.count(F.lit(1)).alias("trips"), F.count("pickup_location").alias("named_pickups")
-    )
+    return silver.select("vendor_id", "payment_type", "fare_amount", "pickup_location")
 
 
 def _stream_gold(mode: str, stations: bool = False) -> Query:
@@ -160,7 +195,7 @@ def _stream_gold_late_weather(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_folder(spark, f"gold-late-{mode}")
         weather = fixtures.weather(spark, sf_dir)
-        for arrived in (F.col("datetime") < LATE_FROM, F.col("datetime") >= LATE_FROM):
+        for run, arrived in enumerate((F.col("datetime") < LATE_FROM, F.col("datetime") >= LATE_FROM), 1):
             fixtures.write_weather(weather.where(arrived), f"{folder}/weather")
             run_gold(
                 fixtures.job_session(spark),
@@ -171,27 +206,46 @@ def _stream_gold_late_weather(mode: str) -> Query:
                 mode=mode,
                 trigger=ONCE_OVER_ALL_INPUT,
             )
-        return _without_zone(read_gold(spark, f"{folder}/table"))
+            # The rows there are after each run; the second run adds to the same table.
+            seen = read_gold(spark, f"{folder}/table").withColumn("run", F.lit(run))
+            seen.write.mode("append").parquet(f"{folder}/seen")
+        return _without_zone(spark.read.parquet(f"{folder}/seen"))
 
     return query
 
 
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts a silver stream reports about itself, summed over its batches."""
+    """The counts that the silver job keeps of each batch, summed over its batches of one file each."""
     folder = scratch_folder(spark, "silver-report")
-    run = run_silver(
+    run_silver(
         fixtures.job_session(spark),
         fixtures.staged_bronze(spark, sf_dir),
         f"{folder}/table",
         f"{folder}/checkpoint",
         validation="report",
+        report=f"{folder}/report",
+        trigger=ONCE_OVER_ALL_INPUT,
+        source_options={"maxFilesPerTrigger": 1},
+    )
+    kept = read_report(spark, f"{folder}/report")
+    of = lambda c, value: F.sum(F.when(F.col("constraint") == c.name, F.col(value)))
+    passed = [of(c, "passed").alias(f"passed_{i}") for i, c in enumerate(TRIP_CONSTRAINTS)]
+    return kept.agg(of(TRIP_CONSTRAINTS[0], "total").alias("total"), *passed)
+
+
+def stream_gate_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows behind a gate whose constraints all rows pass."""
+    folder = scratch_folder(spark, "silver-gate-open")
+    run_silver(
+        fixtures.job_session(spark),
+        fixtures.staged_bronze(spark, sf_dir),
+        f"{folder}/table",
+        f"{folder}/checkpoint",
+        validation="fail",
+        constraints=(is_complete("payment_type"), is_non_negative("passenger_count")),
         trigger=ONCE_OVER_ALL_INPUT,
     )
-    batches = [p.observedMetrics[OBSERVATION_NAME].asDict() for p in run.recentProgress if p.observedMetrics]
-    names = ["total", *(f"passed_{i}" for i in range(len(TRIP_CONSTRAINTS)))]
-    rows = [tuple(batch[name] for name in names) for batch in batches]
-    counts = spark.createDataFrame(rows, ", ".join(f"{name} long" for name in names))
-    return counts.agg(*(F.sum(name).alias(name) for name in names))
+    return _without_zone(read_silver(spark, f"{folder}/table"))
 
 
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,12 +270,16 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trips appended twice to one table: once before and once after the zone names were added."""
+    """All trips go through the bronze job twice: with a schema before the zone names, and after a restart with them."""
     folder = scratch_folder(spark, "evolution")
-    widened = fixtures.enriched(spark, sf_dir)
-    widened.select(fixtures.ROW_TAG, *UNENRICHED.fieldNames()).write.parquet(folder)
-    widened.write.mode("append").parquet(folder)
-    return read_bronze(spark, folder, schema=None)
+    job = fixtures.job_session(spark)
+    named = job.read.schema(RAW).parquet(fixtures.staged_trips(spark, sf_dir))
+    for schema in (UNENRICHED, RAW):
+        named.select(*schema.fieldNames()).write.mode("append").parquet(f"{folder}/raw")
+        run_bronze(
+            job, f"{folder}/raw", f"{folder}/table", f"{folder}/checkpoint", schema=schema, trigger=ONCE_OVER_ALL_INPUT
+        )
+    return _without_zone(read_bronze(spark, f"{folder}/table", schema=None))
 
 
 def catalog_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,9 +306,11 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     "dq_gate": dq_gate,
     "stream_bronze": stream_bronze,
+    "stream_bronze_batches": stream_bronze_batches,
     "stream_silver": stream_silver,
     "stream_report": stream_report,
     "stream_gate": stream_gate,
+    "stream_gate_open": stream_gate_open,
     "silver_partition_read": silver_partition_read,
     "stream_gold": _stream_gold("stream"),
     "stream_gold_fanout": _stream_gold("stream", stations=True),

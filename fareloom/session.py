@@ -87,6 +87,14 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in file_system.globStatus(location) or [])
 
 
+def set_old_time(spark: SparkSession, folder: str) -> None:
+    """Give the file of a folder that was written last a time stamp of many years ago."""
+    file_system, location = _located(spark, folder)
+    files = [f for f in file_system.listStatus(location) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    newest = max(files, key=lambda f: (f.getModificationTime(), f.getPath().getName()))
+    file_system.setTimes(newest.getPath(), 10**12, -1)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         file_system, location = _located(spark, path)
