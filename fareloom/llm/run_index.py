@@ -1,14 +1,15 @@
 """A run-compressed index over many short byte strings, for matches of one fixed length.
 
-The strings are laid end to end, in the order given, with a separator that no UTF-8 text has. Their rotations are sorted by
-their first ``length`` bytes and then by place, and the byte before each is the Burrows-Wheeler transform. Only its runs
-are kept: the byte of each run, where it starts, and how many equal bytes lie before it. Places are sampled at
-the ends of stretches of rows that share ``length`` bytes; as rows of one stretch are ordered by place, the sample of its first
-row is the first occurrence of those bytes in all strings.
-
-Matching statistics are streamed: a string is read from its end, each byte takes the row to the first row of the rotations
-that start with what has been read, through the runs alone; from ``length`` bytes on a row is led back to the head of its
-stretch, as statistics are only asked for up to that length. All strings advance together in numpy.
+The strings are laid end to end, in the order given, with a separator that no UTF-8 text has. A row stands for each place
+with ``length`` bytes of its string behind it, and for the place after the last of these. Rows are sorted by
+their first ``length`` bytes and then by place; the byte before each is the Burrows-Wheeler transform. Only its runs are
+kept: the byte of each run, where it starts, and how many equal bytes lie before it. Places are sampled at the ends
+of stretches of rows that share ``length`` bytes; as such rows are ordered by place, the sample of a stretch's first row is the
+first occurrence of those bytes in all strings.
+
+Matching statistics are streamed: a string is read from its end, each byte takes the row to the rows that start with it and
+go on like the one before, through the runs alone, and then to the head of their stretch, as statistics are only
+asked for up to ``length``. All strings advance together in numpy.
 """
 
 import numpy as np
@@ -61,54 +62,59 @@ class RunIndex:
         inside[ends - 1] = False
         text[inside] = strings
         self.text, self.begins, self.lengths = text, ends - lengths - 1, lengths
+        left = np.repeat(ends, lengths + 1) - np.arange(len(text)) - 1
         ranks = _prefix_ranks(text, length)
-        rows = np.sort(ranks << _BIG | np.arange(len(text), dtype=np.uint64))
+        chosen = np.flatnonzero(left >= length - 1)
+        rows = np.sort(ranks[chosen] << _BIG | chosen.astype(np.uint64))
         places = (rows & np.uint64(0xFFFFFFFF)).astype(np.int64)
         group = (rows >> _BIG).astype(np.int64)
         before = text[places - 1]
         # Runs of the transform: their byte, their first row, and equal bytes before them in all rows.
-        heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+        heads = np.flatnonzero(np.diff(before.astype(np.int16), prepend=-1))
         order = np.argsort(before[heads], kind="stable")
         self.run_byte = before[heads][order]
         self.run_start = heads[order]
-        self.run_length = np.diff(np.append(heads, len(text)))[order]
+        self.run_length = np.diff(np.append(heads, len(rows)))[order]
         total = np.cumsum(self.run_length)
-        self.first_run = np.searchsorted(self.run_byte, np.arange(257))
-        self.smaller = np.concatenate([[0], total])[self.first_run]
+        self.smaller = np.concatenate([[0], total])[np.searchsorted(self.run_byte, np.arange(256))]
         self.run_before = total - self.run_length - self.smaller[self.run_byte]
-        self.run_key = self.run_byte.astype(np.int64) << 40 | self.run_start
-        # Stretches of rows with equal first bytes: their first rows, and the first place each has in the strings.
-        self.stretch_row = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        self.stretch_place = places[self.stretch_row]
+        self.run_key = self.run_byte.astype(np.int64) << 32 | self.run_start
+        # Rows of whole strings of ``length`` bytes, which are those that a byte can lead to; the others end a string.
+        whole = left[places] >= length
+        self.whole_rows = np.flatnonzero(whole)
+        ending = np.flatnonzero(~whole)
+        self.ending_rows = ending[np.argsort(places[ending])]
+        # The first row of each row's stretch, and the place sampled there.
+        fresh = np.diff(group, prepend=-1) != 0
+        self.head = np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0))
+        self.head_place = places
 
     @property
     def runs(self) -> int:
         return len(self.run_key)
 
     def _step(self, rows: np.ndarray, octets: np.ndarray) -> np.ndarray:
-        """The first row of each rotation that starts with the byte and goes on like the row's."""
-        key = octets.astype(np.int64) << 40 | rows
-        run = np.searchsorted(self.run_key, key, side="right") - 1
+        """The head of the rows that start with the byte and go on like the given row."""
+        run = np.searchsorted(self.run_key, octets.astype(np.int64) << 32 | rows, side="right") - 1
         same = (run >= 0) & (self.run_byte[run] == octets)
         inside = np.minimum(rows - self.run_start[run], self.run_length[run])
-        return self.smaller[octets] + np.where(same, self.run_before[run] + inside, 0)
+        image = self.smaller[octets] + np.where(same, self.run_before[run] + inside, 0)
+        return self.head[self.whole_rows[image]]
 
     def first_places(self) -> tuple[np.ndarray, np.ndarray]:
         """(place, first): for every place with a whole match length in its string, where those bytes come first."""
-        order = np.argsort(-self.lengths, kind="stable")
-        sizes = self.lengths[order]
-        last = (self.begins + self.lengths)[order]
-        rows = np.zeros(len(order), np.int64)
-        found_place, found_first = [], []
+        ended = self.lengths >= self.length - 1
+        sizes = self.lengths[ended] - self.length + 1
+        order = np.argsort(-sizes, kind="stable")
+        sizes, rows = sizes[order], self.ending_rows[order]
+        last = self.begins[ended][order] + sizes
+        found_place, found_row = [], []
         for step in range(1, int(sizes[0]) + 1 if len(sizes) else 0):
             alive = int(np.searchsorted(-sizes, -step, side="right"))
             place = last[:alive] - step
             rows = self._step(rows[:alive], self.text[place])
-            if step >= self.length:
-                stretch = np.searchsorted(self.stretch_row, rows, side="right") - 1
-                rows = self.stretch_row[stretch]
-                found_place.append(place)
-                found_first.append(self.stretch_place[stretch])
+            found_place.append(place)
+            found_row.append(rows)
         if not found_place:
             return np.array([], np.int64), np.array([], np.int64)
-        return np.concatenate(found_place), np.concatenate(found_first)
+        return np.concatenate(found_place), self.head_place[np.concatenate(found_row)]

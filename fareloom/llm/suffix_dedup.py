@@ -40,6 +40,8 @@ LENGTH = 50
 ANCHOR = 16
 GROUP_BYTES = 16 << 20
 MOST_GROUPS = 50_000
+#: Text that one index holds; a bucket has as many indexes as it needs.
+INDEX_BYTES = 1 << 20
 _WINDOW = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -152,18 +154,23 @@ class _Group:
         np.maximum.at(most, self.anchor_of, ids)
         return most > least
 
-    def sent(self, repeated: np.ndarray) -> tuple[dict[int, dict[bytes, int]], list[tuple[int, int, int]]]:
-        """Distinct stretches of repeated anchors by bucket, each with its smallest id, and all (stretch, bucket, number)."""
-        by_bucket: dict[int, dict[bytes, tuple[int, int]]] = {}
+    def sent(self, repeated: np.ndarray) -> tuple[dict[int, dict[bytes, tuple[int, int, int]]], list[tuple[int, int, int]]]:
+        """Distinct stretches of repeated anchors by bucket, with number, smallest id and hash of the anchor, and all uses.
+
+        A use is (stretch, bucket, number of the distinct one).
+        """
+        by_bucket: dict[int, dict[bytes, tuple[int, int, int]]] = {}
         uses = []
         chosen = np.flatnonzero(repeated[self.anchor_of])
-        columns = (chosen, self.document[chosen], self.start[chosen], self.end[chosen], self.bucket[self.anchor_of[chosen]])
-        for i, d, s, e, b in zip(*(c.tolist() for c in columns)):
+        anchor = self.anchor_of[chosen]
+        low = (self.hashes & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        columns = (chosen, self.document[chosen], self.start[chosen], self.end[chosen], self.bucket[anchor], low[anchor])
+        for i, d, s, e, b, a in zip(*(c.tolist() for c in columns)):
             # Documents are in order of ids, so the first to bring a stretch has the smallest.
             known = by_bucket.setdefault(b, {})
-            number, _ = known.setdefault(self.texts[d][s:e], (len(known), int(self.order[d])))
-            uses.append((i, b, number))
-        return {b: {s: o for s, (_, o) in known.items()} for b, known in by_bucket.items()}, uses
+            entry = known.setdefault(self.texts[d][s:e], (len(known), int(self.order[d]), a))
+            uses.append((i, b, entry[0]))
+        return by_bucket, uses
 
 
 def _reply(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.Table:
@@ -218,47 +225,60 @@ def _brought(buckets: int, length: int):
         sent, _ = group.sent(_repeated(group, replies))
         out = []
         for b, known in sent.items():
-            about = np.array([(o, len(s)) for s, o in known.items()], "<i8")
+            about = np.array([(o, len(s), a) for s, (_, o, a) in known.items()], "<i8")
             out.append((g, b, 2, about.tobytes(), b"".join(known)))
         return _reply(out)
 
     return run
 
 
+def _earlier_parts(strings: list[bytes], ids: np.ndarray, length: int) -> dict[bytes, list[tuple[int, int]]]:
+    """The (start, end) parts of each string that one with a smaller id has; strings are in order of ids."""
+    index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), length)
+    place, first = index.first_places()
+    owner, source = (np.searchsorted(index.begins, x, side="right") - 1 for x in (place, first))
+    place = np.sort(place[ids[source] < ids[owner]])
+    if not len(place):
+        return {}
+    fresh = np.flatnonzero(np.diff(place, prepend=-2) != 1)
+    starts, ends = place[fresh], place[np.append(fresh[1:], len(place)) - 1]
+    owner = np.searchsorted(index.begins, starts, side="right") - 1
+    parts: dict[bytes, list[tuple[int, int]]] = {}
+    for k, s, e in zip(owner.tolist(), (starts - index.begins[owner]).tolist(), (ends - index.begins[owner]).tolist()):
+        parts.setdefault(strings[k], []).append((s, e + length))
+    return parts
+
+
 def _matched(length: int):
     """Bucket to groups: for each stretch the smallest id that has it, and the parts that a smaller id has."""
 
     def run(rows: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        numbers = []
+        known: dict[bytes, tuple[int, int]] = {}
+        brought = []
         for first, second in zip(rows.column("first"), rows.column("second")):
-            about, octets = np.frombuffer(first.as_py(), "<i8").reshape(-1, 2), second.as_py()
+            about, octets = np.frombuffer(first.as_py(), "<i8").reshape(-1, 3), second.as_py()
             ends = np.cumsum(about[:, 1])
             mine = []
-            for (o, n), end in zip(about.tolist(), ends.tolist()):
+            for (o, n, a), end in zip(about.tolist(), ends.tolist()):
                 string = octets[end - n : end]
-                known[string] = min(o, known.get(string, _LAST))
                 mine.append(string)
-            numbers.append((about[:, 0], mine))
-        strings = sorted(known, key=known.__getitem__)
-        ids = np.array([known[s] for s in strings], np.int64)
-        index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), length)
-        place, first = index.first_places()
-        owner, source = (np.searchsorted(index.begins, x, side="right") - 1 for x in (place, first))
-        place = np.sort(place[ids[source] < ids[owner]])
-        fresh = np.concatenate([[True], np.diff(place) != 1]) if len(place) else np.array([], bool)
-        starts, ends = place[fresh], place[np.append(np.flatnonzero(fresh)[1:], len(place)) - 1] if len(place) else place
-        owner = np.searchsorted(index.begins, starts, side="right") - 1
-        parts: dict[int, list[tuple[int, int]]] = {}
-        for k, s, e in zip(owner.tolist(), (starts - index.begins[owner]).tolist(), (ends - index.begins[owner]).tolist()):
-            parts.setdefault(k, []).append((s, e + length))
-        number = {s: k for k, s in enumerate(strings)}
+                if string not in known or o < known[string][0]:
+                    known[string] = (o, a)
+            brought.append((about[:, 0].tolist(), mine))
+        # Several smaller indexes, each over all stretches of its anchors, take less memory than one.
+        share = max(1, sum(map(len, known)) // INDEX_BYTES)
+        by_index: dict[int, list[bytes]] = {}
+        for string, (_, a) in known.items():
+            by_index.setdefault(a % share, []).append(string)
+        parts: dict[bytes, list[tuple[int, int]]] = {}
+        for strings in by_index.values():
+            strings.sort(key=known.__getitem__)
+            parts |= _earlier_parts(strings, np.array([known[s][0] for s in strings], np.int64), length)
         out = []
-        for g, b, (own, mine) in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), numbers):
-            at = [number[s] for s in mine]
-            least = ids[at]
-            spans = [(i, *span) for i, k in enumerate(at) if own[i] == least[i] for span in parts.get(k, ())]
-            out.append((g, b, 3, least.astype("<i8").tobytes(), np.array(spans, "<i4").tobytes()))
+        for g, b, (own, mine) in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), brought):
+            least = [known[s][0] for s in mine]
+            spans = [(i, *span) for i, s in enumerate(mine) if own[i] == least[i] for span in parts.get(s, ())]
+            out.append((g, b, 3, np.array(least, "<i8").tobytes(), np.array(spans, "<i4").tobytes()))
         return _reply(out)
 
     return run
