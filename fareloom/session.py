@@ -48,6 +48,10 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="fareloom-")
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def _shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -55,7 +59,7 @@ def _shared_root(spark: SparkSession) -> str:
     given = spark.sparkContext._jsc.sc().getCheckpointDir()
     if given.isDefined():
         return given.get()
-    if spark.sparkContext.master.split("[")[0] == "local":
+    if _is_local(spark):
         return _local_root()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
