@@ -20,6 +20,8 @@ _BIG = np.uint64(32)
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
     """The rank of each key among the distinct keys."""
+    if not len(keys):
+        return keys
     order = np.argsort(keys)
     ranked = keys[order]
     fresh = np.empty(len(keys), np.int64)
@@ -30,25 +32,24 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _paired(ranks: np.ndarray, distance: int) -> np.ndarray:
-    """Ranks by the rank at a place and then by that ``distance`` places on; beyond the end counts as last."""
-    later = np.full(len(ranks), len(ranks), np.uint64)
-    later[: len(ranks) - distance] = ranks[distance:]
-    return _ranks(ranks << _BIG | later)
+def _paired(ranks: np.ndarray, distance: int, places: np.ndarray) -> np.ndarray:
+    """Ranks of places by the rank there and then by that ``distance`` on; beyond the end counts as last."""
+    later = np.append(ranks, np.full(distance, len(ranks), np.uint64))
+    return _ranks(ranks[places] << _BIG | later[places + distance])
 
 
-def _prefix_ranks(text: np.ndarray, length: int) -> np.ndarray:
-    """The rank of the ``length`` bytes (more than 8) at each place; the text ends with enough separators."""
+def _prefix_ranks(text: np.ndarray, length: int, places: np.ndarray) -> np.ndarray:
+    """The rank of the ``length`` bytes (more than 8) at each of the places."""
     padded = np.concatenate([text, np.full(8, SEPARATOR, np.uint8)])
     keys = np.zeros(len(text), np.uint64)
     for k in range(8):
         keys = keys << np.uint64(8) | padded[k : k + len(text)]
     ranks, known = _ranks(keys), 8
-    while known < length:
-        # The last step overlaps: what is known twice does not change the order.
-        distance = min(known, length - known)
-        ranks, known = _paired(ranks, distance), known + distance
-    return ranks
+    everywhere = np.arange(len(text))
+    while 2 * known < length:
+        ranks, known = _paired(ranks, known, everywhere), 2 * known
+    # The last step overlaps, as what is known twice does not change the order, and is for these places only.
+    return _paired(ranks, length - known, places)
 
 
 class RunIndex:
@@ -63,9 +64,9 @@ class RunIndex:
         text[inside] = strings
         self.text, self.begins, self.lengths = text, ends - lengths - 1, lengths
         left = np.repeat(ends, lengths + 1) - np.arange(len(text)) - 1
-        ranks = _prefix_ranks(text, length)
         chosen = np.flatnonzero(left >= length - 1)
-        rows = np.sort(ranks[chosen] << _BIG | chosen.astype(np.uint64))
+        ranks = _prefix_ranks(text, length, chosen)
+        rows = np.sort(ranks << _BIG | chosen.astype(np.uint64))
         places = (rows & np.uint64(0xFFFFFFFF)).astype(np.int64)
         group = (rows >> _BIG).astype(np.int64)
         before = text[places - 1]
