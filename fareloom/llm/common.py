@@ -56,10 +56,21 @@ def extended(given: DataFrame, columns: str) -> StructType:
     return StructType([*given.schema.fields[:-1], *StructType.fromDDL(columns).fields])
 
 
+def _threshold(rows: int, total: int) -> int:
+    return int((1.0 if total <= rows else rows / total) * (1 << _DRAW_BITS)) + 1
+
+
 def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, the same ones on every run: those whose hashed key falls below a share."""
-    share = 1.0 if total <= rows else rows / total
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS)) < F.lit(int(share * (1 << _DRAW_BITS)) + 1))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS)) < F.lit(_threshold(rows, total)))
+
+
+def drawn_by_group(df: DataFrame, key: str, group: str, sizes: dict[str, tuple[int, int]]) -> DataFrame:
+    """The same for each value of ``group``, in one pass; ``sizes`` has (rows, total) of each, and no others are drawn."""
+    bounds = F.lit(0)
+    for value, size in sizes.items():
+        bounds = F.when(F.col(group) == value, F.lit(_threshold(*size))).otherwise(bounds)
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS)) < bounds)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import extended, hashed_sample, sliced, with_text
+from fareloom.llm.common import drawn_by_group, extended, sliced, with_text
 
 REFERENCE_CHARS = 24_000
 #: Longest document taken into a reference, so that one of them holds several.
@@ -195,14 +195,12 @@ def references(docs: DataFrame, reference_chars: int = REFERENCE_CHARS) -> dict[
     ).select("doc_id", "text", "lang")
     known = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
     known = known.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    drawn = None
-    for row in known:
-        # Twice the wanted number of documents, as copies of one text are taken once.
-        wanted = 2 + int(2 * reference_chars * row["n"] / row["chars"])
-        part = hashed_sample(usable.where(F.col("lang") == row["lang"]), "doc_id", wanted, row["n"])
-        drawn = part if drawn is None else drawn.union(part)
-    if drawn is None:
+    if not known:
         return {}
+    # Twice the wanted number of documents, as copies of one text are taken once.
+    wanted = {r["lang"]: 2 + int(2 * reference_chars * r["n"] / r["chars"]) for r in known}
+    rows_of = {r["lang"]: r["n"] for r in known}
+    drawn = drawn_by_group(usable, "doc_id", "lang", {lang: (n, rows_of[lang]) for lang, n in wanted.items()})
     parts: dict[str, list[str]] = {}
     held: Counter = Counter()
     unique = drawn.dropDuplicates(["lang", "text"]).toPandas().sort_values(["doc_id", "text"], kind="stable")
