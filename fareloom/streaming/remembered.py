@@ -7,7 +7,8 @@ the pairs (trip, weather row) batch ``n`` emits those whose later member arrived
     trips of batch n      x  weather of batches <= n
     trips of batches < n  x  weather of batch n        (skipped unless new weather came)
 
-Trips are kept in a folder for each day and, in it, each batch: late weather opens the folders of its own days only.
+Trips are kept in a folder for each month and, in it, each batch, sorted by day: late weather opens the folders of its own
+months only, and skips the row groups of other days. Folders by day would be many small files for a backlog.
 Output and checkpoint carry the same id; a folder written for another checkpoint is refused.
 """
 
@@ -26,7 +27,8 @@ from fareloom.schemas import GOLD, SILVER
 from fareloom.session import matching_paths, path_exists
 
 _KINDS = ("trip", "weather")
-_KEPT = StructType(list(GOLD.fields)).add("day", "date").add("kind", "string").add("batch_id", "long")
+_MONTH = "yyyy-MM"
+_KEPT = StructType(list(GOLD.fields)).add("day", "date").add("kind", "string").add("month", "string").add("batch_id", "long")
 _WEATHER_VALUES = ("tempmax", "tempmin")
 
 
@@ -54,22 +56,27 @@ def _known_weather(spark: SparkSession, memory: str, batch_id: int) -> DataFrame
 
 
 def _earlier_trips(spark: SparkSession, memory: str, weather: DataFrame, batch_id: int) -> DataFrame:
-    """Trips of earlier batches on the days of ``weather``; no other day's folder is listed or opened.
+    """Trips of earlier batches on the days of ``weather``; no other month's folder is listed or opened.
 
     The days of one batch of weather come to the driver: there are as many as the calendar has.
     """
     days = [row["day"] for row in weather.select("day").distinct().collect()]
-    folders = [f"{memory}/kind=trip/day={day.isoformat()}" for day in days]
+    folders = sorted({f"{memory}/kind=trip/month={day:%Y-%m}" for day in days})
     known = [folder for folder in folders if path_exists(spark, folder)]
-    return _read(spark, memory, known).where(F.col("batch_id") < batch_id)
+    return _read(spark, memory, known).where((F.col("batch_id") < batch_id) & F.col("day").isin(days))
 
 
 def _keep(rows: DataFrame, memory: str, kind: str, batch_id: int) -> None:
-    """Replace what this batch has kept of one kind. Weather, of which there is little, is not cut by day."""
-    folders = ("kind", "day", "batch_id") if kind == "trip" else ("kind", "batch_id")
+    """Replace what this batch has kept of one kind. Weather, of which there is little, is not cut by month.
+
+    Trips are rebalanced by month first, which makes few full files and splits a hot month by size.
+    """
+    folders = ("kind", "month", "batch_id") if kind == "trip" else ("kind", "batch_id")
+    if kind == "trip":
+        rows = rows.withColumn("month", F.date_format("day", _MONTH)).hint("rebalance", "month")
     (
         rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .sortWithinPartitions(*folders)
+        .sortWithinPartitions(*folders, "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)

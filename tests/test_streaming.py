@@ -354,17 +354,18 @@ def test_static_weather_beyond_the_broadcast_bound(spark, lake):
     assert lake.gold_rows("s") == lake.batch_gold()
 
 
-def test_late_weather_opens_the_folders_of_its_days_only(spark, lake):
-    lake.add_trips(TRIPS, "bronze")
+def test_late_weather_opens_the_folders_of_its_months_only(spark, lake):
+    lake.add_trips([*TRIPS, _trip("2019-07-04", 1), _trip("2021-03-09", 2), _trip("2021-03-10", 3)], "bronze")
     lake.silver()
     lake.add_weather(DAY_TWO)
     lake.gold("table")
     memory = lake.folder("gold-table-c", "remembered")
-    weather = spark.sql("SELECT explode(array(DATE'2024-01-01', DATE'2024-01-03', DATE'2031-05-05')) AS day")
+    weather = spark.sql("SELECT explode(array(DATE'2019-07-04', DATE'2024-01-03', DATE'2031-05-05')) AS day")
     earlier = _earlier_trips(spark, memory, weather, 1)
-    days = {Path(file).parent.parent.name for file in earlier.inputFiles()}
-    assert days == {"day=2024-01-01", "day=2024-01-03"} and earlier.count() == 13
-    assert "(batch_id" in plan_of(earlier.select("day")).split("PartitionFilters")[1]
+    months = {Path(file).parent.parent.name for file in earlier.inputFiles()}
+    assert months == {"month=2019-07", "month=2024-01"} and earlier.count() == 2
+    plan = plan_of(earlier.select("day"))
+    assert "(batch_id" in plan.split("PartitionFilters")[1] and "In(day, [2019-07-04,2024-01-03,2031-05-05])" in plan
 
 
 def test_unknown_mode_is_refused(spark, folder):
