@@ -38,7 +38,7 @@ from fareloom.session import scratch_folder
 
 LENGTH = 50
 ANCHOR = 16
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 MOST_GROUPS = 50_000
 #: Text that one index holds; a bucket has as many indexes as it needs.
 INDEX_BYTES = 1 << 20
