@@ -8,14 +8,20 @@ strings have equal anchors at equal places, so strings only meet where their anc
 same anchor make a stretch of bytes; stretches of one anchor go to one bucket.
 
 1. Documents are written once, bucketed into groups of about ``GROUP_BYTES``, so that no later step moves texts.
-2. Each group tells the buckets its anchors' hashes, each once, and learns which of them more documents have.
+2. Each group tells the buckets its anchors' hashes, each once, and about how many stretches it has of each. It learns
+   which anchors more documents have, and which have over ``HOT_STRETCHES`` stretches.
 3. Each group sends the stretches of those anchors, equal ones once with their smallest id. A bucket builds the
    run-compressed index of ``run_index`` over its distinct stretches in order of ids, streams their matching
    statistics, and answers with the smallest id that has each stretch and the parts that match an earlier one.
-4. Each group removes: a stretch that a smaller id has as a whole, otherwise its matching parts.
+   Stretches of hot anchors are not sent: their strings are, each as a 128-bit hash with its smallest id, to buckets
+   by that hash. So the strings of one anchor are dealt over all buckets, equal ones still meet, and the
+   bucket answers with the smallest id of each.
+4. Each group removes: a stretch that a smaller id has as a whole, otherwise its matching parts, and strings of hot
+   anchors that a smaller id has.
 
-Equal stretches meet as one, so a passage that a third of all documents share is one entry a group. An index is built
-over a bucket's share of the repeated text, so memory is bounded by the bucket sizes, which follow the data.
+Equal stretches and equal strings meet as one, so a passage that a third of all documents share is one entry a group,
+also at its borders, where each document goes on in its own words. An index is built over a bucket's share of the
+repeated text, so memory is bounded by the bucket sizes, which follow the data.
 
 Nulls and edges: a null text is empty. Documents with a null id come behind all others and not before each other;
 rows with equal ids do not match each other. Texts shorter than ``length`` lose nothing. Texts of any length are
@@ -29,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +49,8 @@ GROUP_BYTES = 8 << 20
 MOST_GROUPS = 50_000
 #: Text that one index holds; a bucket has as many indexes as it needs.
 INDEX_BYTES = 1 << 20
+#: Stretches of one anchor that go to one bucket, counted up to twice too high; they are about as long as one index.
+HOT_STRETCHES = 10_000
 _WINDOW = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -66,6 +75,17 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return _mixed(h)
 
 
+def _string_hashes(data: np.ndarray, length: int, seed: np.uint64) -> np.ndarray:
+    """A hash of the ``length`` bytes at each place."""
+    h = _mixed(data.astype(np.uint64) + seed)
+    size = 1
+    while 2 * size <= length:
+        h = _mixed(h[:-size] * _PRIME + h[size:])
+        size *= 2
+    rest = length - size
+    return _mixed(h[:-rest] * _PRIME + h[rest:]) if rest else h
+
+
 def _least_in(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbouring values."""
     known = 1
@@ -141,6 +161,7 @@ class _Group:
         self.anchor_of = back[self.anchor_of]
         self.hashes, self.bucket = distinct[places], bucket[places].astype(np.int64)
         self.cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        self.buckets, self.length = buckets, length
 
     def by_bucket(self) -> Iterator[tuple[int, slice]]:
         for start, end in zip(self.cuts, [*self.cuts[1:], len(self.bucket)]):
@@ -173,57 +194,124 @@ class _Group:
         return by_bucket, uses
 
 
+    def strings(self, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, place, two hashes) of all strings in stretches of hot anchors, in order."""
+        chosen = np.flatnonzero(hot[self.anchor_of])
+        held = np.unique(self.document[chosen])
+        texts = [self.texts[d] for d in held.tolist()]
+        # Places of all these documents laid end to end; the first and the last string of each stretch.
+        offset = np.cumsum([0, *map(len, texts)])
+        own = offset[np.searchsorted(held, self.document[chosen])]
+        first, last = own + self.start[chosen], own + self.end[chosen] - self.length
+        out = [(np.array([], np.int64), np.array([], np.int64), np.zeros((0, 2), np.uint64))]
+        for data, document, start, ends in _pieces(texts, self.length):
+            places = np.arange(len(data) - self.length + 1)
+            piece = np.searchsorted(ends, places, side="right")
+            inside = places + start[piece] - np.concatenate([[0], ends[:-1]])[piece]
+            at = offset[document[piece]] + inside
+            stretch = np.searchsorted(first, at, side="right") - 1
+            wanted = (places + self.length <= ends[piece]) & (stretch >= 0) & (at <= last[stretch])
+            both = np.stack([_string_hashes(data, self.length, seed)[wanted] for seed in (_PRIME, _OTHER)], axis=1)
+            out.append((held[document[piece[wanted]]], inside[wanted], both))
+        return tuple(np.concatenate([part[k] for part in out]) for k in range(3))
+
+    def hot_sent(self, hot: np.ndarray) -> tuple[Iterator[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct strings of hot anchors by bucket, as rows of two hashes and the smallest id, and all uses.
+
+        Uses are documents, places and numbers of the distinct ones, counted through all buckets.
+        """
+        document, place, hashes = self.strings(hot)
+        ranked, number = _alike(hashes)
+        # Strings are in order of ids and the sort keeps it, so the first of equal ones has the smallest.
+        lead = ranked[np.flatnonzero(np.diff(number[ranked], prepend=-1))]
+        bucket = ((hashes[lead, 0] >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
+        places = np.argsort(bucket, kind="stable")
+        back = np.empty(len(places), np.int64)
+        back[places] = np.arange(len(places))
+        lead, bucket = lead[places], bucket[places]
+        rows = np.column_stack([hashes[lead].view(np.int64), self.order[document[lead]]])
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        parts = ((int(bucket[a]), rows[a:b]) for a, b in zip(cuts, [*cuts[1:], len(bucket)]))
+        return parts, document, place, back[number]
+
+
+def _alike(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two hashes in order of these, equal ones as given, and the number of each row's value in that order."""
+    ranked = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    number = np.empty(len(ranked), np.int64)
+    number[ranked] = np.cumsum((np.diff(hashes[ranked], axis=0, prepend=~hashes[ranked[:1]]) != 0).any(axis=1)) - 1
+    return ranked, number
+
+
 def _reply(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.Table:
     kinds = {"g": pa.int32(), "bucket": pa.int32(), "kind": pa.int32(), "first": pa.binary(), "second": pa.binary()}
     return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(kinds.items())})
 
 
 def _told(buckets: int, length: int):
-    """Group to buckets: 32 bits of each anchor's hash, and whether the group itself repeats it."""
+    """Group to buckets: 32 bits of each anchor's hash, and a byte with the bit length of its number of stretches.
+
+    The upper bit of the byte is set if the group itself repeats the anchor.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
         group, g = _Group(rows, buckets, length), rows.column(_GROUP)[0].as_py()
         low = (group.hashes & np.uint64(0xFFFFFFFF)).astype("<u4")
-        shared = group.shared_anchors()
-        return _reply([(g, b, 0, low[s].tobytes(), np.packbits(shared[s]).tobytes()) for b, s in group.by_bucket()])
+        shared = group.shared_anchors().astype(np.uint8) << 7
+        about = shared | np.frexp(np.bincount(group.anchor_of, minlength=len(low)))[1].astype(np.uint8)
+        return _reply([(g, b, 0, low[s].tobytes(), about[s].tobytes()) for b, s in group.by_bucket()])
 
     return run
 
 
-def _answered(rows: pa.Table) -> pa.Table:
-    """Bucket to groups: which of a group's anchors several documents have."""
-    parts = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("first")]
-    flags = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8))[: len(p)] for x, p in zip(rows.column("second"), parts)]
-    ranked = np.sort(np.concatenate(parts + [p[f > 0] for p, f in zip(parts, flags)]))
-    repeated = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
-    out = []
-    for g, b, part in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), parts):
-        out.append((g, b, 1, np.packbits(np.isin(part, repeated)).tobytes(), b""))
-    return _reply(out)
+def _answered(most: int):
+    """Bucket to groups: which of a group's anchors several documents have, and which have over ``most`` stretches."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("first")]
+        told = np.concatenate(parts)
+        about = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in rows.column("second")])
+        ranked = np.sort(np.concatenate([told, told[about > 127]]))
+        repeated = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+        place = np.searchsorted(repeated, told)
+        known = np.append(repeated, 0)[place] == told
+        known[place == len(repeated)] = False
+        count = np.bincount(place[known], np.exp2(about[known] & 127), len(repeated) + 1)
+        hot = known & (count[place] > most)
+        out = []
+        ends = np.cumsum([len(p) for p in parts])
+        for g, b, part, end in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), parts, ends):
+            own = slice(end - len(part), end)
+            out.append((g, b, 1, np.packbits(known[own]).tobytes(), np.packbits(hot[own]).tobytes()))
+        return _reply(out)
+
+    return run
 
 
-def _repeated(group: _Group, replies: pa.Table) -> np.ndarray:
+def _repeated(group: _Group, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Which anchors of the group are repeated but not hot, and which are hot."""
     answers = {
-        b: first
-        for b, kind, first in zip(*(replies.column(c).to_pylist() for c in ("bucket", "kind", "first")))
+        b: (first, second)
+        for b, kind, first, second in zip(*(replies.column(c).to_pylist() for c in ("bucket", "kind", "first", "second")))
         if kind == 1
     }
-    out = np.zeros(len(group.hashes), bool)
+    repeated, hot = np.zeros((2, len(group.hashes)), bool)
     for b, s in group.by_bucket():
-        if b in answers:
-            out[s] = np.unpackbits(np.frombuffer(answers[b], np.uint8))[: s.stop - s.start] > 0
-    return out
+        for out, bits in zip((repeated, hot), answers.get(b, ())):
+            out[s] = np.unpackbits(np.frombuffer(bits, np.uint8))[: s.stop - s.start] > 0
+    return repeated & ~hot, hot
 
 
 def _brought(buckets: int, length: int):
-    """Group to buckets: the distinct stretches of repeated anchors, with ids."""
+    """Group to buckets: the distinct stretches of repeated anchors, and the distinct strings of hot ones, with ids."""
 
     def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return _reply([])
         group, g = _Group(rows, buckets, length), rows.column(_GROUP)[0].as_py()
-        sent, _ = group.sent(_repeated(group, replies))
-        out = []
+        repeated, hot = _repeated(group, replies)
+        sent, _ = group.sent(repeated)
+        out = [(g, b, 4, known.tobytes(), b"") for b, known in group.hot_sent(hot)[0]]
         for b, known in sent.items():
             about = np.array([(o, len(s), a) for s, (_, o, a) in known.items()], "<i8")
             out.append((g, b, 2, about.tobytes(), b"".join(known)))
@@ -249,10 +337,32 @@ def _earlier_parts(strings: list[bytes], ids: np.ndarray, length: int) -> dict[b
     return parts
 
 
+def _least_ids(rows: pa.Table) -> list[tuple[int, int, int, bytes, bytes]]:
+    """The answers to groups that sent strings of hot anchors."""
+    if not rows.num_rows:
+        return []
+    parts = [np.frombuffer(x.as_py(), "<i8").reshape(-1, 3) for x in rows.column("first")]
+    sent = np.concatenate(parts)
+    _, number = _alike(sent[:, :2])
+    least = np.full(number.max() + 1, _LAST)
+    np.minimum.at(least, number, sent[:, 2])
+    cut = np.split(least[number], np.cumsum([len(p) for p in parts])[:-1])
+    return [
+        (g, b, 5, own.astype("<i8").tobytes(), b"")
+        for g, b, own in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), cut)
+    ]
+
+
 def _matched(length: int):
-    """Bucket to groups: for each stretch the smallest id that has it, and the parts that a smaller id has."""
+    """Bucket to groups: for each stretch the smallest id that has it, and the parts that a smaller id has.
+
+    For each string of a hot anchor: the smallest id that has it.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
+        of_strings = pc.equal(rows.column("kind"), 4)
+        answers = _least_ids(rows.filter(of_strings))
+        rows = rows.filter(pc.invert(of_strings))
         known: dict[bytes, tuple[int, int]] = {}
         brought = []
         for first, second in zip(rows.column("first"), rows.column("second")):
@@ -279,16 +389,18 @@ def _matched(length: int):
             least = [known[s][0] for s in mine]
             spans = [(i, *span) for i, s in enumerate(mine) if own[i] == least[i] for span in parts.get(s, ())]
             out.append((g, b, 3, np.array(least, "<i8").tobytes(), np.array(spans, "<i4").tobytes()))
-        return _reply(out)
+        return _reply(out + answers)
 
     return run
 
 
 def _removed(group: _Group, replies: pa.Table) -> list[np.ndarray]:
     """The (start, end) ranges to remove from each document, merged and in order."""
-    _, uses = group.sent(_repeated(group, replies))
+    repeated, hot = _repeated(group, replies)
+    _, uses = group.sent(repeated)
     least: dict[int, list[int]] = {}
     spans: dict[int, dict[int, list[tuple[int, int]]]] = {}
+    of_strings: dict[int, bytes] = {}
     columns = (replies.column(c).to_pylist() for c in ("bucket", "kind", "first", "second"))
     for b, kind, first, second in zip(*columns):
         if kind == 3:
@@ -296,6 +408,8 @@ def _removed(group: _Group, replies: pa.Table) -> list[np.ndarray]:
             own = spans.setdefault(b, {})
             for i, s, e in np.frombuffer(second, "<i4").reshape(-1, 3).tolist():
                 own.setdefault(i, []).append((s, e))
+        elif kind == 5:
+            of_strings[b] = first
     ranges: list[list[tuple[int, int]]] = [[] for _ in group.texts]
     order, document, start, end = (x.tolist() for x in (group.order, group.document, group.start, group.end))
     for i, b, number in uses:
@@ -304,6 +418,14 @@ def _removed(group: _Group, replies: pa.Table) -> list[np.ndarray]:
             ranges[d].append((start[i], end[i]))
         else:
             ranges[d] += [(start[i] + s, start[i] + e) for s, e in spans[b].get(number, ())]
+    parts, owner, place, number = group.hot_sent(hot)
+    smallest = np.frombuffer(b"".join(of_strings[b] for b, _ in parts), "<i8")
+    gone = np.flatnonzero(smallest[number] < group.order[owner])
+    # Neighbouring strings of one document are one range.
+    fresh = (np.diff(place[gone], prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0)
+    firsts, lasts = gone[fresh], gone[np.append(fresh[1:], True)[: len(gone)]]
+    for d, s, e in zip(owner[firsts].tolist(), place[firsts].tolist(), (place[lasts] + group.length).tolist()):
+        ranges[d].append((s, e))
     return [_merged(np.array(r, np.int64).reshape(-1, 2)) for r in ranges]
 
 
@@ -366,7 +488,7 @@ def _run(docs: DataFrame, length: int, digest: bool) -> DataFrame:
     rows = spark.table(name)
     slim = rows.select(_GROUP, _ORDER, _MARK, "text")
     told = slim.groupBy(_GROUP).applyInArrow(_told(groups, length), _REPLY)
-    answers = saved(told.groupBy("bucket").applyInArrow(_answered, _REPLY), "answers")
+    answers = saved(told.groupBy("bucket").applyInArrow(_answered(HOT_STRETCHES), _REPLY), "answers")
     brought = slim.groupBy(_GROUP).cogroup(answers.groupBy("g")).applyInArrow(_brought(groups, length), _REPLY)
     matches = saved(brought.groupBy("bucket").applyInArrow(_matched(length), _REPLY), "matches")
     finish = _finished(groups, length, used.columns, digest)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fareloom.llm import suffix_dedup
@@ -100,3 +101,29 @@ def test_a_passage_that_most_documents_share(spark, monkeypatch):
     found = {r["doc_id"]: r for r in suffix_dedup.repeats_digest(rows(spark, [(*d, "en") for d in docs])).collect()}
     assert found[0]["n_removed"] == 0
     assert all(found[i]["n_spans"] == 1 and found[i]["n_removed"] >= len(shared) for i in range(1, 600))
+
+
+@pytest.mark.parametrize("most", [0, 40])
+def test_hot_anchors_equal_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 6_000)
+    monkeypatch.setattr(suffix_dedup, "HOT_STRETCHES", most)
+    docs = repetitive(250, 5) + [(None, "a" * 120), (None, None), (700, "a" * 130), (701, ""), (702, None)]
+    frame = rows(spark, [(i, t, "en") for i, t in docs])
+    assert sorted((tuple(r) for r in suffix_dedup.repeats_digest(frame).collect()), key=repr) == plain(docs)
+
+
+def test_stretches_of_one_anchor_are_dealt_over_the_buckets():
+    drawn = random.Random(6)
+    own = lambda: "".join(drawn.choice("abcdefghij ") for _ in range(150))
+    passage, buckets = own() + own(), 16
+    texts = [own() + passage + own() for _ in range(12_000)]
+    names = [suffix_dedup._GROUP, suffix_dedup._ORDER, suffix_dedup._MARK, "text"]
+    group = pa.table([pa.array([0] * len(texts)), pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], names)
+    told = suffix_dedup._told(buckets, 50)(group)
+    answered = suffix_dedup._answered(suffix_dedup.HOT_STRETCHES)
+    cut = [answered(told.filter(pa.array([x == b for x in told.column("bucket").to_pylist()]))) for b in range(buckets)]
+    brought = suffix_dedup._brought(buckets, 50)(group, pa.concat_tables(cut))
+    sizes = [0] * buckets
+    for b, first, second in zip(*(brought.column(c).to_pylist() for c in ("bucket", "first", "second"))):
+        sizes[b] += len(first) + len(second)
+    assert 0 < max(sizes) < 2 * sum(sizes) / buckets
