@@ -4,7 +4,8 @@ A code of ``BITS`` bits is cut into segments of 16 bits, each with its own table
 differ in no more than ``4 s + 3`` bits have a segment that differs in at most ``s``. A query looks up all values
 within segment radius 0, then 1, then 2 of its own, verifies the distance of every code found, and stops
 as soon as its k-th verified distance is at most ``4 s + 3``: nothing nearer can be left. Equal codes are one entry
-with their smallest ids, as no more than k + 1 of them can be among k neighbours.
+with their smallest ids, as no more than k + 1 of them can be among k neighbours. A query's own id may have m codes,
+so its code is searched for k + m rows, and own rows are left out afterwards.
 
 Spark cuts the codes into blocks of about ``CODES_PER_BLOCK`` by hash and the distinct query codes into blocks of
 ``QUERIES_PER_BLOCK``; each pair of blocks is one group that builds its tables and searches them, and the best of
@@ -100,14 +101,15 @@ class MultiIndex:
         return index[near], d[near]
 
 
-def _search(k: int):
+def _search():
     def run(codes: pa.Table, queries: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_code": [], "neighbor_code": [], "distance": []}
         if codes.num_rows and queries.num_rows:
             known = codes.column("code").to_numpy().view(np.uint64)
             index = MultiIndex(known, codes.column("held").to_numpy())
-            for code in np.sort(queries.column("query_code").to_numpy()):
-                at, d = index.nearest(code.view(np.uint64), k)
+            asked = zip(queries.column("query_code").to_numpy(), queries.column("wanted").to_pylist())
+            for code, wanted in sorted(asked):
+                at, d = index.nearest(code.view(np.uint64), wanted)
                 out["query_code"] += [int(code)] * len(at)
                 out["neighbor_code"] += known[at].view(np.int64).tolist()
                 out["distance"] += d.tolist()
@@ -129,25 +131,28 @@ def nearest_neighbors(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataF
     """``query_id, neighbor_id, distance, rank`` for each of ``queries`` (id, code) against all ``rows`` (id, code)."""
     usable = saved(rows.select("id", "code").dropna().distinct(), "codes")
     asked = saved(queries.select("id", "code").dropna().distinct(), "queries")
-    # One more than k, as a query may find itself.
+    # One more than k, as a query may find itself; an id has a code once.
     members = saved(_smallest_ids(usable, k + 1), "members")
     codes = members.groupBy("code").agg(F.count("*").alias("held"))
-    query_codes = asked.select(F.col("code").alias("query_code")).distinct()
+    # Rows that each code is searched for: k, and as many as any of its queries has itself.
+    own = usable.join(asked.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
+    wanted = asked.join(own, "id", "left").groupBy("code").agg((F.coalesce(F.max("own"), F.lit(0)) + k).alias("wanted"))
+    query_codes = saved(wanted.select(F.col("code").alias("query_code"), "wanted"), "query_codes")
     # The counts size the blocks: every block is bounded, and their number follows the data.
     code_blocks = max(1, -(-codes.count() // CODES_PER_BLOCK))
     query_blocks = max(1, -(-query_codes.count() // QUERIES_PER_BLOCK))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = codes.select("code", "held", block("code", code_blocks).alias("cb"), every(query_blocks).alias("qb"))
-    right = query_codes.select("query_code", every(code_blocks).alias("cb"), block("query_code", query_blocks).alias("qb"))
+    right = query_codes.select("query_code", "wanted", every(code_blocks).alias("cb"), block("query_code", query_blocks).alias("qb"))
     near = (
         left.groupBy("cb", "qb")
         .cogroup(right.groupBy("cb", "qb"))
-        .applyInArrow(_search(k + 1), "query_code long, neighbor_code long, distance long")
+        .applyInArrow(_search(), "query_code long, neighbor_code long, distance long")
     )
-    named = near.join(members.withColumnRenamed("code", "neighbor_code"), "neighbor_code")
+    named = near.join(members.withColumnRenamed("code", "neighbor_code"), "neighbor_code").join(query_codes, "query_code")
     by_code = Window.partitionBy("query_code").orderBy("distance", "id")
-    best = named.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= k + 1)
+    best = named.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= F.col("wanted"))
     best = best.select(F.col("query_code").alias("code"), F.col("id").alias("neighbor_id"), "distance")
     pairs = asked.withColumnRenamed("id", "query_id").join(best, "code").where("query_id <> neighbor_id")
     by_query = Window.partitionBy("query_id", "code").orderBy("distance", "neighbor_id")

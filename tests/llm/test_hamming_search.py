@@ -38,6 +38,17 @@ def test_neighbors_equal_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in found) == plain(rows, queries, 7)
 
 
+def test_ids_with_several_codes_find_k_others(spark, monkeypatch):
+    monkeypatch.setattr(hamming_search, "CODES_PER_BLOCK", 40)
+    # The nearest rows of 20 and 40 are their own: 20 has 13 codes, 40 has 3.
+    rows = [*codes(60), *((20, 1 << b) for b in range(12)), *((40, 3 << b) for b in range(2)), (500, 1), (501, 3)]
+    frame = spark.createDataFrame(rows, "id long, code long")
+    found = sorted(tuple(r) for r in nearest_neighbors(frame, frame.where("id % 20 = 0"), k=3).collect())
+    assert found == plain(rows, sorted({r for r in rows if r[0] % 20 == 0}), 3)
+    few = nearest_neighbors(frame, frame.where("id = 20").limit(1), k=3)
+    assert few.count() == 3
+
+
 def test_search_stops_only_when_covered():
     drawn = np.random.default_rng(8)
     known = np.unique(drawn.integers(0, 1 << 62, 3000, dtype=np.uint64))
