@@ -12,8 +12,8 @@ punctuation say nothing. So that a task follows many texts at once in numpy, tex
 into stretches of ``STRETCH`` characters and a phrase does not go on from one stretch to the next.
 
 Sample: the reference of a language holds about ``reference_chars`` characters of whole documents, drawn by hashed
-id from all documents that may be learned from; the most frequent ``ALPHABET`` characters of all references
-are told apart, the others match nothing. These bounds make the automata a few MB each; ``MOST_LANGUAGES`` bounds
+id from all documents that may be learned from. All characters of a reference are told apart, whatever its script; those
+that it does not have match nothing in it. These bounds make the automata below 1 MB each; ``MOST_LANGUAGES`` bounds
 their number, beyond it the languages with the most documents are learned.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing can be
@@ -38,14 +38,14 @@ REFERENCE_CHARS = 24_000
 #: Longest document taken into a reference, so that one of them holds several.
 LONGEST_SAMPLE = 6_000
 MOST_LANGUAGES = 64
-ALPHABET = 62
 STRETCH = 256
 UNDETERMINED = "und"
 HELD_OUT = 2
 _LETTER = re.compile(r"[^\W\d_]")
 _BETWEEN = re.compile(r"[\W\d_]+")
-_BREAK = np.int32(-(2**31))
-_STATE = np.int32(2**31 - 1)
+_STATE = np.int64(2**32 - 1)
+#: Places that were tried in vain before the search for room in a table moves on.
+_MOST_TRIES = 30
 
 
 def letters(text: str) -> str:
@@ -85,54 +85,85 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
 
 
 @dataclass(frozen=True)
-class Model:
-    """Languages, the classes of code points (0: not in the alphabet), and per language a transition table.
+class Table:
+    """The automaton of one reference: classes of symbols (0: not in it), moves, and the state behind a class alone.
 
-    A table has a row for each state, laid out flat: the entry at ``state + class`` is the next state (a multiple of
-    ``width``), with the sign bit set where the phrase ends before this character. The last class is padding,
-    which stays where it is.
+    States are places in ``moves``, laid so that the moves of one fill gaps between those of others: the entry at
+    ``state + class`` has its owner in the upper half and the next state in the lower one. Where the owner is another
+    state, the phrase ends before this character. State 0 has no moves: a text starts there, and goes there behind a
+    character that the reference does not have, which is a phrase of its own.
     """
 
-    languages: tuple[str, ...]
     classes: np.ndarray
-    width: int
-    tables: tuple[np.ndarray, ...]
+    moves: np.ndarray
+    alone: np.ndarray
+
+
+@dataclass(frozen=True)
+class Model:
+    """Languages, the symbols of code points (0: in no reference), and a table for each language."""
+
+    languages: tuple[str, ...]
+    symbols: np.ndarray
+    tables: tuple[Table, ...]
     bits_per_phrase: tuple[float, ...]
 
 
-def _table(reference: str, alphabet: str, width: int) -> np.ndarray:
+def _table(reference: str, symbols: dict[str, int]) -> Table:
     automaton = suffix_automaton(reference)
-    size = len(automaton)
-    # Behind a character that the reference does not have: a phrase of its own, so the next one starts another.
-    alone = size * width
-    table = np.empty((size + 1, width), np.int64)
-    for k, char in enumerate(alphabet, 1):
-        column = np.fromiter((moves.get(char, -1) for moves in automaton), np.int64, size)
-        restart = int(column[0]) * width if column[0] >= 0 else alone
-        table[:size, k] = np.where(column >= 0, column * width, restart | int(_BREAK))
-        table[size, k] = restart | int(_BREAK)
-        if column[0] < 0:
-            table[0, k] = alone
-    table[:, 0] = alone | int(_BREAK)
-    table[0, 0] = alone
-    table[:, width - 1] = np.arange(size + 1) * width
-    return table.astype(np.int32).ravel()
+    number = {c: k for k, (c, _) in enumerate(sorted(Counter(reference).items(), key=lambda x: (-x[1], x[0])), 1)}
+    width = len(number)
+    rows = [sorted(number[c] for c in moves) for moves in automaton]
+    base = [0] * len(automaton)
+    taken = {0}
+    used = bytearray(4 * width)
+    low = first = width + 1
+    size = 0
+    for state in sorted((s for s in range(1, len(rows)) if rows[s]), key=lambda s: (-len(rows[s]), s)):
+        row = rows[state]
+        if len(row) == 1 and size != 1:
+            low = first
+        size = len(row)
+        place, tries = low - 1, 0
+        while True:
+            place = used.find(0, place + 1)
+            if place < 0 or place + width >= len(used):
+                place = len(used) if place < 0 else place
+                used.extend(bytes(len(used)))
+            at = place - row[0]
+            if at not in taken and not any(used[at + k] for k in row):
+                break
+            tries += 1
+        base[state] = at
+        taken.add(at)
+        for k in row:
+            used[at + k] = 1
+        if tries > _MOST_TRIES or size == 1:
+            low = place
+    moves = np.full(max(base) + width + 1, -1 << 32, np.int64)
+    for state, to in enumerate(automaton):
+        if base[state]:
+            for char, target in to.items():
+                moves[base[state] + number[char]] = base[state] << 32 | base[target]
+    classes = np.zeros(len(symbols) + 1, np.int64)
+    alone = np.zeros(width + 1, np.int64)
+    for char, k in number.items():
+        classes[symbols[char]] = k
+        alone[k] = base[automaton[0][char]]
+    return Table(classes, moves, alone)
 
 
 def build_model(references: dict[str, str]) -> Model:
     """The model of the languages' reference texts."""
     texts = {lang: letters(text) for lang, text in sorted(references.items()) if text}
-    counts = Counter(c for text in texts.values() for c in text)
-    alphabet = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
-    classes = np.zeros(0x110000, np.uint8)
-    for k, char in enumerate(alphabet, 1):
-        classes[ord(char)] = k
-    width = len(alphabet) + 2
+    numbers = {c: k for k, c in enumerate(sorted(set().union(*texts.values())), 1)}
+    symbols = np.zeros(0x110000, np.int32)
+    for char, k in numbers.items():
+        symbols[ord(char)] = k
     return Model(
         tuple(texts),
-        classes,
-        width,
-        tuple(_table(text, alphabet, width) for text in texts.values()),
+        symbols,
+        tuple(_table(text, numbers) for text in texts.values()),
         tuple(float(np.log2(len(text) + 1)) for text in texts.values()),
     )
 
@@ -147,20 +178,22 @@ def phrase_counts(texts: list[str], model: Model) -> np.ndarray:
     within = np.arange(len(owner)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
     start = np.repeat(np.cumsum(sizes) - sizes, stretches) + within * STRETCH
     length = np.minimum(STRETCH, np.repeat(sizes, stretches) - within * STRETCH)
-    grid = np.full((STRETCH, len(owner)), model.width - 1, np.int32)
-    if len(points):
-        classes = model.classes[points]
-        for step in range(STRETCH):
-            inside = length > step
-            grid[step, inside] = classes[start[inside] + step]
+    # Longest first, so that those which go on at a step come before those that have ended.
+    order = np.argsort(-length, kind="stable")
+    owner, start, length = owner[order], start[order], length[order]
+    going = np.searchsorted(-length, -np.arange(length.max(initial=0)), side="left")
+    symbols = model.symbols[points]
+    grid = [symbols[start[:n] + step] for step, n in enumerate(going)]
     phrases = np.zeros((len(texts), len(model.languages)), np.int64)
     for k, table in enumerate(model.tables):
-        state = np.zeros(len(owner), np.int32)
-        ended = np.ones(len(owner), np.int32)
-        for step in range(STRETCH):
-            moved = table[state + grid[step]]
-            ended += moved < 0
-            state = moved & _STATE
+        state = np.zeros(len(owner), np.int64)
+        ended = np.zeros(len(owner), np.int64)
+        for n, row in zip(going, grid):
+            kinds = table.classes[row]
+            moved = table.moves[state[:n] + kinds]
+            missed = moved >> 32 != state[:n]
+            ended[:n] += missed
+            state[:n] = np.where(missed, table.alone[kinds], moved & _STATE)
         phrases[:, k] = np.bincount(owner, ended, len(texts))
     return phrases
 

@@ -33,6 +33,22 @@ def test_phrases_equal_a_plain_search():
         assert row == [plain_phrases(seen, reference) for reference in cleaned]
 
 
+def test_every_character_of_a_reference_is_told_apart():
+    drawn = random.Random(5)
+    scripts = {"zh": range(0x4E00, 0x5200), "ko": range(0xAC00, 0xAE00), "ru": range(0x430, 0x450), "en": range(97, 123)}
+    words = {lang: ["".join(map(chr, drawn.choices(script, k=4))) for _ in range(400)] for lang, script in scripts.items()}
+    # A language in the same script as another.
+    words["ja"] = ["".join(map(chr, drawn.choices(scripts["zh"], k=4))) for _ in range(400)]
+    make = lambda lang, n: " ".join(drawn.choices(words[lang], k=n))
+    references = {lang: make(lang, 900) for lang in words}
+    model = langid.build_model(references)
+    texts = [make(lang, 60) for lang in words for _ in range(4)]
+    cleaned = [langid.letters(references[lang]) for lang in model.languages]
+    assert langid.phrase_counts(texts, model).tolist() == [[plain_phrases(t, r) for r in cleaned] for t in texts]
+    found, scores = langid.predict(texts, model)
+    assert found == [lang for lang in words for _ in range(4)] and scores.min() > 0.1
+
+
 def test_automaton_accepts_exactly_the_substrings():
     text = "abracadabra"
     moves = langid.suffix_automaton(text)
