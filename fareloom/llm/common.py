@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,17 +60,24 @@ def _threshold(rows: int, total: int) -> int:
     return int((1.0 if total <= rows else rows / total) * (1 << _DRAW_BITS)) + 1
 
 
+def draw(key: str) -> Column:
+    """The hash of a key by which samples are drawn."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS))
+
+
 def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, the same ones on every run: those whose hashed key falls below a share."""
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS)) < F.lit(_threshold(rows, total)))
+    return df.where(draw(key) < F.lit(_threshold(rows, total)))
+
 
+def drawn_by_group(df: DataFrame, key: str, group: str, sizes: dict[str, tuple[int, int, int]]) -> DataFrame:
+    """The same for each value of ``group``, in one pass; no other values are drawn.
 
-def drawn_by_group(df: DataFrame, key: str, group: str, sizes: dict[str, tuple[int, int]]) -> DataFrame:
-    """The same for each value of ``group``, in one pass; ``sizes`` has (rows, total) of each, and no others are drawn."""
-    bounds = F.lit(0)
-    for value, size in sizes.items():
-        bounds = F.when(F.col(group) == value, F.lit(_threshold(*size))).otherwise(bounds)
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << _DRAW_BITS)) < bounds)
+    ``sizes`` has (rows, total, least hash of a key) of each; the row with the least hash is drawn in any case.
+    """
+    bounds = [(value, max(_threshold(rows, total), least + 1)) for value, (rows, total, least) in sizes.items()]
+    known = df.sparkSession.createDataFrame(bounds, f"`{group}` string, __bound long")
+    return df.join(F.broadcast(known), group).where(draw(key) < F.col("__bound")).select(df.columns)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

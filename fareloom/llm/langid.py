@@ -1,6 +1,6 @@
 """Language identification by cross-parsing entropy.
 
-Each language has a reference text, made of whole labelled documents. Its suffix automaton tells how far a text can
+Each language has a reference text, made of labelled documents. Its suffix automaton tells how far a text can
 be followed through the reference: a phrase is the longest match from where the last phrase ended, and the
 text is parsed into phrases. In the language of the text phrases are long, so there are few. The phrase count is
 normalised to bits a character, ``phrases * log2(reference length) / text length``, which makes references
@@ -11,10 +11,11 @@ Texts are parsed whole, in lower case, as code points; what is between letters c
 punctuation say nothing. So that a task follows many texts at once in numpy, texts are cut
 into stretches of ``STRETCH`` characters and a phrase does not go on from one stretch to the next.
 
-Sample: the reference of a language holds about ``reference_chars`` characters of whole documents, drawn by hashed
-id from all documents that may be learned from. All characters of a reference are told apart, whatever its script; those
-that it does not have match nothing in it. These bounds make the automata below 1 MB each; ``MOST_LANGUAGES`` bounds
-their number, beyond it the languages with the most documents are learned.
+Sample: the reference of a language holds about ``reference_chars`` characters of documents, drawn by hashed
+id from all documents that may be learned from, each with its first ``LONGEST_SAMPLE`` characters. Every language with such
+a document is learned: the one with the least hash is always drawn. All characters of a reference are told apart,
+whatever its script; those that it does not have match nothing in it. These bounds make the automata below 1 MB
+each; the model, and the time a text takes, grow with the number of languages.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing can be
 learned. Documents with a null language or text are not learned from. A null id counts as held out: it has no
@@ -32,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import drawn_by_group, extended, sliced, with_text
+from fareloom.llm.common import draw, drawn_by_group, extended, sliced, with_text
 
 REFERENCE_CHARS = 24_000
-#: Longest document taken into a reference, so that one of them holds several.
+#: Characters that a document gives to a reference at most, so that it holds several.
 LONGEST_SAMPLE = 6_000
-MOST_LANGUAGES = 64
 STRETCH = 256
 UNDETERMINED = "und"
 HELD_OUT = 2
@@ -222,18 +222,19 @@ def remainder(doc_id: str = "doc_id") -> Column:
 
 def references(docs: DataFrame, reference_chars: int = REFERENCE_CHARS) -> dict[str, str]:
     """The reference text of each language, from a bounded sample of the documents that may be learned from."""
-    size = F.length("text")
-    usable = docs.where(
-        (remainder() != HELD_OUT) & F.col("lang").isNotNull() & (size > 0) & (size <= LONGEST_SAMPLE)
-    ).select("doc_id", "text", "lang")
-    known = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-    known = known.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    if not known:
+    usable = docs.where((remainder() != HELD_OUT) & F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        "doc_id", F.substring("text", 1, LONGEST_SAMPLE).alias("text"), "lang"
+    )
+    known = usable.groupBy("lang").agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.min(draw("doc_id")).alias("least")
+    )
+    # Twice the wanted number of documents, as copies of one text are taken once; one row a language.
+    sizes = {
+        r["lang"]: (2 + int(2 * reference_chars * r["n"] / r["chars"]), r["n"], r["least"]) for r in known.toLocalIterator()
+    }
+    if not sizes:
         return {}
-    # Twice the wanted number of documents, as copies of one text are taken once.
-    wanted = {r["lang"]: 2 + int(2 * reference_chars * r["n"] / r["chars"]) for r in known}
-    rows_of = {r["lang"]: r["n"] for r in known}
-    drawn = drawn_by_group(usable, "doc_id", "lang", {lang: (n, rows_of[lang]) for lang, n in wanted.items()})
+    drawn = drawn_by_group(usable, "doc_id", "lang", sizes)
     parts: dict[str, list[str]] = {}
     held: Counter = Counter()
     unique = drawn.dropDuplicates(["lang", "text"]).toPandas().sort_values(["doc_id", "text"], kind="stable")

@@ -49,6 +49,25 @@ def test_every_character_of_a_reference_is_told_apart():
     assert found == [lang for lang in words for _ in range(4)] and scores.min() > 0.1
 
 
+def test_languages_of_long_documents_and_many_languages_are_learned(spark):
+    drawn = random.Random(9)
+    vocabulary = {f"l{n:02}": ["".join(drawn.choices("abcdefghij", k=6)) for _ in range(30)] for n in range(70)}
+    long = " ".join(drawn.choices(["".join(drawn.choices("abcdefghij", k=6)) for _ in range(30)], k=1500))
+    docs = [(100 * k + i, " ".join(drawn.choices(words, k=40)), lang)
+            for k, (lang, words) in enumerate(vocabulary.items()) for i in range(12)]
+    docs += [(9000 + i, long + f" {i}", "only long") for i in range(12)]
+    assert len(long) > langid.LONGEST_SAMPLE
+    frame = rows(spark, docs)
+    assert set(langid.references(frame)) == {*vocabulary, "only long"}
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.language_id(frame).collect()}
+    assert sum(found[i] == lang for i, _, lang in docs) > 0.98 * len(docs)
+
+
+def test_each_language_gives_a_document_however_small_its_share(spark):
+    docs = [(i, PROSE + str(i), "en") for i in range(3000)]
+    assert set(langid.references(rows(spark, docs), 1)) == {"en"}
+
+
 def test_automaton_accepts_exactly_the_substrings():
     text = "abracadabra"
     moves = langid.suffix_automaton(text)
