@@ -46,7 +46,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1,024 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), special_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -148,12 +148,20 @@ def pack_block(
     }
 
 
-def pack(docs: DataFrame, path: str, *, drops_spaces: bool = False, end_id: int = END_ID, size: int = SIZE) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    path: str,
+    *,
+    drops_spaces: bool = False,
+    special_tokens: bool = False,
+    end_id: int = END_ID,
+    size: int = SIZE,
+) -> DataFrame:
     """One row for each piece of a document: where it lies in the document and in its sequence."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path, drops_spaces)
+        tokenizer = word_tokenizer(path, drops_spaces, special_tokens)
         sentence_end = sentence_ends(tokenizer)
         sequences = TaskContext.get().partitionId() << _TASK_SHIFT
         for batch in sliced(batches, "text", BLOCK_BYTES):

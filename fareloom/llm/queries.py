@@ -26,7 +26,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), special_tokens=True)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "token-files")
     path = public_tokenizers.path("word_bpe_49k.json")
-    rans.write_dataset(documents(spark, sf_dir), folder, path, drops_spaces=True)
+    rans.write_dataset(documents(spark, sf_dir), folder, path, drops_spaces=True, special_tokens=True)
     return rans.read_dataset(spark, folder)
 
 

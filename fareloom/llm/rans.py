@@ -151,11 +151,11 @@ def decode_block(payload: bytes, table: Table) -> tuple[list[int | None], np.nda
     return [int(d) if known else None for d, known, _ in documents], documents[:, 2], ids
 
 
-def tokenized(docs: DataFrame, path: str, drops_spaces: bool, end_id: int) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, drops_spaces: bool, end_id: int, special_tokens: bool = False) -> DataFrame:
     """``doc_id``, ``n`` and ``ids`` (little-endian, 2 or 4 bytes each, as the vocabulary needs) with the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path, drops_spaces)
+        tokenizer = word_tokenizer(path, drops_spaces, special_tokens)
         end = np.array([end_id], tokenizer.kind).tobytes()
         width = len(end)
         for batch in sliced(batches, "text"):
@@ -179,12 +179,14 @@ def _counted(kind: str):
     return run
 
 
-def write_dataset(docs: DataFrame, folder: str, path: str, *, drops_spaces: bool, end_id: int = END_ID) -> None:
+def write_dataset(
+    docs: DataFrame, folder: str, path: str, *, drops_spaces: bool, special_tokens: bool = False, end_id: int = END_ID
+) -> None:
     """Encode every document into the dataset at ``folder``, in ascending order of ``doc_id``."""
     spark = docs.sparkSession
-    tokenizer = word_tokenizer(path, drops_spaces)
+    tokenizer = word_tokenizer(path, drops_spaces, special_tokens)
     size, kind = max(tokenizer.size, end_id + 1), tokenizer.kind
-    rows = saved(tokenized(docs, path, drops_spaces, end_id), "ids")
+    rows = saved(tokenized(docs, path, drops_spaces, end_id, special_tokens), "ids")
     # One row for each id of the vocabulary, whose size is fixed.
     counted = rows.select("ids").mapInArrow(_counted(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(size, np.int64)

@@ -68,11 +68,15 @@ class _Remembered(dict):
 
 
 class WordTokenizer:
-    """A tokenizer file; ``drops_spaces`` if it lowers letters and its ids do not depend on white space."""
+    """A tokenizer file; ``drops_spaces`` if it lowers letters and its ids do not depend on white space.
 
-    def __init__(self, path: str, drops_spaces: bool) -> None:
+    ``special_tokens``: special tokens' strings in a text get their one id, as by the library's plain call; otherwise they
+    are ordinary text.
+    """
+
+    def __init__(self, path: str, drops_spaces: bool, special_tokens: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
         self.size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.drops_spaces = drops_spaces
@@ -81,7 +85,7 @@ class WordTokenizer:
         self.spaced = _Remembered(self.tokenizer, " ", code, drops_spaces)
 
     def encode(self, text: str) -> np.ndarray:
-        """The ids of the text, without special tokens; special tokens' strings in it are ordinary text."""
+        """The ids of the text, without special tokens around it."""
         if self.drops_spaces:
             words = _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
             return np.frombuffer(b"".join(map(self.plain.__getitem__, words)), self.kind)
@@ -94,12 +98,12 @@ class WordTokenizer:
         return np.frombuffer(ids, self.kind)
 
 
-_LOADED: dict[tuple[str, bool], WordTokenizer] = {}
+_LOADED: dict[tuple[str, bool, bool], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str, drops_spaces: bool) -> WordTokenizer:
+def word_tokenizer(path: str, drops_spaces: bool, special_tokens: bool = False) -> WordTokenizer:
     """The tokenizer of a file, loaded once in each Python worker."""
-    key = (path, drops_spaces)
+    key = (path, drops_spaces, special_tokens)
     if key not in _LOADED:
-        _LOADED[key] = WordTokenizer(path, drops_spaces)
+        _LOADED[key] = WordTokenizer(*key)
     return _LOADED[key]

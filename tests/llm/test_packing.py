@@ -5,8 +5,9 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from fareloom.llm import packing
+from fareloom.llm import packing, queries
 from fareloom.llm.tokens import word_tokenizer
+from tests.llm.conftest import rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -86,3 +87,25 @@ def test_remembered_words_give_the_librarys_ids():
         own = word_tokenizer(path, drops)
         for text in [*texts, "", " ", "\n\n", "don't  we'll\n\n x ", "<|startoftext|> a"]:
             assert own.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_get_the_ids_of_the_plain_call():
+    drawn = random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "one", "Two's", " ", "  ", "\n", "\t", "é", "!", "<|", "|>", "7"]
+    texts = ["".join(drawn.choices(parts, k=drawn.randint(1, 9))) for _ in range(3000)]
+    for name, drops, wanted in (
+        ("byte_bpe_50k.json", False, [505, 220, 50256, 734]),
+        ("word_bpe_49k.json", True, [637, 49407, 1237]),
+    ):
+        path = public_tokenizers.path(name)
+        plain, own = Tokenizer.from_file(path), word_tokenizer(path, drops, special_tokens=True)
+        assert own.encode("one <|endoftext|> two").tolist() == wanted
+        for text in texts:
+            assert own.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_queries_pack_with_special_tokens(spark, tmp_path):
+    text = "one <|endoftext|> two"
+    rows(spark, [(1, text, "en")]).write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r["doc_tokens"] for r in queries.op3_packing(spark, str(tmp_path)).collect()] == [5]
+    assert [r["n_tokens"] for r in queries.op7_token_files(spark, str(tmp_path)).collect()] == [4]
