@@ -1,0 +1,143 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from fareloom.llm import alignment
+from tests.llm.conftest import SMALL, rows
+
+PATHS = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+ODD = [
+    "a  b", " a", "a ", "a\nb", "a\n\n b", "a \tb", "x  y", "\x1c a", "▁", "a▁b", "\x00x", "é漢 𝒳", "<s> x </s>", "<unk>",
+    "<0x41> <|endoftext|> z", "　 z", "it's 'tis don't.' (yes)", "1234 5,678", "!!! ...\r\n", "ﬁn", "word " * 50 + "end",
+]
+
+
+def plain_tokens(text):
+    """Token ids and byte ranges of both sides, straight from the libraries."""
+    tokenizer, model = plain_tokens.loaded
+    whole = b" " + text.encode()
+    shown = {}
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    shown = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
+    a = [(i, bytes(shown[c] for c in tokenizer.id_to_token(i))) for i in tokenizer.encode(" " + text, add_special_tokens=False).ids]
+    b = []
+    for i in model.encode(text):
+        piece = model.id_to_piece(i)
+        b.append((i, bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()))
+    if not text or any(b"".join(p for _, p in side) != whole for side in (a, b)):
+        return None
+    ranges = []
+    for side in (a, b):
+        at, own = 0, []
+        for i, piece in side:
+            own.append((i, at, at + len(piece)))
+            at += len(piece)
+        ranges.append(own)
+    return ranges
+
+
+@pytest.fixture(scope="module", autouse=True)
+def libraries():
+    tokenizer = Tokenizer.from_file(PATHS[0])
+    tokenizer.encode_special_tokens = True
+    plain_tokens.loaded = tokenizer, sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+
+
+def plain_rows(texts):
+    """The digest of each (id, text), from all pairs of tokens."""
+    found = []
+    for doc_id, text in texts:
+        sides = plain_tokens(text) if text else None
+        if sides is None:
+            found.append((doc_id, 0, 0, 0, [], ""))
+            continue
+        a, b = sides
+        links = [(x[0], y[0]) for x in a for y in b if x[1] < y[2] and y[1] < x[2]]
+        cuts = sorted({x[2] for x in a} & {y[2] for y in b})
+        parts, before = [], 0
+        for cut in cuts:
+            own = [",".join(str(t[0]) for t in side if before < t[2] <= cut) for side in (a, b)]
+            parts.append("|".join(own))
+            before = cut
+        found.append((doc_id, len(a), len(b), len(cuts), links, hashlib.sha256(";".join(parts).encode()).hexdigest()))
+    counts = Counter(pair for *_, links, _ in found for pair in set(links))
+    highest = {}
+    for (a, _), n in counts.items():
+        highest[a] = max(highest.get(a, 0), n)
+    return sorted(
+        (
+            (i, n_a, n_b, n_groups, len(links), sum(counts[p] == highest[p[0]] for p in links), sum(counts[p] for p in links), sha)
+            for i, n_a, n_b, n_groups, links, sha in found
+        ),
+        key=repr,
+    )
+
+
+def digest(docs, **options):
+    return sorted(map(tuple, alignment.alignment_digest(docs, *PATHS, **options).collect()), key=repr)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.booleans(), max_size=60), st.randoms())
+def test_groups_and_links_of_random_ends(steps, drawn):
+    last = len(steps) + 1
+    sides = [np.array(sorted({k + 1 for k, s in enumerate(steps) if s or drawn.random() < 0.6} | {last})) for _ in range(2)]
+    found = alignment.align_ends(*sides)
+    both = sorted(set(sides[0]) & set(sides[1]))
+    assert sides[0][found.last_a].tolist() == sides[1][found.last_b].tolist() == both
+    starts = [np.concatenate([[0], s[:-1]]) for s in sides]
+    overlap = {
+        (i, j) for i in range(len(sides[0])) for j in range(len(sides[1]))
+        if starts[0][i] < sides[1][j] and starts[1][j] < sides[0][i]
+    }
+    assert sorted(zip(found.link_a.tolist(), found.link_b.tolist())) == sorted(overlap)
+
+
+def test_ids_are_those_of_the_libraries():
+    pair = alignment.token_pair(*PATHS)
+    drawn = random.Random(5)
+    texts = ODD + ["".join(drawn.choice("ab é漢.'\n\t ▁19 ") for _ in range(drawn.randint(1, 40))) for _ in range(800)]
+    for text in texts:
+        mine, plain = pair.encode(text), plain_tokens(text)
+        assert (mine is None) == (plain is None), text
+        if plain:
+            assert [ids.tolist() for ids in mine] == [[t[0] for t in side] for side in plain], text
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    pair = alignment.TokenPair(*PATHS)
+    before = pair.encode("some words here and there, some again")
+    monkeypatch.setattr(alignment, "REMEMBERED_WORDS", 2)
+    assert [x.tolist() for x in pair.encode("some words here and there, some again")] == [x.tolist() for x in before]
+
+
+def test_digest_against_all_pairs(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) < 1500")
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len(texts) > 50 and digest(docs) == plain_rows(texts)
+
+
+def test_digest_of_odd_documents(spark, odd_documents, no_documents):
+    small = odd_documents.where("text is null or length(text) < 1000").unionByName(rows(spark, [(20 + k, t, "en") for k, t in enumerate(ODD)]))
+    expected = plain_rows([(r["doc_id"], r["text"]) for r in small.collect()])
+    assert digest(small) == expected == digest(small, max_broadcast_bytes=0)
+    assert len(digest(odd_documents)) == odd_documents.count()
+    assert digest(no_documents) == []
+
+
+def test_groups_as_columns(spark):
+    docs = rows(spark, [(1, "unbelievable things", "en"), (2, None, "en")])
+    by_id = {r["doc_id"]: r for r in alignment.align(docs, *PATHS).collect()}
+    a, b = plain_tokens("unbelievable things")
+    assert by_id[1]["ids_a"] == [t[0] for t in a] and by_id[1]["ids_b"] == [t[0] for t in b]
+    assert [a[k][2] for k in by_id[1]["last_a"]] == [b[k][2] for k in by_id[1]["last_b"]]
+    assert by_id[2]["ids_a"] == by_id[2]["last_b"] == []
