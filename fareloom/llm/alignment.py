@@ -12,9 +12,9 @@ of each first id, and the sums of each document follow from that table. Counts a
 within ``fareloom.operators.sizing.MAX_BROADCAST_BYTES`` and joined by shuffle beyond. A first id has at most as
 many partners as the second vocabulary has ids.
 
-Tokens are those of the libraries, the strings of special tokens being plain text. Words seen before are remembered
-where this cannot change ids: no token spans a space that has other characters on both sides. All other texts go
-through the libraries whole.
+Tokens are those of the libraries, the strings of special tokens being plain text. B's words seen before are remembered
+where this cannot change ids: no piece spans a space that has other characters on both sides. All other texts go
+through the library whole.
 
 Nulls and edges: a text that is null or empty, or that one of the two tokenizers does not give back byte by byte (behind
 a space), has no tokens, groups or links. Each row is a document, repeated rows too. Ids may be null or repeat. An empty table gives
@@ -22,19 +22,23 @@ an empty result. Columns other than ``doc_id`` and ``text`` are not looked at.
 """
 
 import hashlib
+import json
 import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from fareloom.llm.common import saved, sliced
-from fareloom.llm.tokens import _STANDS_FOR, word_tokenizer
+from fareloom.llm.tokens import _STANDS_FOR
 from fareloom.operators.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 
 SPACE = "▁"
@@ -48,19 +52,15 @@ BATCH_BYTES = 1 << 20
 _PAIRS = "array<struct<a: int, b: int, n: int>>"
 
 
-class _Lossy(Exception):
-    """A word that the tokenizers do not give back."""
-
-
 class TokenPair:
     """A byte-level tokenizer file (A) and a piece model (B)."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a = word_tokenizer(path_a, drops_spaces=False)
-        self.kind_a = self.a.kind
+        self.a = Tokenizer.from_file(path_a)
+        self.a.encode_special_tokens = True
         byte_of = {chr(b): b for b in range(256)} | {chr(shown): b for b, shown in _STANDS_FOR.items()}
-        by_id = {i: token for token, i in self.a.tokenizer.get_vocab().items()}
-        special = self.a.tokenizer.get_added_tokens_decoder()
+        by_id = {i: token for token, i in self.a.get_vocab().items()}
+        special = self.a.get_added_tokens_decoder()
         self.bytes_a = [
             by_id[i].encode() if i in special else bytes(map(byte_of.__getitem__, by_id.get(i, "")))
             for i in range(max(by_id) + 1)
@@ -74,49 +74,64 @@ class TokenPair:
         # Words are told apart by their spaces only if no piece has one behind another character.
         self.by_words = all(SPACE not in p.lstrip(SPACE) for p in pieces)
         self.sizes_a, self.sizes_b = (np.array(list(map(len, own)), np.int64) for own in (self.bytes_a, self.bytes_b))
-        self.words_b: dict[str, bytes] = _Words(self)
+        self.ranked = _ranked(self.a, {own: i for i, own in enumerate(self.bytes_a) if own and i not in special})
+        self.words_b: dict[str, bytes] = {}
 
     def _same(self, text: str, ids_a: np.ndarray, ids_b: np.ndarray) -> bool:
         whole = b" " + text.encode()
         joined = (b"".join(map(own.__getitem__, ids.tolist())) for own, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
         return all(part == whole for part in joined)
 
+    def encode_a(self, text: str) -> np.ndarray:
+        """Ids of A of a space and the text."""
+        if self.ranked:
+            return np.array(self.ranked.encode_ordinary(" " + text), np.int64)
+        return np.array(self.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+
     def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        ids_a = np.array(self.a.tokenizer.encode(" " + text, add_special_tokens=False).ids, np.int64)
-        ids_b = np.array(self.b.encode(text), np.int64)
+        ids_a, ids_b = self.encode_a(text), np.array(self.b.encode(text), np.int64)
         return (ids_a, ids_b) if self._same(text, ids_a, ids_b) else None
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both tokenizers, or none if the text has no tokens."""
-        if not text:
-            return None
-        if not self.by_words or SPACE in text or _ODD_SPACE.search(text):
-            return self._whole(text)
-        words = text.split(" ")
-        try:
-            ids_b = np.frombuffer(b"".join(map(self.words_b.__getitem__, words)), "<u4")
-        except _Lossy:
-            return self._whole(text)
-        ids_a = np.frombuffer(b"".join(map(self.a.spaced.__getitem__, words)), self.kind_a)
-        return ids_a.astype(np.int64), ids_b.astype(np.int64)
-
-
-class _Words(dict):
-    """Ids of B of a word with a space before it, as bytes; both tokenizers give the word back."""
-
-    def __init__(self, pair: TokenPair) -> None:
-        super().__init__()
-        self.pair = pair
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.pair.b.encode(word), "<u4")
-        ids_a = np.frombuffer(self.pair.a.spaced[word], self.pair.kind_a)
-        if not self.pair._same(word, ids_a, ids):
-            raise _Lossy
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        self[word] = ids.tobytes()
-        return self[word]
+    def _remember(self, words: set[str]) -> None:
+        """Ids of B of words with a space before them; those that it does not give back are left out."""
+        new = [word for word in words if word not in self.words_b]
+        if len(self.words_b) + len(new) > REMEMBERED_WORDS:
+            self.words_b.clear()
+            new = list(words)
+        for word, ids in zip(new, self.b.encode(new, num_threads=1)):
+            if b"".join(map(self.bytes_b.__getitem__, ids)) == b" " + word.encode():
+                self.words_b[word] = array("i", ids).tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both tokenizers of each text, or none if it has no tokens."""
+        by_words: dict[int, list[str]] = {}
+        if self.by_words:
+            plain = ((k, t) for k, t in enumerate(texts) if t and SPACE not in t and not _ODD_SPACE.search(t))
+            by_words = {k: text.split(" ") for k, text in plain}
+            self._remember(set().union(*by_words.values()))
+        found: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for k, text in enumerate(texts):
+            try:
+                ids_b = np.frombuffer(b"".join(map(self.words_b.__getitem__, by_words[k])), np.int32)
+            except KeyError:
+                found.append(self._whole(text) if text else None)
+                continue
+            found.append((self.encode_a(text), ids_b.astype(np.int64)))
+        return found
+
+
+def _ranked(tokenizer: Tokenizer, ids: dict[bytes, int]) -> tiktoken.Encoding | None:
+    """The same tokenizer for a faster library, if its ids are in the order of its merges and it cuts texts as usual."""
+    parts = json.loads(tokenizer.to_str())
+    cut, model = parts["pre_tokenizer"] or {}, parts["model"]
+    if parts["normalizer"] or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    if model["type"] != "BPE" or model.get("ignore_merges") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    merged = [model["vocab"]["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])) or len(merged) + 256 != len(ids):
+        return None
+    return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ids, special_tokens={})
 
 
 _PAIRS_OF_FILES: dict[tuple[str, str], TokenPair] = {}
@@ -186,12 +201,14 @@ def align_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
     return Alignment(np.sort(groups_a), np.sort(groups_b), joined(single_a, link_a), joined(single_b, link_b))
 
 
-def align_text(pair: TokenPair, text: str | None) -> tuple[np.ndarray, np.ndarray, Alignment] | None:
-    """Ids of both tokenizers and their alignment."""
-    ids = pair.encode(text)
-    if ids is None:
-        return None
-    return *ids, align_ends(np.cumsum(pair.sizes_a[ids[0]]), np.cumsum(pair.sizes_b[ids[1]]))
+def align_texts(pair: TokenPair, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, Alignment] | None]:
+    """For each text the ids of both tokenizers and their alignment, or none if it has no tokens."""
+    for ids in pair.encode(texts):
+        if ids is None:
+            yield None
+        else:
+            ends_a, ends_b = np.cumsum(pair.sizes_a[ids[0]]), np.cumsum(pair.sizes_b[ids[1]])
+            yield *ids, align_ends(ends_a, ends_b)
 
 
 class _GroupText:
@@ -222,8 +239,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         names = ["ids_a", "ids_b", "last_a", "last_b"]
         for batch in sliced(batches, "text", BATCH_BYTES):
             rows: list[tuple[np.ndarray, ...]] = []
-            for text in batch.column("text"):
-                found = align_text(pair, text.as_py())
+            for found in align_texts(pair, batch.column("text").to_pylist()):
                 rows.append((found[0], found[1], found[2].last_a, found[2].last_b) if found else (np.array([], np.int64),) * 4)
             columns = [pa.array([r[k].astype(np.int32) for r in rows], pa.list_(pa.int32())) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
@@ -248,8 +264,7 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         none = (np.array([], np.int64),) * 3
         for batch in sliced(batches, "text", BATCH_BYTES):
             numbers, digests, linked = [], [], []
-            for text in batch.column("text"):
-                found = align_text(pair, text.as_py())
+            for found in align_texts(pair, batch.column("text").to_pylist()):
                 if found is None:
                     numbers.append((0, 0, 0, 0))
                     digests.append("")

@@ -106,8 +106,8 @@ def test_ids_are_those_of_the_libraries():
     pair = alignment.token_pair(*PATHS)
     drawn = random.Random(5)
     texts = ODD + ["".join(drawn.choice("ab é漢.'\n\t ▁19 ") for _ in range(drawn.randint(1, 40))) for _ in range(800)]
-    for text in texts:
-        mine, plain = pair.encode(text), plain_tokens(text)
+    for text, mine in zip(texts, pair.encode(texts)):
+        plain = plain_tokens(text)
         assert (mine is None) == (plain is None), text
         if plain:
             assert [ids.tolist() for ids in mine] == [[t[0] for t in side] for side in plain], text
@@ -115,9 +115,19 @@ def test_ids_are_those_of_the_libraries():
 
 def test_forgetting_changes_nothing(monkeypatch):
     pair = alignment.TokenPair(*PATHS)
-    before = pair.encode("some words here and there, some again")
+    texts = ["some words here and there, some again", "other words", "some more"]
+    ids = lambda: [[x.tolist() for x in found] for text in texts for found in pair.encode([text])]
+    before = ids()
     monkeypatch.setattr(alignment, "REMEMBERED_WORDS", 2)
-    assert [x.tolist() for x in pair.encode("some words here and there, some again")] == [x.tolist() for x in before]
+    assert ids() == before
+
+
+def test_the_library_itself_gives_the_same_ids_of_a():
+    pair = alignment.TokenPair(*PATHS)
+    assert pair.ranked
+    faster = [pair.encode_a(text).tolist() for text in ODD]
+    pair.ranked = None
+    assert [pair.encode_a(text).tolist() for text in ODD] == faster
 
 
 def test_digest_against_all_pairs(spark):
