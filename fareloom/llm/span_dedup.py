@@ -352,7 +352,8 @@ def _removals(docs: DataFrame, length: int, hot_stretches: int, max_broadcast_by
     )
     read = saved(read, "stretches")
     placed = read.select("tid", F.inline("stretches"))
-    again = placed.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written tables on the right of joins: behind their exchanges nothing keeps the plan from splitting a hot key on the left.
+    again = saved(placed.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     hits = placed.join(again, "anchor", "left_semi").groupBy("tid").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("hits"))
     wanted = (
         read.select("tid", "k1", "k2")
@@ -365,7 +366,7 @@ def _removals(docs: DataFrame, length: int, hot_stretches: int, max_broadcast_by
     texts = saved(packed.join(wanted, ["k1", "k2"]), "texts")
     schema = "anchor long, d1 long, d2 long, body binary, times long, tid long, start long, size long, known long"
     parts = saved(texts.select("copies", "tid", "hits", "packed").mapInArrow(_bodies(length), schema), "bodies")
-    answers = _answers(parts, length, hot_stretches, max_broadcast_bytes)
+    answers = saved(_answers(parts, length, hot_stretches, max_broadcast_bytes), "answers")
     asked = parts.where("tid is not null and known is null").select("d1", "d2", "tid", "start")
     told = asked.join(answers, ["d1", "d2"]).select("tid", "start", "flags")
     known = parts.where("tid is not null and known is not null").select("tid", "start", F.col("known").alias("flags"))
