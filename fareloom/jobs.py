@@ -22,7 +22,7 @@ from fareloom.sources.readers import (
     stream_trips,
     stream_weather,
 )
-from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
+from fareloom.streaming.joins import join_streams, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
 from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream, report_stream
 
@@ -127,7 +127,8 @@ def run_gold(
 
     ``table``    both sides for good, in a written table; late weather still finds earlier trips
     ``stream``   the same rows, remembered in the state store, which then grows with the trips
-    ``bounded``  both sides up to the watermarks, which the two delays set; later rows are ignored
+    ``bounded``  both sides up to the watermark that the two delays set, in a written table; later rows join nothing and
+                 are kept for ``remembered.read_late``
     ``static``   nothing; weather as it is at the start, so each trip needs its weather to be there already
     """
     if mode not in GOLD_MODES:
@@ -136,21 +137,17 @@ def run_gold(
         # Batches cut from a backlog move the watermark past rows that are still to come.
         raise ValueError("the bounded mode takes all arrived trips in one batch; limit batches in the other modes")
     trips = stream_silver(spark, source, fmt, source_options)
-    if mode == "table":
+    if mode in ("table", "bounded"):
         if fmt != "parquet":
-            raise ValueError("the table mode writes parquet")
-        memory = f"{checkpoint.rstrip('/')}/remembered"
+            raise ValueError(f"the {mode} mode writes parquet")
+        delays = (trip_delay, weather_delay) if mode == "bounded" else None
         arriving = stream_weather(spark, weather)
-        return _finish(start_remembered_join(trips, arriving, output, memory, checkpoint, trigger), wait)
+        return _finish(start_remembered_join(trips, arriving, output, checkpoint, trigger, delays=delays), wait)
     if mode == "static":
         joined = join_weather(trips, read_weather(spark, weather).select(*WEATHER_SIDE))
     else:
         arriving = stream_weather(spark, weather).select(*WEATHER_SIDE)
-        shares = pinned_salts(spark, checkpoint, salts)
-        if mode == "stream":
-            joined = join_streams(trips, arriving, shares)
-        else:
-            joined = join_streams_bounded(trips, arriving, shares, trip_delay, weather_delay)
+        joined = join_streams(trips, arriving, pinned_salts(spark, checkpoint, salts))
     query = append_stream(
         to_gold(joined), output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger
     )

@@ -162,6 +162,29 @@ SELECT {_STREAM_SILVER}, payment_type, fare_amount, pickup_location FROM silver"
     "stream_gold_table": _gold(_ONE_STATION),
     "stream_gold_late_weather": _LATE_RUNS,
     "stream_gold_table_late_weather": _LATE_RUNS,
+    "stream_gold_bounded_late": f"""WITH {_SILVER}, {_ONE_STATION},
+batches AS (
+    SELECT *, CASE WHEN CAST(drop_off_timestamp AS DATE) >= DATE '1996-01-01' THEN 0 ELSE 1 END AS batch_id
+    FROM silver WHERE drop_off_timestamp IS NOT NULL
+),
+mark AS (
+    SELECT least((SELECT max(drop_off_timestamp) FROM batches WHERE batch_id = 0),
+                 (SELECT max(CAST(date AS TIMESTAMP)) FROM weather)) - INTERVAL 1200 DAY AS watermark
+),
+told AS (
+    SELECT batch_id, batch_id = 1 AND drop_off_timestamp < watermark AS late,
+           CAST(drop_off_timestamp AS DATE) IN (SELECT date FROM weather) AS joins
+    FROM batches, mark
+),
+counted AS (
+    SELECT batch_id, count(*) AS arrived, count(*) FILTER (WHERE NOT late) AS candidates,
+           count(*) FILTER (WHERE late) AS late, count(*) FILTER (WHERE NOT late AND joins) AS more
+    FROM told GROUP BY batch_id
+)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, arrived, candidates, late,
+       CAST(sum(more) OVER (ORDER BY batch_id) AS BIGINT) AS gold
+FROM counted""",
+    "stream_gold_table_batches": _gold(_ONE_STATION),
     "bronze_evolution": f"""WITH {_ENRICHED}
 SELECT {_RAW_COLUMNS} FROM enriched
 UNION ALL

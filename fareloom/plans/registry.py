@@ -26,12 +26,16 @@ from fareloom.plans import fixtures
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.session import scratch_folder, set_old_time
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_trips, read_weather, read_zones
+from fareloom.streaming.remembered import read_late, read_remembered
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Weather up to here is there for the first run of the late-weather queries, the rest for the second.
 LATE_FROM = "1998-06-01"
+# Trips from here on come in the first batch of the bounded query, the rest in the second; the watermark lies between.
+BOUNDED_FROM = "1996-01-01"
+BOUNDED_DELAY = "1200 days"
 
 
 def _without_zone(df: DataFrame) -> DataFrame:
@@ -214,6 +218,54 @@ def _stream_gold_late_weather(mode: str) -> Query:
     return query
 
 
+def stream_gold_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips before a day come a batch too late for the bounded mode: for each batch the trips that arrived, those that may
+    join, those behind the watermark, and the gold rows there are after it."""
+    folder = scratch_folder(spark, "gold-bounded-late")
+    job = fixtures.job_session(spark)
+    silver = read_silver(job, fixtures.staged_silver(spark, sf_dir)).where("drop_off_timestamp IS NOT NULL")
+    newer = F.to_date("drop_off_timestamp") >= BOUNDED_FROM
+    for run, arriving in enumerate((newer, ~newer)):
+        silver.where(arriving).write.mode("append").partitionBy("vendor_id").parquet(f"{folder}/silver")
+        run_gold(
+            job,
+            f"{folder}/silver",
+            fixtures.staged_weather(spark, sf_dir),
+            f"{folder}/table",
+            f"{folder}/checkpoint",
+            mode="bounded",
+            trip_delay=BOUNDED_DELAY,
+            weather_delay=BOUNDED_DELAY,
+            trigger=ONCE_OVER_ALL_INPUT,
+        )
+        seen = read_gold(job, f"{folder}/table").agg(F.count("*").alias("gold")).withColumn("batch_id", F.lit(run).cast("long"))
+        seen.write.mode("append").parquet(f"{folder}/seen")
+    by_batch = lambda rows, name: rows.groupBy("batch_id").agg(F.count("*").alias(name))
+    arrived = by_batch(silver.select(F.when(newer, 0).otherwise(1).cast("long").alias("batch_id")), "arrived")
+    candidates = by_batch(read_remembered(job, f"{folder}/table", f"{folder}/checkpoint"), "candidates")
+    late = by_batch(read_late(job, f"{folder}/table", f"{folder}/checkpoint").where("is_trip"), "late")
+    counted = arrived.join(candidates, "batch_id", "left").join(late, "batch_id", "left").join(job.read.parquet(f"{folder}/seen"), "batch_id")
+    return counted.na.fill(0, ["candidates", "late"])
+
+
+def stream_gold_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default mode over batches of few files, enough of them that parts of closed batches are merged."""
+    folder = scratch_folder(spark, "gold-table-batches")
+    job = fixtures.job_session(spark)
+    silver = read_silver(job, fixtures.staged_silver(spark, sf_dir))
+    silver.repartition(9).write.partitionBy("vendor_id").parquet(f"{folder}/silver")
+    run_gold(
+        job,
+        f"{folder}/silver",
+        fixtures.staged_weather(spark, sf_dir),
+        f"{folder}/table",
+        f"{folder}/checkpoint",
+        trigger=ONCE_OVER_ALL_INPUT,
+        source_options={"maxFilesPerTrigger": 7},
+    )
+    return _without_zone(read_gold(spark, f"{folder}/table"))
+
+
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts that the silver job keeps of each batch, summed over its batches of one file each."""
     folder = scratch_folder(spark, "silver-report")
@@ -319,6 +371,8 @@ QUERIES: dict[str, Query] = {
     "stream_gold_table": _stream_gold("table"),
     "stream_gold_late_weather": _stream_gold_late_weather("stream"),
     "stream_gold_table_late_weather": _stream_gold_late_weather("table"),
+    "stream_gold_bounded_late": stream_gold_bounded_late,
+    "stream_gold_table_batches": stream_gold_table_batches,
     "bronze_evolution": bronze_evolution,
     "catalog_bronze": catalog_bronze,
 }

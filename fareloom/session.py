@@ -91,6 +91,40 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in file_system.globStatus(location) or [])
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or none if it is not there."""
+    file_system, location = _located(spark, path)
+    if not file_system.exists(location):
+        return None
+    stream = file_system.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it appears under its name only when it is whole, in place of one that was there."""
+    file_system, location = _located(spark, path)
+    begun = location.suffix(f".{uuid.uuid4().hex}.begun")
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(begun.getParent(), f".{begun.getName()}")
+    stream = file_system.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not file_system.rename(hidden, location):
+        file_system.delete(location, False)
+        if not file_system.rename(hidden, location):
+            raise OSError(f"could not write {path}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all that is in it, if it is there."""
+    file_system, location = _located(spark, path)
+    file_system.delete(location, True)
+
+
 def set_old_time(spark: SparkSession, folder: str) -> None:
     """Give the file of a folder that was written last a time stamp of many years ago."""
     file_system, location = _located(spark, folder)

@@ -8,7 +8,8 @@ from pyspark.sql.types import StructType
 
 from fareloom.operators.weather import with_weather_day
 from fareloom.schemas import GOLD, RAW, SILVER, WEATHER, ZONES
-from fareloom.session import matching_paths
+from fareloom.streaming.parts import is_published
+from fareloom.streaming.remembered import read_published_gold
 
 # A header that is not in the expected order is an error instead of a silent mix-up.
 WEATHER_OPTIONS = {"header": "true", "sep": ",", "enforceSchema": "false"}
@@ -93,12 +94,7 @@ def stream_weather(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """Gold rows. Of a table written in batch folders only the complete ones are read."""
-    reader = spark.read.schema(GOLD)
-    if not matching_paths(spark, f"{path.rstrip('/')}/batch_id=*"):
-        return _ordered(reader.parquet(path), GOLD)
-    complete = matching_paths(spark, f"{path.rstrip('/')}/batch_id=*/_SUCCESS")
-    if not complete:
-        return spark.createDataFrame([], GOLD)
-    folders = [marker.rsplit("/", 1)[0] for marker in complete]
-    return _ordered(reader.option("basePath", path).parquet(*folders), GOLD)
+    """Gold rows, by vendor. Of a table written in parts only the published ones are read."""
+    if is_published(spark, path):
+        return read_published_gold(spark, path)
+    return _ordered(spark.read.schema(GOLD).parquet(path), GOLD)

@@ -16,7 +16,8 @@ from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
 from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
-from fareloom.streaming.remembered import _earlier_trips, start_remembered_join
+from fareloom.streaming.parts import MERGED_AT_ONCE, read_ledger
+from fareloom.streaming.remembered import TRIP, Memory, read_late, read_remembered, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 from tests.conftest import at, plan_of, raw_trips, rows_of, weather_rows
 
@@ -259,11 +260,14 @@ def test_a_repeated_batch_leaves_the_same_gold_rows(spark, lake):
     commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, False)
     assert lake.gold("table") == applied
 
-    # Cut off earlier, before the gold folder was complete: the batch is written again.
-    marker = spark._jvm.org.apache.hadoop.fs.Path(lake.folder("gold-table", "batch_id=0", "_SUCCESS"))
-    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(marker, False)
+    # Cut off earlier, before the batch was published: it is written again, and what the first attempt left is removed.
+    published = spark._jvm.org.apache.hadoop.fs.Path(lake.folder("gold-table", "_parts", "000000000000.json"))
+    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(published, False)
     commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, False)
+    left = {file.name for file in Path(lake.folder("gold-table")).rglob("part=*")}
+    assert lake.gold_rows("table") == []
     assert lake.gold("table") == applied
+    assert left and not left & {file.name for file in Path(lake.folder("gold-table")).rglob("part=*")}
 
 
 def test_table_mode_refuses_an_output_of_another_checkpoint(spark, lake):
@@ -296,7 +300,6 @@ def test_table_mode_without_broadcast_gives_the_same_rows(spark, lake):
         stream_silver(spark, lake.folder("silver")),
         stream_weather(spark, lake.folder("weather")),
         lake.folder("gold-x"),
-        lake.folder("memory"),
         lake.folder("c"),
         trigger=ONCE_OVER_ALL_INPUT,
         max_broadcast_bytes=0,
@@ -354,18 +357,112 @@ def test_static_weather_beyond_the_broadcast_bound(spark, lake):
     assert lake.gold_rows("s") == lake.batch_gold()
 
 
-def test_late_weather_opens_the_folders_of_its_months_only(spark, lake):
-    lake.add_trips([*TRIPS, _trip("2019-07-04", 1), _trip("2021-03-09", 2), _trip("2021-03-10", 3)], "bronze")
-    lake.silver()
+def test_parts_stay_few_and_late_weather_opens_few_files(spark, lake):
+    """Twenty batches of trips over three years; the number of folders follows months and levels, not batches."""
+    batches = 20
+    for k in range(batches):
+        days = (f"2022-{1 + k % 12:02d}-05", f"2023-{1 + k % 12:02d}-06", "2024-01-02")
+        lake.add_trips([_trip(day, n, vendor=1 + n % 2) for n, day in enumerate(days)], "bronze")
     lake.add_weather(DAY_TWO)
+    lake.silver(source_options={"maxFilesPerTrigger": 1})
+    lake.gold("table", source_options={"maxFilesPerTrigger": 2})
+    path, checkpoint = lake.folder("gold-table"), lake.folder("gold-table-c")
+    ledger = read_ledger(spark, path)
+    assert ledger.through + 1 >= batches
+    for table in ("memory", "gold"):
+        levels = [part.level for part in ledger.of(table)]
+        assert max(levels) >= 1 and all(levels.count(level) < 2 * MERGED_AT_ONCE for level in levels)
+    assert lake.gold_rows("table") == lake.batch_gold()
+
+    memory = Memory(spark, f"{checkpoint}/remembered", ledger)
+    far = spark.sql("SELECT array(DATE'2022-03-05', DATE'2023-09-06') AS days").first()["days"]
+    earlier = memory.trips_of(far)
+    merged = [file for file in earlier.inputFiles() if "/month=" in file]
+    single = [part for part in memory.parts(TRIP) if part.level == 0]
+    assert {Path(file).parent.name for file in merged} == {"month=2022-03", "month=2023-09"}
+    assert len(merged) <= 2 * len(memory.parts(TRIP)) and len(single) < 2 * MERGED_AT_ONCE
+    assert earlier.count() == sum(k % 12 == 2 for k in range(batches)) + sum(k % 12 == 8 for k in range(batches))
+    assert "In(day, [2022-03-05,2023-09-06])" in plan_of(earlier.select("day"))
+
+    # Late weather for both days finds all of their trips, whatever part they are in by now.
+    lake.add_weather(("NYC", "2022-03-05", "1.0", "0.5"), ("NYC", "2023-09-06", "2.0", "0.5"))
+    assert lake.gold("table") == lake.batch_gold()
+    assert read_remembered(spark, path, checkpoint).count() == 3 * batches
+
+
+def test_gold_lies_by_vendor_and_a_vendor_filter_prunes(spark, lake):
+    lake.add_trips(TRIPS, "bronze")
+    lake.silver()
+    lake.add_weather(DAY_ONE, DAY_TWO)
     lake.gold("table")
-    memory = lake.folder("gold-table-c", "remembered")
-    weather = spark.sql("SELECT explode(array(DATE'2019-07-04', DATE'2024-01-03', DATE'2031-05-05')) AS day")
-    earlier = _earlier_trips(spark, memory, weather, 1)
-    months = {Path(file).parent.parent.name for file in earlier.inputFiles()}
-    assert months == {"month=2019-07", "month=2024-01"} and earlier.count() == 2
-    plan = plan_of(earlier.select("day"))
-    assert "(batch_id" in plan.split("PartitionFilters")[1] and "In(day, [2019-07-04,2024-01-03,2031-05-05])" in plan
+    folders = {path.name for path in Path(lake.folder("gold-table")).glob("vendor_id=*")}
+    assert folders == {"vendor_id=1", "vendor_id=2", "vendor_id=3", "vendor_id=__HIVE_DEFAULT_PARTITION__"}
+    one = read_gold(spark, lake.folder("gold-table")).where("vendor_id = '2'")
+    assert "(vendor_id" in plan_of(one).split("PartitionFilters")[1]
+    assert {Path(file).parents[1].name for file in one.inputFiles()} >= {"vendor_id=2"} and one.count() == 4
+
+
+def test_replaced_parts_are_deleted_some_batches_later(spark, lake, monkeypatch):
+    from fareloom.streaming import parts
+
+    monkeypatch.setattr(parts, "KEPT_AFTER", 1)
+    monkeypatch.setattr(parts, "MERGED_AT_ONCE", 2)
+    monkeypatch.setattr(parts, "KEPT_FILES", 3)
+    lake.add_weather(DAY_ONE, DAY_TWO)
+    for k in range(0, len(TRIPS), 3):
+        lake.add_trips(TRIPS[k : k + 3], "bronze")
+    lake.silver(source_options={"maxFilesPerTrigger": 1})
+    assert lake.gold("table", source_options={"maxFilesPerTrigger": 1}) == lake.batch_gold()
+    there = {path.name for path in Path(lake.folder("gold-table")).rglob("part=*")}
+    ledger = read_ledger(spark, lake.folder("gold-table"))
+    assert len(there) <= len(ledger.of("gold")) + 6
+    assert len(list(Path(lake.folder("gold-table", "_parts")).glob("*.json"))) <= 3
+
+
+def test_rows_behind_the_watermark_are_kept(spark, lake):
+    """The watermark follows both streams, less their delays; late rows join nothing and none is lost."""
+    lake.add_trips([_trip("2024-01-10", 1), _trip("2024-01-02", 2)], "bronze")
+    lake.silver()
+    lake.add_weather(("NYC", "2024-01-12", "1.0", "0.5"), DAY_TWO, DAY_ONE)
+    path, checkpoint = lake.folder("gold-bounded"), lake.folder("gold-bounded-c")
+    delays = {"trip_delay": "2 days", "weather_delay": "5 days"}  # the watermark is the start of January 7
+    assert len(lake.gold("bounded", **delays)) == 1
+    lake.add_trips([_trip("2024-01-06", 3), _trip("2024-01-07", 4), _trip("2024-01-01", 5), _trip("2024-01-12", 6)], "bronze")
+    lake.silver()
+    lake.add_weather(("NYC", "2024-01-05", "3.0", "1.0"), ("NYC", "2024-01-07", "4.0", "1.0"))
+    rows = lake.gold("bounded", **delays)
+    assert sorted(str(row[2].date()) for row in rows) == ["2024-01-02", "2024-01-07", "2024-01-12"]
+    late = read_late(spark, path, checkpoint).collect()
+    assert sorted((r["batch_id"], r["is_trip"], str(r["day"])) for r in late) == [
+        (1, False, "2024-01-05"), (1, True, "2024-01-01"), (1, True, "2024-01-06")
+    ]
+    assert read_remembered(spark, path, checkpoint).count() + 2 == 6
+    # A restart goes on with the same watermark.
+    lake.add_trips([_trip("2024-01-01", 7)], "bronze")
+    lake.silver()
+    assert lake.gold("bounded", **delays) == rows
+    assert read_late(spark, path, checkpoint).where("batch_id = 2").count() == 1
+
+
+def test_bounded_memory_forgets_days_behind_the_watermark(spark, lake, monkeypatch):
+    from fareloom.streaming import parts
+
+    monkeypatch.setattr(parts, "MERGED_AT_ONCE", 2)
+    lake.add_weather(*(("NYC", f"2024-02-{d:02d}", "1.0", "0.5") for d in range(1, 29)))
+    for d in range(1, 9):
+        lake.add_trips([_trip(f"2024-02-{d:02d}", 1)], "bronze")
+    lake.silver(source_options={"maxFilesPerTrigger": 1})
+    # A limit on batches is refused in this mode, so the files are offered one after the other.
+    for k, file in enumerate(sorted(Path(lake.folder("silver")).rglob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)):
+        day = spark.read.parquet(str(file))
+        day.withColumn("vendor_id", F.lit(1)).write.mode("append").partitionBy("vendor_id").parquet(lake.folder("slowly"))
+        jobs.run_gold(
+            spark, lake.folder("slowly"), lake.folder("weather"), lake.folder("gold-b"), lake.folder("gold-b-c"), mode="bounded", **NOW
+        )
+    assert lake.gold_rows("b") == lake.batch_gold()
+    days = {str(r["day"]) for r in read_remembered(spark, lake.folder("gold-b"), lake.folder("gold-b-c")).collect()}
+    assert "2024-02-08" in days and not days & {"2024-02-01", "2024-02-02"}
+    assert read_late(spark, lake.folder("gold-b"), lake.folder("gold-b-c")).count() == 0
 
 
 def test_unknown_mode_is_refused(spark, folder):
