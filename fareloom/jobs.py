@@ -3,13 +3,13 @@
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
 from fareloom import catalog
-from fareloom.operators.quality import TRIP_CONSTRAINTS, Constraint, validate
+from fareloom.operators.quality import TRIP_CONSTRAINTS, Constraint, observe_quality, validate
 from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_zone_names
@@ -24,7 +24,8 @@ from fareloom.sources.readers import (
 )
 from fareloom.streaming.joins import join_streams, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
-from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream, report_stream
+from fareloom.streaming.report import ReportKeeper
+from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream
 
 BATCH_LIMITS = ("maxBytesPerTrigger", "maxFilesPerTrigger")
 GOLD_MODES = ("table", "stream", "bounded", "static")
@@ -33,10 +34,26 @@ GOLD_MODES = ("table", "stream", "bounded", "static")
 def as_raw_layout(trips: DataFrame) -> DataFrame:
     """The trips in the types of the raw layout, for the columns of it that they have; other columns are kept.
 
-    Files come with whole numbers where the layout has doubles. A value that does not fit its type stops the job.
+    Files come with whole numbers where the layout has doubles. A value that its type cannot hold, be it too large, no
+    number, or a fraction where the layout has whole numbers, stops the job, whatever the session's ANSI setting.
     """
-    types = {field.name: field.dataType for field in RAW}
-    return trips.select(*(F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in trips.columns))
+    given = {field.name: field.dataType for field in trips.schema}
+    wanted = {field.name: field.dataType for field in RAW}
+    return trips.select(*(_fitting(c, given[c], wanted[c]) if c in wanted else F.col(f"`{c}`") for c in trips.columns))
+
+
+def _fitting(name: str, given: DataType, wanted: DataType) -> Column:
+    value = F.col(f"`{name}`")
+    if given == wanted:
+        return value
+    fitted = value.try_cast(wanted)
+    lost = value.isNotNull() & fitted.isNull()
+    if isinstance(wanted, IntegralType) and not isinstance(given, IntegralType):
+        # Text is compared as a number: "1.0" is whole, "1.7" is not.
+        number = value.cast("double") if isinstance(given, StringType) else value
+        lost = lost | (fitted != number)
+    problem = F.concat(F.lit(f"{name} does not fit {wanted.simpleString()}: "), value.cast("string"))
+    return F.when(lost, F.raise_error(problem).cast(wanted)).otherwise(fitted).alias(name)
 
 
 def run_enrich(spark: SparkSession, trips: str, zones: str, output: str, mode: str = "errorifexists") -> None:
@@ -93,18 +110,30 @@ def run_silver(
 ) -> StreamingQuery:
     """Bronze to silver: rename, prune, validate, append by vendor.
 
-    With ``report``, a folder, the counts of each batch and constraint are kept there by a second query.
+    With ``report``, a folder, the counts of each batch and constraint are kept there, as the query itself observes them.
+    A report that cannot be kept stops the job. Without ``wait`` the query comes back with its ``report`` (a
+    ``ReportKeeper``), whose ``finish`` waits for the end and raises that error.
     """
-    bronze = stream_trips(spark, source, schema, fmt, source_options)
-    silver = validate(to_silver(bronze), validation, constraints)
-    if report:
-        place = f"{checkpoint.rstrip('/')}-report"
-        kept = report_stream(to_silver(bronze), report, place, constraints, trigger)
-        _finish(kept, wait and trigger == ONCE_OVER_ALL_INPUT)
+    silver = to_silver(stream_trips(spark, source, schema, fmt, source_options))
+    keeper = ReportKeeper(spark, report, checkpoint, constraints) if report else None
+    if keeper and validation != "report":
+        silver = observe_quality(silver, constraints)
     query = append_stream(
-        silver, output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger, rebalance=rebalance
+        validate(silver, validation, constraints),
+        output,
+        checkpoint,
+        fmt=fmt,
+        partition_by="vendor_id",
+        trigger=trigger,
+        rebalance=rebalance,
+        name=keeper.name if keeper else None,
     )
-    return _finish(query, wait)
+    if keeper is None:
+        return _finish(query, wait)
+    query.report = keeper
+    if wait:
+        keeper.finish(query)
+    return query
 
 
 def run_gold(

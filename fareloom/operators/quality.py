@@ -1,11 +1,14 @@
 """Data checks on silver trips."""
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.session import write_text
+
 # Fixed value: name of the check in reports.
 CHECK_NAME = "Data Validation Check"
 OBSERVATION_NAME = "trip_quality"
@@ -125,17 +128,26 @@ def batch_counts(df: DataFrame, constraints: Sequence[Constraint] = TRIP_CONSTRA
     return df.agg(*_counts(constraints)).select(F.inline(F.array(*rows)))
 
 
+def write_report(spark: SparkSession, folder: str, batch_id: int, rows: Sequence[tuple[str, int | None, int | None]]) -> None:
+    """Keep (constraint, passed, total) as the counts of a batch; writing them again replaces them."""
+    lines = (json.dumps(dict(zip(("constraint", "passed", "total"), row))) for row in rows)
+    write_text(spark, f"{folder.rstrip('/')}/batch_id={batch_id}/counts.json", "\n".join(lines))
+
+
 def keep_report(
     df: DataFrame, folder: str, batch_id: int, constraints: Sequence[Constraint] = TRIP_CONSTRAINTS
 ) -> None:
-    """Write the counts of a static frame as batch ``batch_id`` of the report table; writing it again replaces it."""
-    batch_counts(df, constraints).coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+    """Count a static frame as batch ``batch_id`` of the report table."""
+    rows = batch_counts(df, constraints).collect()  # one for each constraint
+    write_report(df.sparkSession, folder, batch_id, [tuple(row) for row in rows])
 
 
 def read_report(spark: SparkSession, folder: str) -> DataFrame:
-    """``batch_id, constraint, passed, total`` and the batch's status for each constraint."""
-    rows = spark.read.schema(REPORT_SCHEMA).parquet(folder)
-    status = F.when(F.col("passed") == F.col("total"), "Success").otherwise("Failure")
+    """``batch_id, constraint, passed, total`` and the batch's status for each constraint; ``Unknown`` where a batch was
+    written and its counts were lost with the driver."""
+    rows = spark.read.schema(REPORT_SCHEMA).json(folder)
+    known = F.when(F.col("passed") == F.col("total"), "Success").otherwise("Failure")
+    status = F.when(F.col("total").isNull(), "Unknown").otherwise(known)
     return rows.select("batch_id", "constraint", "passed", "total", status.alias("constraint_status"))
 
 

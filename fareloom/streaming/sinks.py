@@ -1,13 +1,10 @@
 """Append-only, checkpointed table sinks."""
 
-from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fareloom.operators.quality import Constraint, keep_report
-
 # Fixed value: how often the silver and gold jobs look for new files.
 EVERY_100_SECONDS = {"processingTime": "100 seconds"}
 ONCE_OVER_ALL_INPUT = {"availableNow": True}
@@ -23,6 +20,7 @@ def append_stream(
     trigger: dict[str, Any] | None = None,
     rebalance: bool = False,
     merge_schema: bool = False,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start appending ``df`` to the table at ``path``; no trigger means batches run back to back.
 
@@ -39,24 +37,6 @@ def append_stream(
         writer = writer.partitionBy(partition_by)
     if trigger:
         writer = writer.trigger(**trigger)
+    if name:
+        writer = writer.queryName(name)
     return writer.start(path)
-
-
-def report_stream(
-    df: DataFrame,
-    folder: str,
-    checkpoint: str,
-    constraints: Sequence[Constraint],
-    trigger: dict[str, Any] | None = None,
-) -> StreamingQuery:
-    """Start keeping a quality report of a stream: a folder per batch, replaced if the batch is repeated.
-
-    It is a query of its own that reads the checked columns only, so every row is counted once, however many
-    batches there are and wherever the writing query stands.
-    """
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: keep_report(batch, folder, batch_id, constraints)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
