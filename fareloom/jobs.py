@@ -22,7 +22,7 @@ from fareloom.sources.readers import (
     stream_trips,
     stream_weather,
 )
-from fareloom.streaming.joins import join_streams, pinned_salts
+from fareloom.streaming.joins import join_streams, pinned_day_salts, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
 from fareloom.streaming.report import ReportKeeper
 from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream
@@ -176,7 +176,8 @@ def run_gold(
         joined = join_weather(trips, read_weather(spark, weather).select(*WEATHER_SIDE))
     else:
         arriving = stream_weather(spark, weather).select(*WEATHER_SIDE)
-        joined = join_streams(trips, arriving, pinned_salts(spark, checkpoint, salts))
+        shares = pinned_salts(spark, checkpoint, salts)
+        joined = join_streams(trips, arriving, shares, pinned_day_salts(spark, checkpoint, shares))
     query = append_stream(
         to_gold(joined), output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger
     )

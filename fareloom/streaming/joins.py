@@ -4,7 +4,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.days import trip_day
-from fareloom.session import path_exists
+from fareloom.session import path_exists, write_text
+
+
+#: Shares of a day unless told otherwise: at least and at most so many, and between them one for each partition.
+FEWEST_SHARES, MOST_SHARES = 16, 64
+#: Days that have their salts listed; trips of other days use the numbers of the shares themselves.
+FIRST_DAY, DAYS = "1990-01-01", 36_525
+#: Salts that are tried for each partition before a share takes one that may meet another share.
+TRIED = 8
 
 
 def _nullable(salt: Column) -> Column:
@@ -12,29 +20,72 @@ def _nullable(salt: Column) -> Column:
     return F.nullif(salt, F.lit(-1))
 
 
-def _spread_trips(trips: DataFrame, salts: int) -> DataFrame:
+def day_salts(spark: SparkSession, shares: int, partitions: int) -> DataFrame:
+    """``salted_day`` and ``salts``: for each listed day a salt for each share.
+
+    The shares of a day go to partitions one after the other, from one that the day itself picks; so however hot a day is, its
+    shares meet in a partition only as often as they must. Rows are dealt by the hash of (day, salt), and the salt that is taken is the first whose
+    hash goes where the share belongs. A few thousand small rows: days times shares.
+    """
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("id").cast("int"))
+    tried = TRIED * partitions * -(-shares // partitions)
+    goes_to = lambda salt: F.pmod(F.hash(F.col("salted_day"), salt.cast("int")), F.lit(partitions))
+    candidates = (
+        spark.range(DAYS)
+        .select(day.alias("salted_day"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tried - 1))))
+        .select("salted_day", "salt", goes_to(F.col("salt")).alias("partition"))
+        .groupBy("salted_day", "partition")
+        .agg(F.sort_array(F.collect_list("salt")).alias("fitting"))
+        .groupBy("salted_day")
+        .agg(F.map_from_entries(F.collect_list(F.struct("partition", "fitting"))).alias("by_partition"))
+    )
+
+    def salt_of(share: Column) -> Column:
+        place = F.pmod(F.hash("salted_day") + share, F.lit(partitions))
+        turn = F.floor(share / partitions).cast("int")
+        # Salts of a share that found no partition of its own are numbers beyond those tried.
+        return F.coalesce(F.try_element_at(F.try_element_at("by_partition", place), turn + 1), F.lit(tried) + share)
+
+    salts = F.transform(F.sequence(F.lit(0), F.lit(shares - 1)), salt_of)
+    return candidates.select("salted_day", salts.alias("salts"))
+
+
+def _spread_trips(trips: DataFrame, salts: int, by_day: DataFrame | None = None) -> DataFrame:
     """Give each trip one random share of its day.
 
     The draw does not look at the row, so even copies of one trip spread out. Apply it right after the scan:
     there a repeated task draws the same numbers for the same rows.
     """
-    return (
+    drawn = (
         trips.withColumn("day", trip_day("drop_off_timestamp"))
         .where(F.col("day").isNotNull())
         .withColumn("salt", _nullable(F.floor(F.rand() * salts).cast("int")))
     )
+    if by_day is None:
+        return drawn
+    listed = drawn.join(F.broadcast(by_day), F.col("day") == F.col("salted_day"), "left")
+    salt = F.coalesce(F.try_element_at("salts", F.col("salt") + 1), F.col("salt"))
+    return listed.withColumn("salt", _nullable(salt)).drop("salted_day", "salts")
 
 
-def _repeat_weather(weather: DataFrame, salts: int) -> DataFrame:
+def _repeat_weather(weather: DataFrame, salts: int, by_day: DataFrame | None = None) -> DataFrame:
     """Put each weather row into every share of its day; the rows are few and narrow."""
+    known = weather.where(F.col("date").isNotNull())
     shares = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = weather.where(F.col("date").isNotNull()).withColumn("share", F.explode(shares))
+    if by_day is not None:
+        known = known.join(F.broadcast(by_day), F.col("date") == F.col("salted_day"), "left")
+        shares = F.coalesce("salts", shares)
+    repeated = known.withColumn("share", F.explode(shares)).drop("salted_day", "salts")
     return repeated.withColumn("weather_salt", _nullable(F.col("share"))).drop("share")
 
 
-def join_streams(trips: DataFrame, weather: DataFrame, salts: int) -> DataFrame:
-    """Inner join with no bound on lateness: both sides are remembered for good."""
-    trips, weather = _spread_trips(trips, salts), _repeat_weather(weather, salts)
+def join_streams(trips: DataFrame, weather: DataFrame, salts: int, by_day: DataFrame | None = None) -> DataFrame:
+    """Inner join with no bound on lateness: both sides are remembered for good.
+
+    ``by_day`` are the salts of ``day_salts`` for this number of shares, which deal the shares of a day evenly over the partitions.
+    """
+    trips, weather = _spread_trips(trips, salts, by_day), _repeat_weather(weather, salts, by_day)
     return trips.join(weather, (F.col("day") == F.col("date")) & (F.col("salt") == F.col("weather_salt")))
 
 
@@ -73,6 +124,21 @@ def pinned_salts(spark: SparkSession, checkpoint: str, wanted: int | None) -> in
         if wanted not in (None, stored["salts"]):
             raise ValueError(f"this checkpoint was started with {stored['salts']} salts, not {wanted}")
         return stored["salts"]
-    salts = wanted or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = wanted or min(max(partitions, FEWEST_SHARES), MOST_SHARES)
     spark.range(1).select(F.lit(salts).alias("salts")).write.mode("overwrite").json(path)
     return salts
+
+
+def pinned_day_salts(spark: SparkSession, checkpoint: str, shares: int) -> DataFrame | None:
+    """The salts of each day that this checkpoint was started with, written on the first run; none for a checkpoint
+    that began without them."""
+    folder = f"{checkpoint.rstrip('/')}/day_salts"
+    if not path_exists(spark, f"{folder}/_whole"):
+        if path_exists(spark, f"{checkpoint.rstrip('/')}/commits"):
+            return None
+        # A stateful query keeps the number of partitions of its first run.
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        day_salts(spark, shares, partitions).coalesce(1).write.mode("overwrite").parquet(folder)
+        write_text(spark, f"{folder}/_whole", "")
+    return spark.read.schema("salted_day date, salts array<int>").parquet(folder)

@@ -15,7 +15,7 @@ from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
-from fareloom.streaming.joins import join_streams, join_streams_bounded, pinned_salts
+from fareloom.streaming.joins import FEWEST_SHARES, day_salts, join_streams, join_streams_bounded, pinned_day_salts, pinned_salts
 from fareloom.streaming.parts import MERGED_AT_ONCE, read_ledger
 from fareloom.streaming.remembered import TRIP, Memory, read_late, read_remembered, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
@@ -242,12 +242,43 @@ def test_copies_of_one_trip_spread_over_the_shares(spark, lake):
     assert max(shares.values()) < 200
 
 
+def test_a_hot_day_is_dealt_evenly(spark, lake):
+    """One day has all trips: no partition of the join gets over 1.5 times the mean."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.range(6000).select(
+        F.lit(1).alias("vendor_id"),
+        *(F.lit(at("2024-01-01T10:00:00")).alias(c) for c in ("pickup_timestamp", "drop_off_timestamp")),
+        F.lit(1.0).alias("passenger_count"), F.lit(1).cast("long").alias("payment_type"), F.lit(1.0).alias("fare_amount"),
+        F.lit("a").alias("pickup_location"), F.lit("b").alias("drop_off_location"),
+    ).write.partitionBy("vendor_id").parquet(lake.folder("silver"))
+    lake.add_weather(DAY_ONE, ("NYC", "1950-05-05", "1.0", "1.0"))
+    salts = pinned_day_salts(spark, lake.folder("c"), 2 * partitions)
+    assert pinned_day_salts(spark, lake.folder("c"), 2 * partitions).count() == salts.count() > 30_000
+    joined = join_streams(
+        stream_silver(spark, lake.folder("silver")), stream_weather(spark, lake.folder("weather")), 2 * partitions, salts
+    ).select(F.spark_partition_id().alias("place"))
+    query = joined.writeStream.format("parquet").option("checkpointLocation", lake.folder("c"))
+    query.trigger(**ONCE_OVER_ALL_INPUT).start(lake.folder("out")).awaitTermination()
+    sizes = [r["count"] for r in spark.read.parquet(lake.folder("out")).groupBy("place").count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) == partitions and max(sizes) <= 1.5 * 6000 / partitions
+
+
+def test_shares_of_a_day_go_to_different_partitions(spark):
+    for shares, partitions in ((16, 48), (16, 16), (24, 8)):
+        placed = day_salts(spark, shares, partitions).where("salted_day between '2023-01-01' and '2023-12-31'").select(
+            "salted_day", F.explode("salts").alias("salt")
+        ).withColumn("place", F.expr(f"pmod(hash(salted_day, salt), {partitions})"))
+        assert placed.select("salted_day", "salt").distinct().count() == 365 * shares
+        most = placed.groupBy("salted_day", "place").count().agg(F.avg(F.expr("int(count > {})".format(-(-shares // partitions)))).alias("over")).first()
+        assert most["over"] < 0.02
+
+
 def test_the_number_of_shares_is_kept_with_the_checkpoint(spark, folder):
     assert pinned_salts(spark, folder("c"), 3) == 3
     assert pinned_salts(spark, folder("c"), None) == 3
     with pytest.raises(ValueError):
         pinned_salts(spark, folder("c"), 5)
-    assert pinned_salts(spark, folder("other"), None) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert pinned_salts(spark, folder("other"), None) == FEWEST_SHARES  # the session has fewer partitions
 
 
 def test_a_repeated_batch_leaves_the_same_gold_rows(spark, lake):
