@@ -1,5 +1,9 @@
 """Weather joins between two streams, with the state spread so that no day is held by one task."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +14,9 @@ from fareloom.session import path_exists, write_text
 #: Shares of a day unless told otherwise: at least and at most so many, and between them one for each partition.
 FEWEST_SHARES, MOST_SHARES = 16, 64
 #: Days that have their salts listed; trips of other days use the numbers of the shares themselves.
-FIRST_DAY, DAYS = "1990-01-01", 36_525
+FIRST_DAY, DAYS = "1990-01-01", 21_915
 #: Salts that are tried for each partition before a share takes one that may meet another share.
-TRIED = 8
+TRIED = 5
 
 
 def _nullable(salt: Column) -> Column:
@@ -23,32 +27,35 @@ def _nullable(salt: Column) -> Column:
 def day_salts(spark: SparkSession, shares: int, partitions: int) -> DataFrame:
     """``salted_day`` and ``salts``: for each listed day a salt for each share.
 
-    The shares of a day go to partitions one after the other, from one that the day itself picks; so however hot a day is, its
-    shares meet in a partition only as often as they must. Rows are dealt by the hash of (day, salt), and the salt that is taken is the first whose
-    hash goes where the share belongs. A few thousand small rows: days times shares.
+    Rows are dealt by the hash of (day, salt). The shares of a day go to partitions one after the other, from one that the day
+    itself picks, so however hot a day is, its shares meet in a partition only as often as they must: of the salts that are
+    tried, each share takes one whose hash goes where the share belongs. A few thousand small rows, days times shares.
     """
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("id").cast("int"))
     tried = TRIED * partitions * -(-shares // partitions)
-    goes_to = lambda salt: F.pmod(F.hash(F.col("salted_day"), salt.cast("int")), F.lit(partitions))
-    candidates = (
-        spark.range(DAYS)
-        .select(day.alias("salted_day"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tried - 1))))
-        .select("salted_day", "salt", goes_to(F.col("salt")).alias("partition"))
-        .groupBy("salted_day", "partition")
-        .agg(F.sort_array(F.collect_list("salt")).alias("fitting"))
-        .groupBy("salted_day")
-        .agg(F.map_from_entries(F.collect_list(F.struct("partition", "fitting"))).alias("by_partition"))
+    place = lambda salt: F.pmod(F.hash("salted_day", salt.cast("int")), F.lit(partitions))
+    days = spark.range(DAYS).select(F.date_add(F.lit(FIRST_DAY).cast("date"), F.col("id").cast("int")).alias("salted_day"))
+    placed = days.select(
+        "salted_day",
+        F.pmod(F.hash("salted_day"), F.lit(partitions)).alias("first"),
+        F.transform(F.sequence(F.lit(0), F.lit(tried - 1)), place).alias("places"),
     )
 
-    def salt_of(share: Column) -> Column:
-        place = F.pmod(F.hash("salted_day") + share, F.lit(partitions))
-        turn = F.floor(share / partitions).cast("int")
-        # Salts of a share that found no partition of its own are numbers beyond those tried.
-        return F.coalesce(F.try_element_at(F.try_element_at("by_partition", place), turn + 1), F.lit(tried) + share)
-
-    salts = F.transform(F.sequence(F.lit(0), F.lit(shares - 1)), salt_of)
-    return candidates.select("salted_day", salts.alias("salts"))
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = []
+            for first, places in zip(batch.column("first").to_pylist(), batch.column("places")):
+                own = np.asarray(places.values)
+                by_place = np.argsort(own, kind="stable")
+                begins = np.searchsorted(own[by_place], np.arange(partitions + 1))
+                turns, places_of = divmod(np.arange(shares), partitions)
+                places_of = (first + places_of) % partitions
+                at = begins[places_of] + turns
+                # A share that finds no salt takes a number beyond those tried, and may meet another share.
+                found = at < begins[places_of + 1]
+                chosen.append(np.where(found, by_place[np.where(found, at, 0)], tried + np.arange(shares)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("salted_day"), pa.array(chosen, pa.list_(pa.int32()))], ["salted_day", "salts"])
+
+    return placed.mapInArrow(choose, "salted_day date, salts array<int>")
 
 
 def _spread_trips(trips: DataFrame, salts: int, by_day: DataFrame | None = None) -> DataFrame:
