@@ -16,6 +16,7 @@ document is left under are not in the totals. Other columns of the changes are n
 """
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ def _sums() -> tuple[Column, Column]:
     return F.sum(F.coalesce(docs, refused.cast("int"))).alias("n_docs"), F.sum(signed).alias("n_tokens")
 
 
+def _folder_text(batch_id: str) -> str:
+    """The id as it stands in folder names and commit records: only characters that no file system and no reader changes."""
+    return quote(batch_id, safe="").replace("%", "!")
+
+
 class TokenRollup:
     """The rollup kept in ``root``, a folder that the whole cluster sees."""
 
@@ -48,11 +54,12 @@ class TokenRollup:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{kind}")
 
     def _write(self, delta: DataFrame, batch_id: str, replaces: list[str]) -> None:
-        folder = f"{self.root}/deltas/batch_id={batch_id}"
+        name = f"batch_id={batch_id}"
+        folder = f"{self.root}/deltas/{name}"
         delta.write.mode("overwrite").parquet(folder)
         record = self._record(self.spark.read.schema(delta.schema).parquet(folder))
         record = record.withColumn("replaces", F.array(*map(F.lit, replaces)).cast("array<string>"))
-        record.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/batch_id={batch_id}")
+        record.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{name}")
 
     @staticmethod
     def _record(delta: DataFrame) -> DataFrame:
@@ -70,6 +77,9 @@ class TokenRollup:
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Apply a batch of (source, lang, tokenizer_version, op, n_tokens, old_tokens); false if it was there already."""
+        if not batch_id:
+            raise ValueError("a batch needs an id")
+        batch_id = _folder_text(batch_id)
         delta = changes.groupBy(*KEYS).agg(*_sums())
         there = self.commits().where(F.col("batch_id") == batch_id).select("rows", "n_docs", "n_tokens", "mark").first()
         if there is None:
@@ -79,18 +89,26 @@ class TokenRollup:
             raise ValueError(f"batch {batch_id} is committed with other counts")
         return False
 
-    def totals(self) -> DataFrame:
-        """(source, lang, tokenizer_version, n_docs, n_tokens) over all committed batches."""
-        commits = self.commits()
+    @staticmethod
+    def _live(commits: DataFrame) -> DataFrame:
         replaced = commits.select(F.explode("replaces").alias("batch_id"))
-        live = commits.select("batch_id").join(replaced, "batch_id", "left_anti")
+        return commits.select("batch_id").join(replaced, "batch_id", "left_anti")
+
+    def _summed(self, live: DataFrame) -> DataFrame:
         deltas = self._read("deltas", DELTA_SCHEMA).join(live, "batch_id", "left_semi")
-        sums = deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.where("n_docs <> 0")
+        return deltas.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+    def totals(self) -> DataFrame:
+        """(source, lang, tokenizer_version, n_docs, n_tokens) over all committed batches."""
+        return self._summed(self._live(self.commits())).where("n_docs <> 0")
 
     def compact(self) -> None:
-        """Replace the deltas committed so far by one; their ids stay known, so replays are still recognised."""
-        commits = self.commits()
-        replaced = commits.select(F.explode("replaces").alias("batch_id"))
-        live = [r["batch_id"] for r in commits.select("batch_id").join(replaced, "batch_id", "left_anti").collect()]
-        self._write(self.totals(), f"compacted-{uuid.uuid4().hex}", sorted(live))
+        """Replace the deltas committed so far by one; their ids stay known, so replays are still recognised.
+
+        The batches are listed once and exactly these are summed, so one that is committed meanwhile stays a delta of its own. Keys
+        without documents keep their tokens: a delete may come before its insert.
+        """
+        ids = sorted(row["batch_id"] for row in self._live(self.commits()).collect())
+        if ids:
+            live = self.spark.createDataFrame([(i,) for i in ids], "batch_id string")
+            self._write(self._summed(live).where("n_docs <> 0 OR n_tokens <> 0"), f"compacted-{uuid.uuid4().hex}", ids)

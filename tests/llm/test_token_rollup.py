@@ -63,3 +63,40 @@ def test_unknown_operations_are_refused(spark, rollup):
         with pytest.raises(Exception, match="not an operation"):
             rollup.commit("1", changes(spark, [("a", "en", "v1", op, 10, None)]))
     assert rollup.totals().count() == 0
+
+
+def test_a_delete_before_its_insert_survives_compaction(spark, rollup):
+    one = lambda op, tokens: changes(spark, [("a", "en", "v1", op, tokens, None)])
+    rollup.commit("1", one(INSERT, 10))
+    rollup.commit("2", one(DELETE, 7))
+    rollup.compact()
+    assert totals(rollup) == []
+    rollup.commit("3", one(INSERT, 7))
+    assert totals(rollup) == [("a", "en", "v1", 1, 10)]
+
+
+def test_a_commit_during_compaction_counts_once(spark, rollup, monkeypatch):
+    one = lambda tokens: changes(spark, [("a", "en", "v1", INSERT, tokens, None)])
+    rollup.commit("1", one(10))
+    plain = rollup._summed
+
+    def summed(live):
+        monkeypatch.undo()
+        rollup.commit("2", one(5))
+        return plain(live)
+
+    monkeypatch.setattr(rollup, "_summed", summed)
+    rollup.compact()
+    assert totals(rollup) == [("a", "en", "v1", 2, 15)]
+
+
+def test_odd_batch_ids(spark, rollup):
+    batch = changes(spark, [("a", "en", "v1", INSERT, 1, None)])
+    ids = ["a%41", "aA", "x/y", "k=v", "é :*?", "1"]
+    for batch_id in ids:
+        assert rollup.commit(batch_id, batch) and not rollup.commit(batch_id, batch)
+    assert totals(rollup) == [("a", "en", "v1", len(ids), len(ids))]
+    rollup.compact()
+    assert totals(rollup) == [("a", "en", "v1", len(ids), len(ids))] and not rollup.commit("a%41", batch)
+    with pytest.raises(ValueError, match="id"):
+        rollup.commit("", batch)
