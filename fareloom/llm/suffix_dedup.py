@@ -31,7 +31,8 @@ or not looked at.
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -142,6 +143,54 @@ def stretches(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate([part[k] for part in out]) for k in range(4))
 
 
+def _slices(numbers: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each run of equal numbers, and where it is."""
+    cuts = np.flatnonzero(np.diff(numbers, prepend=-1)).tolist()
+    for start, end in zip(cuts, [*cuts[1:], len(numbers)]):
+        yield int(numbers[start]), slice(start, end)
+
+
+def _numbered(strings: Iterable[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct strings, in the order in which they first come, and the number of each string among them."""
+    numbers: dict[bytes, int] = {}
+    number = np.array([numbers.setdefault(s, len(numbers)) for s in strings], np.int64)
+    return list(numbers), number
+
+
+def _firsts(number: np.ndarray) -> np.ndarray:
+    """Where each number of ``_numbered`` comes first."""
+    return np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
+
+
+class _Lists:
+    """Rows of (number, start, end) in order of numbers below ``size``, to be looked up by number."""
+
+    def __init__(self, rows: np.ndarray, size: int) -> None:
+        self.rows = rows
+        self.count = np.bincount(rows[:, 0], minlength=size)
+        self.first = np.cumsum(self.count) - self.count
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of all rows of each of the numbers, and for each row which of these it is for."""
+        count = self.count[numbers]
+        entry = np.repeat(np.arange(len(numbers)), count)
+        inside = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
+        return entry, self.rows[self.first[numbers][entry] + inside, 1:]
+
+
+@dataclass
+class _Sent:
+    """What a group sends of its repeated anchors: distinct stretches, by bucket, and where it has them."""
+
+    strings: list[bytes]
+    #: Of each string the smallest id, the length, and 32 bits of its anchor's hash.
+    about: np.ndarray
+    bucket: np.ndarray
+    #: Stretches that are sent, and the number of the string that each is.
+    stretch: np.ndarray
+    number: np.ndarray
+
+
 class _Group:
     """The documents of a group in order, and their anchors in the order in which buckets are told of them."""
 
@@ -160,13 +209,8 @@ class _Group:
         back[places] = np.arange(len(places))
         self.anchor_of = back[self.anchor_of]
         self.hashes, self.bucket = distinct[places], bucket[places].astype(np.int64)
-        self.cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
         self.buckets, self.length = buckets, length
 
-    def by_bucket(self) -> Iterator[tuple[int, slice]]:
-        for start, end in zip(self.cuts, [*self.cuts[1:], len(self.bucket)]):
-            yield int(self.bucket[start]), slice(int(start), int(end))
-
     def shared_anchors(self) -> np.ndarray:
         """Whether each anchor lies in documents of the group with different ids."""
         ids = self.order[self.document]
@@ -175,24 +219,18 @@ class _Group:
         np.maximum.at(most, self.anchor_of, ids)
         return most > least
 
-    def sent(self, repeated: np.ndarray) -> tuple[dict[int, dict[bytes, tuple[int, int, int]]], list[tuple[int, int, int]]]:
-        """Distinct stretches of repeated anchors by bucket, with number, smallest id and hash of the anchor, and all uses.
-
-        A use is (stretch, bucket, number of the distinct one).
-        """
-        by_bucket: dict[int, dict[bytes, tuple[int, int, int]]] = {}
-        uses = []
+    def sent(self, repeated: np.ndarray) -> _Sent:
+        """The distinct stretches of repeated anchors."""
         chosen = np.flatnonzero(repeated[self.anchor_of])
-        anchor = self.anchor_of[chosen]
-        low = (self.hashes & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        columns = (chosen, self.document[chosen], self.start[chosen], self.end[chosen], self.bucket[anchor], low[anchor])
-        for i, d, s, e, b, a in zip(*(c.tolist() for c in columns)):
-            # Documents are in order of ids, so the first to bring a stretch has the smallest.
-            known = by_bucket.setdefault(b, {})
-            entry = known.setdefault(self.texts[d][s:e], (len(known), int(self.order[d]), a))
-            uses.append((i, b, entry[0]))
-        return by_bucket, uses
-
+        chosen = chosen[np.argsort(self.bucket[self.anchor_of[chosen]], kind="stable")]
+        columns = (self.document[chosen].tolist(), self.start[chosen].tolist(), self.end[chosen].tolist())
+        strings, number = _numbered(self.texts[d][s:e] for d, s, e in zip(*columns))
+        # Equal stretches have one anchor, so one bucket; documents are in order of ids, so the first has the smallest.
+        lead = chosen[_firsts(number)]
+        anchor = self.anchor_of[lead]
+        low = (self.hashes[anchor] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        about = np.column_stack([self.order[self.document[lead]], self.end[lead] - self.start[lead], low])
+        return _Sent(strings, about, self.bucket[anchor], chosen, number)
 
     def strings(self, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, place, two hashes) of all strings in stretches of hot anchors, in order."""
@@ -230,9 +268,7 @@ class _Group:
         back[places] = np.arange(len(places))
         lead, bucket = lead[places], bucket[places]
         rows = np.column_stack([hashes[lead].view(np.int64), self.order[document[lead]]])
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        parts = ((int(bucket[a]), rows[a:b]) for a, b in zip(cuts, [*cuts[1:], len(bucket)]))
-        return parts, document, place, back[number]
+        return ((b, rows[s]) for b, s in _slices(bucket)), document, place, back[number]
 
 
 def _alike(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +295,7 @@ def _told(buckets: int, length: int):
         low = (group.hashes & np.uint64(0xFFFFFFFF)).astype("<u4")
         shared = group.shared_anchors().astype(np.uint8) << 7
         about = shared | np.frexp(np.bincount(group.anchor_of, minlength=len(low)))[1].astype(np.uint8)
-        return _reply([(g, b, 0, low[s].tobytes(), about[s].tobytes()) for b, s in group.by_bucket()])
+        return _reply([(g, b, 0, low[s].tobytes(), about[s].tobytes()) for b, s in _slices(group.bucket)])
 
     return run
 
@@ -296,7 +332,7 @@ def _repeated(group: _Group, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]
         if kind == 1
     }
     repeated, hot = np.zeros((2, len(group.hashes)), bool)
-    for b, s in group.by_bucket():
+    for b, s in _slices(group.bucket):
         for out, bits in zip((repeated, hot), answers.get(b, ())):
             out[s] = np.unpackbits(np.frombuffer(bits, np.uint8))[: s.stop - s.start] > 0
     return repeated & ~hot, hot
@@ -310,31 +346,25 @@ def _brought(buckets: int, length: int):
             return _reply([])
         group, g = _Group(rows, buckets, length), rows.column(_GROUP)[0].as_py()
         repeated, hot = _repeated(group, replies)
-        sent, _ = group.sent(repeated)
+        sent = group.sent(repeated)
         out = [(g, b, 4, known.tobytes(), b"") for b, known in group.hot_sent(hot)[0]]
-        for b, known in sent.items():
-            about = np.array([(o, len(s), a) for s, (_, o, a) in known.items()], "<i8")
-            out.append((g, b, 2, about.tobytes(), b"".join(known)))
+        for b, s in _slices(sent.bucket):
+            out.append((g, b, 2, sent.about[s].astype("<i8").tobytes(), b"".join(sent.strings[s])))
         return _reply(out)
 
     return run
 
 
-def _earlier_parts(strings: list[bytes], ids: np.ndarray, length: int) -> dict[bytes, list[tuple[int, int]]]:
-    """The (start, end) parts of each string that one with a smaller id has; strings are in order of ids."""
+def _earlier_parts(strings: list[bytes], ids: np.ndarray, length: int) -> np.ndarray:
+    """(string, start, end) of the parts that one with a smaller id has; strings are in order of ids, and so are the parts."""
     index = RunIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), length)
     place, first = index.first_places()
     owner, source = (np.searchsorted(index.begins, x, side="right") - 1 for x in (place, first))
     place = np.sort(place[ids[source] < ids[owner]])
-    if not len(place):
-        return {}
     fresh = np.flatnonzero(np.diff(place, prepend=-2) != 1)
-    starts, ends = place[fresh], place[np.append(fresh[1:], len(place)) - 1]
+    starts, ends = place[fresh], place[np.append(fresh[1:], len(place))[: len(fresh)] - 1]
     owner = np.searchsorted(index.begins, starts, side="right") - 1
-    parts: dict[bytes, list[tuple[int, int]]] = {}
-    for k, s, e in zip(owner.tolist(), (starts - index.begins[owner]).tolist(), (ends - index.begins[owner]).tolist()):
-        parts.setdefault(strings[k], []).append((s, e + length))
-    return parts
+    return np.column_stack([owner, starts - index.begins[owner], ends - index.begins[owner] + length])
 
 
 def _least_ids(rows: pa.Table) -> list[tuple[int, int, int, bytes, bytes]]:
@@ -363,32 +393,35 @@ def _matched(length: int):
         of_strings = pc.equal(rows.column("kind"), 4)
         answers = _least_ids(rows.filter(of_strings))
         rows = rows.filter(pc.invert(of_strings))
-        known: dict[bytes, tuple[int, int]] = {}
-        brought = []
-        for first, second in zip(rows.column("first"), rows.column("second")):
-            about, octets = np.frombuffer(first.as_py(), "<i8").reshape(-1, 3), second.as_py()
-            ends = np.cumsum(about[:, 1])
-            mine = []
-            for (o, n, a), end in zip(about.tolist(), ends.tolist()):
-                string = octets[end - n : end]
-                mine.append(string)
-                if string not in known or o < known[string][0]:
-                    known[string] = (o, a)
-            brought.append((about[:, 0].tolist(), mine))
+        if not rows.num_rows:
+            return _reply(answers)
+        parts = [np.frombuffer(x.as_py(), "<i8").reshape(-1, 3) for x in rows.column("first")]
+        about = np.concatenate(parts)
+        octets = b"".join(rows.column("second").to_pylist())
+        ends = np.cumsum(about[:, 1])
+        strings, number = _numbered(octets[a:b] for a, b in zip((ends - about[:, 1]).tolist(), ends.tolist()))
+        least = np.full(len(strings), _LAST)
+        np.minimum.at(least, number, about[:, 0])
         # Several smaller indexes, each over all stretches of its anchors, take less memory than one.
-        share = max(1, sum(map(len, known)) // INDEX_BYTES)
-        by_index: dict[int, list[bytes]] = {}
-        for string, (_, a) in known.items():
-            by_index.setdefault(a % share, []).append(string)
-        parts: dict[bytes, list[tuple[int, int]]] = {}
-        for strings in by_index.values():
-            strings.sort(key=known.__getitem__)
-            parts |= _earlier_parts(strings, np.array([known[s][0] for s in strings], np.int64), length)
+        share = about[_firsts(number), 2] % max(1, sum(map(len, strings)) // INDEX_BYTES)
+        ranked = np.lexsort((least, share))
+        found = [np.zeros((0, 3), np.int64)]
+        for _, s in _slices(share[ranked]):
+            own = ranked[s]
+            earlier = _earlier_parts([strings[i] for i in own.tolist()], least[own], length)
+            earlier[:, 0] = own[earlier[:, 0]]
+            found.append(earlier)
+        spans = np.concatenate(found)
+        spans = _Lists(spans[np.argsort(spans[:, 0], kind="stable")], len(strings))
         out = []
-        for g, b, (own, mine) in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), brought):
-            least = [known[s][0] for s in mine]
-            spans = [(i, *span) for i, s in enumerate(mine) if own[i] == least[i] for span in parts.get(s, ())]
-            out.append((g, b, 3, np.array(least, "<i8").tobytes(), np.array(spans, "<i4").tobytes()))
+        last = np.cumsum([len(p) for p in parts])
+        for g, b, part, end in zip(rows.column("g").to_pylist(), rows.column("bucket").to_pylist(), parts, last):
+            mine = number[end - len(part) : end]
+            # Who has a stretch with a larger id than the smallest gives all of it.
+            leading = np.flatnonzero(part[:, 0] == least[mine])
+            entry, span = spans.of(mine[leading])
+            told = np.column_stack([leading[entry], span])
+            out.append((g, b, 3, least[mine].astype("<i8").tobytes(), told.astype("<i4").tobytes()))
         return _reply(out + answers)
 
     return run
@@ -397,36 +430,32 @@ def _matched(length: int):
 def _removed(group: _Group, replies: pa.Table) -> list[np.ndarray]:
     """The (start, end) ranges to remove from each document, merged and in order."""
     repeated, hot = _repeated(group, replies)
-    _, uses = group.sent(repeated)
-    least: dict[int, list[int]] = {}
-    spans: dict[int, dict[int, list[tuple[int, int]]]] = {}
-    of_strings: dict[int, bytes] = {}
-    columns = (replies.column(c).to_pylist() for c in ("bucket", "kind", "first", "second"))
-    for b, kind, first, second in zip(*columns):
-        if kind == 3:
-            least[b] = np.frombuffer(first, "<i8").tolist()
-            own = spans.setdefault(b, {})
-            for i, s, e in np.frombuffer(second, "<i4").reshape(-1, 3).tolist():
-                own.setdefault(i, []).append((s, e))
-        elif kind == 5:
-            of_strings[b] = first
-    ranges: list[list[tuple[int, int]]] = [[] for _ in group.texts]
-    order, document, start, end = (x.tolist() for x in (group.order, group.document, group.start, group.end))
-    for i, b, number in uses:
-        d = document[i]
-        if least[b][number] < order[d]:
-            ranges[d].append((start[i], end[i]))
-        else:
-            ranges[d] += [(start[i] + s, start[i] + e) for s, e in spans[b].get(number, ())]
+    sent = group.sent(repeated)
+    columns = [replies.column(c).to_pylist() for c in ("bucket", "kind", "first", "second")]
+    of_stretches = {b: (first, second) for b, kind, first, second in zip(*columns) if kind == 3}
+    of_strings = {b: first for b, kind, first, _ in zip(*columns) if kind == 5}
+    least = np.frombuffer(b"".join(of_stretches[b][0] for b, _ in _slices(sent.bucket)), "<i8")
+    spans = [np.zeros((0, 3), np.int64)]
+    for b, s in _slices(sent.bucket):
+        spans.append(np.frombuffer(of_stretches[b][1], "<i4").reshape(-1, 3) + np.array([s.start, 0, 0]))
+    # A stretch that a smaller id has goes as a whole, of another the parts that match.
+    document = group.document[sent.stretch]
+    whole = least[sent.number] < group.order[document]
+    gone = sent.stretch[whole]
+    out = [np.column_stack([document[whole], group.start[gone], group.end[gone]])]
+    left = sent.stretch[~whole]
+    entry, span = _Lists(np.concatenate(spans), len(sent.strings)).of(sent.number[~whole])
+    out.append(np.column_stack([group.document[left[entry]], span + group.start[left[entry], None]]))
     parts, owner, place, number = group.hot_sent(hot)
     smallest = np.frombuffer(b"".join(of_strings[b] for b, _ in parts), "<i8")
-    gone = np.flatnonzero(smallest[number] < group.order[owner])
-    # Neighbouring strings of one document are one range.
-    fresh = (np.diff(place[gone], prepend=-2) != 1) | (np.diff(owner[gone], prepend=-1) != 0)
-    firsts, lasts = gone[fresh], gone[np.append(fresh[1:], True)[: len(gone)]]
-    for d, s, e in zip(owner[firsts].tolist(), place[firsts].tolist(), (place[lasts] + group.length).tolist()):
-        ranges[d].append((s, e))
-    return [_merged(np.array(r, np.int64).reshape(-1, 2)) for r in ranges]
+    strings = np.flatnonzero(smallest[number] < group.order[owner])
+    out.append(np.column_stack([owner[strings], place[strings], place[strings] + group.length]))
+    # All documents end to end, a byte apart, so that ranges of two never touch.
+    ranges = np.concatenate(out)
+    begins = np.cumsum([0, *(len(t) + 1 for t in group.texts)])
+    merged = _merged(ranges[:, 1:] + begins[ranges[:, 0], None])
+    owner = np.searchsorted(begins, merged[:, 0], side="right") - 1
+    return np.split(merged - begins[owner, None], np.searchsorted(owner, np.arange(1, len(group.texts))))
 
 
 def _merged(ranges: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fareloom.llm import suffix_dedup
+from fareloom.llm import run_index, suffix_dedup
 from fareloom.llm.run_index import RunIndex
 from tests.llm.conftest import rows
 
@@ -127,3 +127,32 @@ def test_stretches_of_one_anchor_are_dealt_over_the_buckets():
     for b, first, second in zip(*(brought.column(c).to_pylist() for c in ("bucket", "first", "second"))):
         sizes[b] += len(first) + len(second)
     assert 0 < max(sizes) < 2 * sum(sizes) / buckets
+
+
+@pytest.mark.parametrize("letters", [b"ab", bytes(range(255))])
+def test_index_memory_follows_what_is_distinct(letters):
+    drawn = random.Random(11)
+    base = bytes(drawn.choice(letters) for _ in range(4000))
+
+    def index(copies):
+        # Each copy differs from the base in one byte.
+        strings = []
+        for _ in range(copies):
+            at = drawn.randrange(len(base))
+            strings.append(base[:at] + b"#" + base[at + 1 :])
+        return RunIndex(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), 50)
+
+    few, many = index(5), index(100)
+    # Twenty times the text; arrays of its rows would grow with it.
+    assert len(many.text) > 19 * len(few.text)
+    assert many.nbytes < 4 * few.nbytes
+
+
+def test_index_of_more_text_than_is_sorted_in_one_number(monkeypatch):
+    drawn = random.Random(12)
+    base = bytes(drawn.choice(b"ab") for _ in range(300))
+    strings = [base[a : a + drawn.randint(0, 90)] for a in (drawn.randrange(300) for _ in range(60))]
+    arguments = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), 50
+    packed = [x.tolist() for x in RunIndex(*arguments).first_places()]
+    monkeypatch.setattr(run_index, "_FIELD", 5)
+    assert [x.tolist() for x in RunIndex(*arguments).first_places()] == packed
