@@ -4,7 +4,9 @@ import argparse
 import sys
 
 from fareloom import catalog, jobs
-from fareloom.session import get_session
+from fareloom.session import TIME_ZONE, get_session
+from fareloom.sources.evolution import read_schema
+from fareloom.sources.readers import archived_to
 from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT
 
 
@@ -18,6 +20,7 @@ def _parser() -> argparse.ArgumentParser:
     enrich.add_argument("--zones-path", required=True)
     enrich.add_argument("--output-path", required=True)
     enrich.add_argument("--mode", default="errorifexists", choices=("errorifexists", "append", "overwrite"))
+    enrich.add_argument("--time-zone", default=TIME_ZONE, help="zone of times that name none")
 
     table = commands.add_parser("catalog", help="bring the bronze catalog table up to date")
     table.add_argument("--input-path", required=True)
@@ -38,6 +41,10 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--format", default="parquet", choices=("parquet", "delta"))
         stream.add_argument("--max-bytes-per-trigger", type=int)
         stream.add_argument("--once", action="store_true", help="process what is there, then stop")
+        if name in ("bronze", "silver"):
+            stream.add_argument("--schema", help="file with the layout of bronze, as JSON or a column list; kept once given")
+        if name == "bronze":
+            stream.add_argument("--archive-path", help="folder that files move to once their batch is committed")
         if name == "silver":
             stream.add_argument("--validation", default="off", choices=("off", "report", "fail"))
             stream.add_argument("--report-path", help="folder of the table that keeps the counts of each batch")
@@ -45,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "gold":
             stream.add_argument("--input-path-weather", required=True)
             stream.add_argument("--mode", default="table", choices=jobs.GOLD_MODES)
+            stream.add_argument("--time-zone", default=TIME_ZONE, help="zone whose calendar days are joined")
             stream.add_argument("--salts", type=int, help="shares of a day in the stream and bounded modes")
             stream.add_argument("--trip-delay", default="10 minutes", help="watermark of the bounded mode")
             stream.add_argument("--weather-delay", default="1 day", help="watermark of the bounded mode")
@@ -55,7 +63,9 @@ def main(arguments: list[str] | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = get_session(args.job_name or f"fareloom-{args.job}")
     if args.job == "enrich":
-        return jobs.run_enrich(spark, args.input_path, args.zones_path, args.output_path, args.mode)
+        return jobs.run_enrich(
+            spark, args.input_path, args.zones_path, args.output_path, args.mode, args.time_zone
+        )
     given = {"maxBytesPerTrigger": args.max_bytes_per_trigger, "maxFileAge": args.max_file_age}
     source_options = {name: value for name, value in given.items() if value} or None
     if args.job == "catalog":
@@ -70,7 +80,11 @@ def main(arguments: list[str] | None = None) -> None:
         )
         return None
     options = {"fmt": args.format, "source_options": source_options}
+    if args.job in ("bronze", "silver") and args.schema:
+        options["schema"] = read_schema(spark, args.schema)
     if args.job == "bronze":
+        if args.archive_path:
+            options["source_options"] = {**(source_options or {}), **archived_to(args.archive_path)}
         options["trigger"] = ONCE_OVER_ALL_INPUT if args.once else None
         jobs.run_bronze(spark, args.input_path, args.output_path, args.checkpoint_location, **options)
         return None
@@ -80,7 +94,11 @@ def main(arguments: list[str] | None = None) -> None:
         jobs.run_silver(spark, args.input_path, args.output_path, args.checkpoint_location, **options)
         return None
     options.update(
-        mode=args.mode, salts=args.salts, trip_delay=args.trip_delay, weather_delay=args.weather_delay
+        mode=args.mode,
+        salts=args.salts,
+        trip_delay=args.trip_delay,
+        weather_delay=args.weather_delay,
+        time_zone=args.time_zone,
     )
     jobs.run_gold(
         spark, args.input_path, args.input_path_weather, args.output_path, args.checkpoint_location, **options

@@ -14,6 +14,8 @@ from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_zone_names
 from fareloom.schemas import RAW
+from fareloom.session import TIME_ZONE, pinned_session
+from fareloom.sources.evolution import agreed_schema, publish_schema
 from fareloom.sources.readers import (
     read_trips,
     read_weather,
@@ -56,11 +58,20 @@ def _fitting(name: str, given: DataType, wanted: DataType) -> Column:
     return F.when(lost, F.raise_error(problem).cast(wanted)).otherwise(fitted).alias(name)
 
 
-def run_enrich(spark: SparkSession, trips: str, zones: str, output: str, mode: str = "errorifexists") -> None:
+def run_enrich(
+    spark: SparkSession,
+    trips: str,
+    zones: str,
+    output: str,
+    mode: str = "errorifexists",
+    time_zone: str = TIME_ZONE,
+) -> None:
     """Batch: raw trips plus both zone names, in the layout that the bronze job reads.
 
-    A folder that has rows already is an error, unless ``mode`` says ``append`` or ``overwrite``.
+    A folder that has rows already is an error, unless ``mode`` says ``append`` or ``overwrite``. Times without a zone
+    are taken to be of ``time_zone``, whatever the caller's session says.
     """
+    spark = pinned_session(spark, time_zone)
     named = add_zone_names(as_raw_layout(read_trips(spark, trips)), read_zones(spark, zones))
     named.write.mode(mode).parquet(output)
 
@@ -77,7 +88,7 @@ def run_bronze(
     output: str,
     checkpoint: str,
     *,
-    schema: StructType = RAW,
+    schema: StructType | None = None,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = None,
     source_options: dict[str, Any] | None = None,
@@ -85,9 +96,12 @@ def run_bronze(
 ) -> StreamingQuery:
     """Append arriving raw files to the bronze table: scan and write, no shuffle.
 
-    Passing a wider ``schema`` after a restart adds columns; rows already written read as null there.
+    Passing a wider ``schema`` after a restart adds columns; rows already written read as null there. The table keeps it
+    (``sources.evolution``), so later starts need not pass it again; a narrower one is refused. The first is the raw layout.
     """
-    trips = stream_trips(spark, source, schema, options=source_options)
+    if fmt == "parquet":
+        schema = publish_schema(spark, output, schema, RAW)
+    trips = stream_trips(spark, source, schema or RAW, options=source_options)
     query = append_stream(trips, output, checkpoint, fmt=fmt, trigger=trigger, merge_schema=True)
     return _finish(query, wait)
 
@@ -101,7 +115,7 @@ def run_silver(
     validation: str = "off",
     constraints: Sequence[Constraint] = TRIP_CONSTRAINTS,
     report: str | None = None,
-    schema: StructType = RAW,
+    schema: StructType | None = None,
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
     source_options: dict[str, Any] | None = None,
@@ -110,11 +124,14 @@ def run_silver(
 ) -> StreamingQuery:
     """Bronze to silver: rename, prune, validate, append by vendor.
 
+    Bronze is read in the layout that it keeps; a ``schema`` that is narrower than that is refused.
+
     With ``report``, a folder, the counts of each batch and constraint are kept there, as the query itself observes them.
     A report that cannot be kept stops the job. Without ``wait`` the query comes back with its ``report`` (a
     ``ReportKeeper``), whose ``finish`` waits for the end and raises that error.
     """
-    silver = to_silver(stream_trips(spark, source, schema, fmt, source_options))
+    layout = agreed_schema(spark, source, schema, RAW)
+    silver = to_silver(stream_trips(spark, source, layout, fmt, source_options))
     keeper = ReportKeeper(spark, report, checkpoint, constraints) if report else None
     if keeper and validation != "report":
         silver = observe_quality(silver, constraints)
@@ -150,9 +167,12 @@ def run_gold(
     fmt: str = "parquet",
     trigger: dict[str, Any] | None = EVERY_100_SECONDS,
     source_options: dict[str, Any] | None = None,
+    time_zone: str = TIME_ZONE,
     wait: bool = True,
 ) -> StreamingQuery:
-    """Silver and weather to gold. The modes differ in what they remember:
+    """Silver and weather to gold, on the days of ``time_zone``, whatever the caller's session says.
+
+    The modes differ in what they remember:
 
     ``table``    both sides for good, in a written table; late weather still finds earlier trips
     ``stream``   the same rows, remembered in the state store, which then grows with the trips
@@ -165,6 +185,7 @@ def run_gold(
     if mode == "bounded" and any(limit in (source_options or {}) for limit in BATCH_LIMITS):
         # Batches cut from a backlog move the watermark past rows that are still to come.
         raise ValueError("the bounded mode takes all arrived trips in one batch; limit batches in the other modes")
+    spark = pinned_session(spark, time_zone)
     trips = stream_silver(spark, source, fmt, source_options)
     if mode in ("table", "bounded"):
         if fmt != "parquet":

@@ -10,9 +10,11 @@ from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: The day of a trip is a calendar day in this time zone, unless a job is given another.
+TIME_ZONE = "UTC"
+
 SETTINGS = {
-    # The day of a trip is a calendar day in the session time zone.
-    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.session.timeZone": TIME_ZONE,
     # A hot day, zone or vendor is split at run time from the measured shuffle sizes.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -43,6 +45,21 @@ def isolated_session(spark: SparkSession, settings: dict[str, str] | None = None
     return session
 
 
+def pinned_session(spark: SparkSession, time_zone: str) -> SparkSession:
+    """A session for one job: the caller's settings, but for those that would change the job's rows.
+
+    Days are those of ``time_zone``, and a cast that fails is an error, whatever the caller has set. The caller's own
+    session stays as it is; a streaming query of the job is found in the ``streams`` of the query's session.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.session.timeZone", time_zone)
+    session.conf.set("spark.sql.ansi.enabled", "true")
+    return session
+
+
 @lru_cache(maxsize=1)
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="fareloom-")

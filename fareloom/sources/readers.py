@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from fareloom.operators.weather import with_weather_day
 from fareloom.schemas import GOLD, RAW, SILVER, WEATHER, ZONES
+from fareloom.sources.evolution import published_schema
 from fareloom.streaming.parts import is_published
 from fareloom.streaming.remembered import read_published_gold
 
@@ -19,6 +20,15 @@ WEATHER_OPTIONS = {"header": "true", "sep": ",", "enforceSchema": "false"}
 MAX_FILE_AGE = "36500d"
 
 
+def archived_to(folder: str) -> dict[str, str]:
+    """Source options that move a file to ``folder``, below its own path, when a batch after its own is committed.
+
+    The folder must not lie in the source. Only files that no other job reads should be moved; tables that Spark's file sink
+    has written (bronze, silver) cannot be cleaned this way, and Spark says so.
+    """
+    return {"cleanSource": "archive", "sourceArchiveDir": folder}
+
+
 def _ordered(df: DataFrame, schema: StructType) -> DataFrame:
     # A partition column is read from the folder name and would otherwise come last.
     return df.select(*schema.fieldNames())
@@ -67,7 +77,11 @@ def stream_trips(
 
 
 def read_bronze(spark: SparkSession, path: str, schema: StructType | None = RAW) -> DataFrame:
-    """Bronze rows. With ``schema=None`` the files' own columns are merged, older rows showing null."""
+    """Bronze rows. With ``schema=None`` in the layout that the table keeps, older rows showing null in newer columns.
+
+    A table that keeps none has the columns of its files merged, which opens every file.
+    """
+    schema = schema or published_schema(spark, path)
     if schema is None:
         return spark.read.option("mergeSchema", True).parquet(path)
     return spark.read.schema(schema).parquet(path)

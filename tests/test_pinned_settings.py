@@ -1,0 +1,71 @@
+"""Jobs give the same rows whatever the caller's session is set to."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareloom.jobs import run_enrich, run_gold
+from fareloom.schemas import RAW, UNENRICHED
+from fareloom.session import pinned_session
+from fareloom.sources.readers import read_gold
+from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
+from tests.conftest import at, frame, rows_of, silver_trips, weather_rows, zone_table
+
+SETTINGS = {"spark.sql.session.timeZone": "Asia/Tokyo", "spark.sql.ansi.enabled": "false"}
+
+
+@pytest.fixture
+def far_away(spark):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_the_callers_other_settings_are_taken_over(far_away):
+    far_away.conf.set("spark.sql.shuffle.partitions", "3")
+    session = pinned_session(far_away, "UTC")
+    far_away.conf.set("spark.sql.shuffle.partitions", "4")
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.ansi.enabled") == "true"
+    assert far_away.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+@pytest.mark.parametrize("mode", ["table", "static", "stream"])
+def test_gold_days_do_not_follow_the_caller(spark, folder, request, mode):
+    # Seconds since 1970: 2024-01-01 22:00 in UTC, the next day in Tokyo.
+    row = {"vendor_id": "1", "fare_amount": 1.0}
+    moment = F.timestamp_seconds(F.lit(1704146400))
+    trips = silver_trips(spark, [row]).withColumns({"pickup_timestamp": moment, "drop_off_timestamp": moment})
+    trips.write.partitionBy("vendor_id").parquet(folder("silver"))
+    weather = weather_rows(spark, [("a", "2024-01-01", "1.0", "0.0"), ("a", "2024-01-02", "2.0", "0.0")])
+    weather.coalesce(1).write.option("header", True).csv(folder("weather"))
+
+    def gold(session, name, **options):
+        paths = (folder("silver"), folder("weather"), folder(name), folder(f"{name}-c"))
+        run_gold(session, *paths, mode=mode, trigger=ONCE_OVER_ALL_INPUT, **options)
+        return [r["tempmax"] for r in read_gold(session, folder(name)).collect()]
+
+    assert gold(spark, "here") == ["1.0"]
+    away = request.getfixturevalue("far_away")
+    assert gold(away, "there") == ["1.0"]
+    if mode == "table":
+        assert gold(away, "asked", time_zone="Asia/Tokyo") == ["2.0"]
+
+
+def test_enrichment_does_not_follow_the_caller(spark, folder, request):
+    zone_table(spark, [(1, "A")]).write.option("header", True).csv(folder("zones"))
+    row = {"VendorID": 1, "tpep_dropoff_datetime": at("2024-01-01T22:00:00"), "PULocationID": 1}
+    trips = frame(spark, UNENRICHED, [row])
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    trips.withColumns(times).write.parquet(folder("trips"))
+    trips.withColumn("PULocationID", F.lit(1.7)).write.parquet(folder("bad"))
+    run_enrich(spark, folder("trips"), folder("zones"), folder("here"))
+    away = request.getfixturevalue("far_away")
+    run_enrich(away, folder("trips"), folder("zones"), folder("there"))
+    here, there = (rows_of(away.read.schema(RAW).parquet(folder(name))) for name in ("here", "there"))
+    assert here == there and len(here) == 1
+    with pytest.raises(Exception, match="does not fit"):
+        run_enrich(away, folder("bad"), folder("zones"), folder("fails"))
