@@ -3,7 +3,6 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -79,10 +78,15 @@ def test_every_query_returns_its_contract(spark):
         "op7_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
         "op8_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+        "op11_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+        "op12_span_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+        "op13_periodic_runs": [
+            "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+        ],
     }
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     for name, wanted in columns.items():
         frame = queries.QUERIES[name](spark, SMALL)
         assert set(wanted) <= set(frame.columns)
         assert frame.select("doc_id").distinct().count() == documents.count()
-    assert F is not None and len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
