@@ -1,9 +1,14 @@
 """Quality classifier by importance resampling.
 
 Two bags of hashed word unigrams and bigrams are counted: of the target (documents labelled good and not toxic) and of
-all documents. A document's log weight is the mean over its n-grams of ``log p_target - log p_raw``, with add-one
-smoothing over the buckets. Divided by ``temperature`` and with Gumbel noise that depends only on the document's id
-and the seed, it is the key; the k documents with the highest keys are a sample without replacement in
+all documents. A bucket's log ratio is ``log p_target - log p_raw``, each with one count more at the raw model's
+expectation. It is shrunk by how sure it is: with z the standard errors between the target's count and what the raw model
+expects of a text as long as the target, it is taken times ``z^4 / (z^4 + doubt^4)``. Otherwise the many rare n-grams, which
+the bounded target has by chance or not, drown the few that tell, such as abuse in a text that is good otherwise.
+
+A document's log weight is the mean ratio over its n-grams. The mean, and not the sum, makes texts of all lengths
+comparable: the sum of a long text is lower by its length alone. Divided by ``temperature``, the part of a text's n-grams
+that is worth one unit, and with Gumbel noise that depends only on the document's id and the seed, it is the key; the k documents with the highest keys are a sample without replacement in
 proportion to the weights. ``k`` is given, or calibrated: the number of documents whose key is no lower than that
 of all but ``clean_loss`` of the good documents set aside for this.
 
@@ -27,10 +32,11 @@ from pyspark.sql import functions as F
 
 from fareloom.llm.common import extended, hashed_sample, saved, with_text
 
-BUCKET_BITS = 14
+BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 MAX_LABELLED = 20_000
-TEMPERATURE = 0.005
+TEMPERATURE = 0.002
+DOUBT = 3.0
 CLEAN_LOSS = 0.01
 SEED = 20
 #: Keys that the selection of the k-th key brings to the driver at once.
@@ -48,29 +54,37 @@ def ngram_buckets(text: str | None) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    raw, target = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
         for text, good in zip(batch.column(0), batch.column(1)):
-            found = np.bincount(ngram_buckets(text.as_py()), minlength=BUCKETS)
-            raw += found
+            found = ngram_buckets(text.as_py())
+            np.add.at(raw, found, 1)
             if good.as_py():
-                target += found
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(BUCKETS)), pa.array(raw), pa.array(target)], ["bucket", "raw", "target"]
-    )
+                np.add.at(target, found, 1)
+    used = np.flatnonzero(raw)
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, raw[used], target[used])], ["bucket", "raw", "target"])
 
 
-def log_ratios(docs: DataFrame, good: DataFrame) -> np.ndarray:
-    """``log p_target - log p_raw`` of each bucket; ``good`` (doc_id) is the bounded set of target documents."""
+def ngram_counts(docs: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket comes in all documents and in those of ``good`` (doc_id), a bounded set."""
     marked = docs.select("doc_id", "text").join(F.broadcast(good.withColumn("good", F.lit(True))), "doc_id", "left")
     per_task = marked.select("text", "good").mapInArrow(_counts, "bucket long, raw long, target long")
-    sums = per_task.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for row in sums:
-        raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
+    # One row a bucket, however many documents there are.
+    sums = per_task.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    raw, target = np.zeros((2, BUCKETS))
+    bucket = sums["bucket"].to_numpy(np.int64)
+    raw[bucket], target[bucket] = sums["raw"], sums["target"]
+    return raw, target
+
+
+def log_ratios(docs: DataFrame, good: DataFrame, doubt: float = DOUBT) -> np.ndarray:
+    """The shrunk ``log p_target - log p_raw`` of each bucket; half of it where the counts differ by ``doubt`` standard errors."""
+    raw, target = ngram_counts(docs, good)
     if not target.any():
         return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    expected = raw * (target.sum() / raw.sum())
+    sure = (target - expected) ** 4 / (expected + 1) ** 2
+    return np.log((target + 1) / (expected + 1)) * sure / (sure + doubt**4)
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -133,6 +147,7 @@ def fit_sampler(
     *,
     k: int | None = None,
     temperature: float = TEMPERATURE,
+    doubt: float = DOUBT,
     clean_loss: float = CLEAN_LOSS,
     max_labelled: int = MAX_LABELLED,
 ) -> tuple[Sampler, DataFrame]:
@@ -140,7 +155,7 @@ def fit_sampler(
     good = labels.where("quality = 1 and toxic = 0").select("doc_id").dropna()
     drawn = saved(hashed_sample(good, "doc_id", max_labelled, good.count()).distinct(), "target")
     odd = F.xxhash64("doc_id", F.lit(1)) % 2 != 0
-    ratios = log_ratios(docs, drawn.where(odd))
+    ratios = log_ratios(docs, drawn.where(odd), doubt)
     keyed = saved(with_keys(log_weights(docs, ratios), temperature), "weights")
     usable = keyed.where("__key is not null").withColumnRenamed("__key", "key")
     if k is None:
