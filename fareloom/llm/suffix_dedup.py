@@ -7,7 +7,9 @@ Every string of ``length`` bytes has an anchor: the substring of ``ANCHOR`` byte
 strings have equal anchors at equal places, so strings only meet where their anchors do. Neighbouring strings with the
 same anchor make a stretch of bytes; stretches of one anchor go to one bucket.
 
-1. Documents are written once, bucketed into groups of about ``GROUP_BYTES``, so that no later step moves texts.
+1. Documents are written once, in groups of about ``GROUP_BYTES``, however many that takes, so that no later step moves
+   texts. A file of the table has one group, or, as Spark bounds the buckets of a table, several beyond ``MOST_FILES``; each group
+   is read and worked on by itself.
 2. Each group tells the buckets its anchors' hashes, each once, and about how many stretches it has of each. It learns
    which anchors more documents have, and which have over ``HOT_STRETCHES`` stretches.
 3. Each group sends the stretches of those anchors, equal ones once with their smallest id. A bucket builds the
@@ -37,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from fareloom.llm.common import saved
@@ -47,7 +49,7 @@ from fareloom.session import scratch_folder
 LENGTH = 50
 ANCHOR = 16
 GROUP_BYTES = 8 << 20
-MOST_GROUPS = 50_000
+MOST_FILES = 50_000
 #: Text that one index holds; a bucket has as many indexes as it needs.
 INDEX_BYTES = 1 << 20
 #: Stretches of one anchor that go to one bucket, counted up to twice too high; they are about as long as one index.
@@ -56,9 +58,10 @@ _WINDOW = 1 << 20
 _PLACE = np.uint64((1 << 22) - 1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
-_GROUP, _ORDER, _MARK = "__group", "__order", "__mark"
+_FILE, _GROUP, _ORDER, _MARK = "__file", "__group", "__order", "__mark"
 _REPLY = "g int, bucket int, kind int, first binary, second binary"
 _LAST = 2**63 - 1
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -505,27 +508,46 @@ def _run(docs: DataFrame, length: int, digest: bool) -> DataFrame:
         raise ValueError(f"matches are at least {ANCHOR + 1} bytes long")
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = min(MOST_GROUPS, max(1, -(-size // GROUP_BYTES)))
+    groups = max(1, -(-size // GROUP_BYTES))
+    files = min(MOST_FILES, groups)
     used = docs.select("doc_id", "text") if digest else docs
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     keyed = used.withColumns({_ORDER: order, _MARK: F.xxhash64("text")})
     keyed = keyed.withColumn(_GROUP, F.pmod(F.xxhash64(_ORDER, _MARK), F.lit(groups)).cast("int"))
+    keyed = keyed.withColumn(_FILE, F.col(_GROUP) % files)
     name = f"texts_{uuid.uuid4().hex}"
-    # One text moves once, here; the table is bucketed by group, so groups are read where they lie.
-    table = keyed.repartition(groups, _GROUP).write.bucketBy(groups, _GROUP)
-    table.option("path", scratch_folder(spark, "texts")).saveAsTable(name)
-    rows = spark.table(name)
-    slim = rows.select(_GROUP, _ORDER, _MARK, "text")
-    told = slim.groupBy(_GROUP).applyInArrow(_told(groups, length), _REPLY)
-    answers = saved(told.groupBy("bucket").applyInArrow(_answered(HOT_STRETCHES), _REPLY), "answers")
-    brought = slim.groupBy(_GROUP).cogroup(answers.groupBy("g")).applyInArrow(_brought(groups, length), _REPLY)
-    matches = saved(brought.groupBy("bucket").applyInArrow(_matched(length), _REPLY), "matches")
+    # One text moves once, here: the table is bucketed by file, and groups are read where they lie.
+    table = keyed.repartition(files, _FILE).write.bucketBy(files, _FILE)
+    together = spark.conf.get(_ALL_KEYS)
+    try:
+        table.option("path", scratch_folder(spark, "texts")).saveAsTable(name)
+        # Groups of a file lie together, so what they are joined with is dealt by file alone.
+        spark.conf.set(_ALL_KEYS, "false")
+        return _kept_rows(spark.table(name), groups, files, length, used, digest)
+    finally:
+        spark.conf.set(_ALL_KEYS, together)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _kept_rows(rows: DataFrame, groups: int, files: int, length: int, used: DataFrame, digest: bool) -> DataFrame:
+    """The answer for the table of groups, written."""
+
+    def by_group(replies: DataFrame) -> GroupedData:
+        return replies.withColumn(_FILE, F.col("g") % files).groupBy(_FILE, "g")
+
+    def by_bucket(messages: DataFrame) -> GroupedData:
+        # As many tasks as files, so that what one reads does not grow with the text.
+        return messages.repartition(files, "bucket").groupBy("bucket")
+
+    slim = rows.select(_FILE, _GROUP, _ORDER, _MARK, "text").groupBy(_FILE, _GROUP)
+    told = slim.applyInArrow(_told(groups, length), _REPLY)
+    answers = saved(by_bucket(told).applyInArrow(_answered(HOT_STRETCHES), _REPLY), "answers")
+    brought = slim.cogroup(by_group(answers)).applyInArrow(_brought(groups, length), _REPLY)
+    matches = saved(by_bucket(brought).applyInArrow(_matched(length), _REPLY), "matches")
     finish = _finished(groups, length, used.columns, digest)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" if digest else used.schema
-    result = rows.groupBy(_GROUP).cogroup(answers.union(matches).groupBy("g")).applyInArrow(finish, schema)
-    result = saved(result, "kept")
-    spark.sql(f"DROP TABLE {name}")
-    return result
+    result = rows.groupBy(_FILE, _GROUP).cogroup(by_group(answers.union(matches))).applyInArrow(finish, schema)
+    return saved(result, "kept")
 
 
 def repeats_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -74,6 +74,30 @@ def test_removal_equals_brute_force(spark, monkeypatch, length):
     assert sum(r[2] for r in found) > 1000
 
 
+def test_more_groups_than_files(spark, monkeypatch):
+    """Groups of one file are worked on one by one, equal to brute force, and no step but the first moves texts."""
+    plans, sizes = {}, []
+
+    def saved(frame, label):
+        plans[label] = frame._jdf.queryExecution().executedPlan().toString()
+        return suffix_dedup_saved(frame, label)
+
+    suffix_dedup_saved = suffix_dedup.saved
+    monkeypatch.setattr(suffix_dedup, "saved", saved)
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 3_000)
+    docs = repetitive(250, 3) + [(None, "a" * 120), (None, None), (702, None)]
+    frame = rows(spark, [(i, t, "en") for i, t in docs])
+    before = spark.conf.get(suffix_dedup._ALL_KEYS)
+    for most in (3, 50_000):
+        monkeypatch.setattr(suffix_dedup, "MOST_FILES", most)
+        found = sorted((tuple(r) for r in suffix_dedup.repeats_digest(frame).collect()), key=repr)
+        assert found == plain(docs)
+        sizes.append({label: plan.count("Exchange hashpartitioning") for label, plan in plans.items()})
+    assert sizes == [{"answers": 1, "matches": 2, "kept": 1}] * 2
+    assert spark.conf.get(suffix_dedup._ALL_KEYS) == before
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
 def test_long_texts_are_cut_into_windows(monkeypatch):
     drawn = random.Random(1)
     text = bytes(drawn.choice(b"abc") for _ in range(5000))
