@@ -24,7 +24,7 @@ from fareloom.sources.readers import (
     stream_trips,
     stream_weather,
 )
-from fareloom.streaming.joins import join_streams, pinned_day_salts, pinned_salts
+from fareloom.streaming.joins import join_streams, pinned_bundles, pinned_day_salts, pinned_salts
 from fareloom.streaming.remembered import start_remembered_join
 from fareloom.streaming.report import ReportKeeper
 from fareloom.streaming.sinks import EVERY_100_SECONDS, ONCE_OVER_ALL_INPUT, append_stream
@@ -198,7 +198,8 @@ def run_gold(
     else:
         arriving = stream_weather(spark, weather).select(*WEATHER_SIDE)
         shares = pinned_salts(spark, checkpoint, salts)
-        joined = join_streams(trips, arriving, shares, pinned_day_salts(spark, checkpoint, shares))
+        by_day = pinned_day_salts(spark, checkpoint, shares)
+        joined = join_streams(trips, arriving, shares, by_day, pinned_bundles(spark, checkpoint))
     query = append_stream(
         to_gold(joined), output, checkpoint, fmt=fmt, partition_by="vendor_id", trigger=trigger
     )

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DateType, StructType
 
 from fareloom.functions.days import trip_day
 from fareloom.session import path_exists, write_text
@@ -17,6 +18,8 @@ FEWEST_SHARES, MOST_SHARES = 16, 64
 FIRST_DAY, DAYS = "1990-01-01", 21_915
 #: Salts that are tried for each partition before a share takes one that may meet another share.
 TRIED = 5
+#: Trips that a task holds at once to bundle them by day, and the most trips of a bundle.
+HELD_TRIPS, BUNDLED_TRIPS = 1 << 18, 512
 
 
 def _nullable(salt: Column) -> Column:
@@ -64,11 +67,11 @@ def _spread_trips(trips: DataFrame, salts: int, by_day: DataFrame | None = None)
     The draw does not look at the row, so even copies of one trip spread out. Apply it right after the scan:
     there a repeated task draws the same numbers for the same rows.
     """
-    drawn = (
-        trips.withColumn("day", trip_day("drop_off_timestamp"))
-        .where(F.col("day").isNotNull())
-        .withColumn("salt", _nullable(F.floor(F.rand() * salts).cast("int")))
-    )
+    return _spread_days(trips.withColumn("day", trip_day("drop_off_timestamp")).where(F.col("day").isNotNull()), salts, by_day)
+
+
+def _spread_days(rows: DataFrame, salts: int, by_day: DataFrame | None) -> DataFrame:
+    drawn = rows.withColumn("salt", _nullable(F.floor(F.rand() * salts).cast("int")))
     if by_day is None:
         return drawn
     listed = drawn.join(F.broadcast(by_day), F.col("day") == F.col("salted_day"), "left")
@@ -87,13 +90,54 @@ def _repeat_weather(weather: DataFrame, salts: int, by_day: DataFrame | None = N
     return repeated.withColumn("weather_salt", _nullable(F.col("share"))).drop("share")
 
 
-def join_streams(trips: DataFrame, weather: DataFrame, salts: int, by_day: DataFrame | None = None) -> DataFrame:
+def bundle_trips(trips: DataFrame) -> DataFrame:
+    """``day`` and ``bundle``: the trips that have a day, in lists of at most ``BUNDLED_TRIPS`` of one day.
+
+    A task bundles ``HELD_TRIPS`` of its rows at a time, so nothing is shuffled and a hot day becomes many bundles.
+    """
+    schema = StructType().add("day", DateType()).add("bundle", ArrayType(trips.schema))
+
+    def bundled(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        days = rows.column(0).cast(pa.int32()).to_numpy()
+        order = np.argsort(days, kind="stable")
+        firsts = np.flatnonzero(np.diff(days[order], prepend=days[order[0]] - 1))
+        place = np.arange(len(days)) - np.repeat(firsts, np.diff(firsts, append=len(days)))
+        begins = np.flatnonzero(place % BUNDLED_TRIPS == 0)
+        values = rows.take(pa.array(order)).select(rows.schema.names[1:]).to_struct_array()
+        bundles = pa.ListArray.from_arrays(pa.array(np.append(begins, len(days)), pa.int32()), values)
+        return pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(order[begins])), bundles], ["day", "bundle"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= HELD_TRIPS:
+                yield bundled(held)
+                held, rows = [], 0
+        if rows:
+            yield bundled(held)
+
+    dated = trips.select(trip_day("drop_off_timestamp").alias("day"), *trips.columns).where(F.col("day").isNotNull())
+    return dated.mapInArrow(run, schema)
+
+
+def join_streams(
+    trips: DataFrame, weather: DataFrame, salts: int, by_day: DataFrame | None = None, bundles: bool = False
+) -> DataFrame:
     """Inner join with no bound on lateness: both sides are remembered for good.
 
     ``by_day`` are the salts of ``day_salts`` for this number of shares, which deal the shares of a day evenly over the partitions.
+    With ``bundles`` the state holds lists of trips of a day instead of trips: the same rows for far fewer writes.
     """
-    trips, weather = _spread_trips(trips, salts, by_day), _repeat_weather(weather, salts, by_day)
-    return trips.join(weather, (F.col("day") == F.col("date")) & (F.col("salt") == F.col("weather_salt")))
+    columns = [*trips.columns, *weather.columns]
+    same_share = (F.col("day") == F.col("date")) & (F.col("salt") == F.col("weather_salt"))
+    weather = _repeat_weather(weather, salts, by_day)
+    if not bundles:
+        return _spread_trips(trips, salts, by_day).join(weather, same_share)
+    joined = _spread_days(bundle_trips(trips), salts, by_day).join(weather, same_share)
+    return joined.select(F.inline("bundle"), *weather.columns).select(*columns)
 
 
 def join_streams_bounded(
@@ -149,3 +193,14 @@ def pinned_day_salts(spark: SparkSession, checkpoint: str, shares: int) -> DataF
         day_salts(spark, shares, partitions).coalesce(1).write.mode("overwrite").parquet(folder)
         write_text(spark, f"{folder}/_whole", "")
     return spark.read.schema("salted_day date, salts array<int>").parquet(folder)
+
+
+def pinned_bundles(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the state of this checkpoint holds bundles: that of a new one does, one begun with single trips keeps to them."""
+    marker = f"{checkpoint.rstrip('/')}/bundles"
+    if path_exists(spark, marker):
+        return True
+    if path_exists(spark, f"{checkpoint.rstrip('/')}/commits"):
+        return False
+    write_text(spark, marker, "")
+    return True

@@ -15,7 +15,17 @@ from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
-from fareloom.streaming.joins import FEWEST_SHARES, day_salts, join_streams, join_streams_bounded, pinned_day_salts, pinned_salts
+from fareloom.streaming.joins import (
+    BUNDLED_TRIPS,
+    FEWEST_SHARES,
+    bundle_trips,
+    day_salts,
+    join_streams,
+    join_streams_bounded,
+    pinned_bundles,
+    pinned_day_salts,
+    pinned_salts,
+)
 from fareloom.streaming.parts import MERGED_AT_ONCE, read_ledger
 from fareloom.streaming.remembered import TRIP, Memory, read_late, read_remembered, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
@@ -512,3 +522,32 @@ def test_streaming_zone_lookup_uses_the_static_dimension(spark, lake, folder):
     query.trigger(**ONCE_OVER_ALL_INPUT).start(folder("out")).awaitTermination()
     row = spark.read.parquet(folder("out")).first()
     assert (row["pickup_location"], row["drop_off_location"]) == ("A", None)
+
+
+def test_the_stream_join_remembers_bundles_of_trips(spark, lake):
+    """2,000 trips of two days are a few rows of the state; a checkpoint that began with single trips keeps to them."""
+    lake.add_trips([*(_trip("2024-01-01", i % 40) for i in range(1600)), *TRIPS[12:], *[_trip("2024-01-02", 1)] * 400], "bronze")
+    lake.silver()
+    lake.add_weather(DAY_ONE, DAY_ONE_AGAIN, DAY_TWO)
+    assert lake.gold("stream", salts=2) == lake.batch_gold()
+    assert len(lake.batch_gold()) == 2 * 1600 + 405
+    trips, weather = stream_silver(spark, lake.folder("silver")), stream_weather(spark, lake.folder("weather")).select(*WEATHER_SIDE)
+    written = {}
+    for bundles in (True, False):
+        query = to_gold(join_streams(trips, weather, 2, bundles=bundles)).writeStream.format("noop")
+        query = query.option("checkpointLocation", lake.folder(f"c-{bundles}")).trigger(**ONCE_OVER_ALL_INPUT).start()
+        query.awaitTermination()
+        written[bundles] = sum(operator["numRowsUpdated"] for p in query.recentProgress for operator in p["stateOperators"])
+    assert written[False] >= 2005 and written[True] <= 40
+    assert pinned_bundles(spark, lake.folder("gold-stream-c")) and not pinned_bundles(spark, lake.folder("c-False"))
+
+
+def test_bundles_hold_every_dated_trip_of_one_day_each(spark, folder):
+    rows = [(str(i % 3), at(f"2024-01-{1 + i % 2:02d}T10:00:00") if i % 5 else None, i) for i in range(3000)]
+    trips = spark.createDataFrame(rows, "vendor_id string, drop_off_timestamp timestamp, payment_type long").coalesce(1)
+    bundles = bundle_trips(trips)
+    assert rows_of(bundles.selectExpr("inline(bundle)")) == rows_of(trips.where("drop_off_timestamp IS NOT NULL"))
+    assert bundles.selectExpr("day", "inline(bundle)").where("day <> to_date(drop_off_timestamp)").count() == 0
+    sizes = [len(r["bundle"]) for r in bundles.collect()]
+    assert max(sizes) <= BUNDLED_TRIPS and len(sizes) == 2 * -(-1200 // BUNDLED_TRIPS)
+    assert bundle_trips(trips.limit(0)).count() == 0
