@@ -19,8 +19,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
-    # Every write task opens a file per vendor, so large splits keep those files from being small.
-    "spark.sql.files.maxPartitionBytes": "512m",
+    # Every write task opens a file per vendor, so splits should not be small; but a task sorts what it has read, in some ten
+    # times the memory that the rows take in a file.
+    "spark.sql.files.maxPartitionBytes": "64m",
+    # A task keeps the files of so many vendors open at once and does not sort its rows by vendor.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Join state lives on disk and is checkpointed as changes, not as whole snapshots on the heap.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -22,7 +22,8 @@ Output and checkpoint carry the same id; a folder written for another checkpoint
 """
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import partial
 from typing import Any
 
@@ -43,6 +44,9 @@ _ROWS = StructType(list(GOLD.fields)).add("day", "date").add("batch_id", "long")
 _KEPT = StructType(list(_ROWS.fields)).add("part", "string").add("kind", "string").add("month", "string")
 _WEATHER_VALUES = ("tempmax", "tempmin")
 _MONTH = "yyyy-MM"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+#: A task sorts the rows of a split of arriving files, in some twenty times the memory they take there. Its files are merged later.
+KEPT_SPLIT = "16m"
 #: Microseconds of a day, and the hours that a day can have at most in any time zone.
 _DAY = 86_400_000_000
 _LONGEST_DAY = 26 * 3_600_000_000
@@ -228,6 +232,16 @@ def _watermark(notes: dict, delays: tuple[int, int] | None) -> int | None:
     return min(latest - delay for latest, delay in zip(seen, delays))
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_remembered_join(
     trips: DataFrame,
     weather: DataFrame,
@@ -239,6 +253,8 @@ def start_remembered_join(
 ) -> StreamingQuery:
     """Start the join; gold rows go to ``path``, seen rows to the checkpoint's folder.
 
+    Arriving files are read in splits of ``KEPT_SPLIT``, what is read back in those of the session.
+
     A batch writes new parts and then publishes them in one step; a batch that is published is not written
     again, one that was cut off leaves folders that no reader sees and that the next start removes.
     """
@@ -250,9 +266,14 @@ def start_remembered_join(
     known = read_ledger(first, path)
     sweep(first, f"{path}/vendor_id=*/part=*", known)
     sweep(first, f"{root}/part=*", known)
+    split = first.conf.get(_SPLIT)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # The splits of what arrives are settled by now.
+        with _setting(batch.sparkSession, _SPLIT, split):
+            apply_to(batch.sparkSession, batch, batch_id)
+
+    def apply_to(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         ledger = read_ledger(spark, path)
         if ledger.through >= batch_id:
             return
@@ -294,4 +315,6 @@ def start_remembered_join(
     writer = _one_stream(trips, weather).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    with _setting(first, _SPLIT, KEPT_SPLIT):
+        # The query takes the settings of its start with it.
+        return writer.start()

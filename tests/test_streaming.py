@@ -15,6 +15,8 @@ from fareloom.operators.silver import to_silver
 from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.schemas import RAW, UNENRICHED
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_weather, stream_silver, stream_weather
+from fareloom.session import isolated_session
+from fareloom.streaming import remembered
 from fareloom.streaming.joins import (
     BUNDLED_TRIPS,
     FEWEST_SHARES,
@@ -29,7 +31,7 @@ from fareloom.streaming.joins import (
 from fareloom.streaming.parts import MERGED_AT_ONCE, read_ledger
 from fareloom.streaming.remembered import TRIP, Memory, read_late, read_remembered, start_remembered_join
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
-from tests.conftest import at, plan_of, raw_trips, rows_of, weather_rows
+from tests.conftest import at, plan_of, raw_trips, rows_of, silver_trips, weather_rows
 
 NOW = {"trigger": ONCE_OVER_ALL_INPUT}
 FOREVER = ("table", "stream")
@@ -551,3 +553,32 @@ def test_bundles_hold_every_dated_trip_of_one_day_each(spark, folder):
     sizes = [len(r["bundle"]) for r in bundles.collect()]
     assert max(sizes) <= BUNDLED_TRIPS and len(sizes) == 2 * -(-1200 // BUNDLED_TRIPS)
     assert bundle_trips(trips.limit(0)).count() == 0
+
+
+def test_rows_are_not_sorted_to_be_laid_out_by_vendor(spark, lake):
+    """Vendors come mixed; a task writes them to their folders as they come, in the order it has read them."""
+    session = isolated_session(spark)
+    raw_trips(spark, [_trip("2024-01-01", i, vendor=1 + i % 3) for i in range(30)]).coalesce(1).write.parquet(lake.folder("bronze"))
+    jobs.run_silver(session, lake.folder("bronze"), lake.folder("silver"), lake.folder("silver-c"), **NOW)
+    assert int(session.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 8
+    assert int(session.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("m")) <= 64
+    for vendor in (1, 2, 3):
+        files = list(Path(lake.folder("silver")).glob(f"vendor_id={vendor}/*.parquet"))
+        assert len(files) == 1
+        passengers = [r["passenger_count"] for r in spark.read.parquet(str(files[0])).collect()]
+        assert passengers == [float(i) for i in range(30) if 1 + i % 3 == vendor]
+
+
+def test_a_batch_is_remembered_in_small_splits(spark, lake, monkeypatch):
+    """A task sorts one split of the arriving files, however large the session's splits are."""
+    monkeypatch.setattr(remembered, "KEPT_SPLIT", "2k")
+    silver_trips(spark, [{"vendor_id": "1", "drop_off_timestamp": at("2024-01-01T10:00:00"), "passenger_count": float(i)} for i in range(20)]).repartition(
+        10
+    ).write.partitionBy("vendor_id").parquet(lake.folder("silver"))
+    lake.add_weather(DAY_ONE)
+    session = isolated_session(spark, {"spark.sql.files.maxPartitionBytes": "64m", "spark.sql.files.openCostInBytes": "1k"})
+    jobs.run_gold(session, lake.folder("silver"), lake.folder("weather"), lake.folder("gold"), lake.folder("gold-c"), **NOW)
+    kept = list(Path(lake.folder("gold-c")).glob("remembered/part=*/kind=trip/*.parquet"))
+    assert len(kept) >= 5
+    assert read_gold(spark, lake.folder("gold")).count() == 20
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
