@@ -12,7 +12,7 @@ from fareloom.session import isolated_session, scratch_folder
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
 
 ROW_TAG = "l_orderkey"
-SMALLEST_FILE = 25_000  # rows
+SMALLEST_FILE, LARGEST_FILE = 25_000, 1_000_000  # rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,11 @@ def write_weather(df: DataFrame, folder: str) -> None:
     df.write.mode("append").option("header", True).csv(folder)
 
 
+def files_a_batch(files: int, batches: int) -> int:
+    """So many files a batch that all files take this number of batches at most, and one file a batch if they are few."""
+    return max(-(-files // batches), 1)
+
+
 # Staged inputs are made once per session and data folder and shared by all queries that read them.
 
 
@@ -100,7 +105,7 @@ def staged_trips(spark: SparkSession, sf_dir: str) -> str:
     """Raw trips in several files, as they arrive: a task with a large share of the rows writes more than one."""
     folder = scratch_folder(spark, "trips")
     rows = table(spark, sf_dir, "lineitem").count()
-    per_file = max(rows // (2 * spark.sparkContext.defaultParallelism), SMALLEST_FILE)
+    per_file = min(max(rows // (2 * spark.sparkContext.defaultParallelism), SMALLEST_FILE), LARGEST_FILE)
     raw = typed(enriched(job_session(spark), sf_dir))
     raw.write.option("maxRecordsPerFile", per_file).parquet(folder)
     return folder

@@ -24,7 +24,7 @@ from fareloom.operators.weather import WEATHER_SIDE, join_weather, to_gold
 from fareloom.operators.zones import add_drop_off_zone, add_pickup_zone
 from fareloom.plans import fixtures
 from fareloom.schemas import RAW, UNENRICHED
-from fareloom.session import scratch_folder, set_old_time
+from fareloom.session import matching_paths, scratch_folder, set_old_time
 from fareloom.sources.readers import read_bronze, read_gold, read_silver, read_trips, read_weather, read_zones
 from fareloom.streaming.remembered import read_late, read_remembered
 from fareloom.streaming.sinks import ONCE_OVER_ALL_INPUT
@@ -36,6 +36,8 @@ LATE_FROM = "1998-06-01"
 # Trips from here on come in the first batch of the bounded query, the rest in the second; the watermark lies between.
 BOUNDED_FROM = "1996-01-01"
 BOUNDED_DELAY = "1200 days"
+# Batches of each of the two runs of bronze in batches, and the most batches of the report.
+BATCHES, REPORTED_BATCHES = 3, 8
 
 
 def _without_zone(df: DataFrame) -> DataFrame:
@@ -148,13 +150,16 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze in batches of one file, stopped and started again, with an old time stamp on a file that comes later."""
+    """Bronze in three batches of equally many files, stopped and started again, with an old time stamp on a file that comes later.
+
+    A file is written by one task and has ``LARGEST_FILE`` rows at most, so small tables have one file a batch."""
     folder = scratch_folder(spark, "bronze-batches")
     job = fixtures.job_session(spark)
     staged = job.read.schema(RAW).parquet(fixtures.staged_trips(spark, sf_dir))
+    files = fixtures.files_a_batch(staged.count(), 2 * BATCHES * fixtures.LARGEST_FILE)
     for part in (0, 1):
         rows = staged.where(F.pmod(F.xxhash64(*RAW.fieldNames()), F.lit(2)) == part)
-        rows.repartition(3).write.mode("append").parquet(f"{folder}/raw")
+        rows.repartition(BATCHES * files).write.mode("append").parquet(f"{folder}/raw")
         if part:
             set_old_time(spark, f"{folder}/raw")
         run_bronze(
@@ -163,7 +168,7 @@ def stream_bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{folder}/table",
             f"{folder}/checkpoint",
             trigger=ONCE_OVER_ALL_INPUT,
-            source_options={"maxFilesPerTrigger": 1},
+            source_options={"maxFilesPerTrigger": files},
         )
     return _without_zone(read_bronze(spark, f"{folder}/table"))
 
@@ -267,17 +272,19 @@ def stream_gold_table_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts that the silver job keeps of each batch, summed over its batches of one file each."""
+    """The counts that the silver job keeps of each batch, summed over its batches: of one file each, or of more if they were too many."""
     folder = scratch_folder(spark, "silver-report")
+    bronze = fixtures.staged_bronze(spark, sf_dir)
+    files = len(matching_paths(spark, f"{bronze}/*.parquet"))
     run_silver(
         fixtures.job_session(spark),
-        fixtures.staged_bronze(spark, sf_dir),
+        bronze,
         f"{folder}/table",
         f"{folder}/checkpoint",
         validation="report",
         report=f"{folder}/report",
         trigger=ONCE_OVER_ALL_INPUT,
-        source_options={"maxFilesPerTrigger": 1},
+        source_options={"maxFilesPerTrigger": fixtures.files_a_batch(files, REPORTED_BATCHES)},
     )
     kept = read_report(spark, f"{folder}/report")
     of = lambda c, value: F.sum(F.when(F.col("constraint") == c.name, F.col(value)))

@@ -6,8 +6,10 @@ from pathlib import Path
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from fareloom.plans import fixtures, registry
 from fareloom.plans.oracles import ORACLES
 from fareloom.plans.registry import QUERIES
 
@@ -57,3 +59,21 @@ def test_query_equals_sql(spark, oracle, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_batches_of_staged_files_do_not_grow(spark):
+    assert [fixtures.files_a_batch(files, 8) for files in (0, 1, 8, 9, 166)] == [1, 1, 1, 2, 21]
+
+
+def test_staged_files_have_a_bounded_number_of_rows(spark, monkeypatch):
+    """Files, and with them what a task reads and writes, stay as large as they are while the table grows."""
+    monkeypatch.setattr(fixtures, "SMALLEST_FILE", 100)
+    monkeypatch.setattr(fixtures, "LARGEST_FILE", 200)
+    folder = fixtures.staged_trips.__wrapped__(spark, str(DATA))
+    sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 200
+    written = {}
+    run = registry.run_bronze
+    monkeypatch.setattr(registry, "run_bronze", lambda *a, **o: written.update(files=o["source_options"]["maxFilesPerTrigger"]) or run(*a, **o))
+    assert registry.stream_bronze_batches(spark, str(DATA)).count() == sum(sizes)
+    assert written["files"] == -(-sum(sizes) // (2 * registry.BATCHES * 200))
