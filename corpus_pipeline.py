@@ -19,6 +19,9 @@ from fareloom.llm.common import documents, labels, saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Words that a worker of the last stage remembers: the stages before it have left the executors little memory.
+REMEMBERED_WORDS = 100_000
+
 #: Scores below this say that a text fits no language better than the others.
 LEAST_LANGUAGE_SCORE = 0.02
 
@@ -46,7 +49,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1,024 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), special_tokens=True)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), special_tokens=True, remembered=REMEMBERED_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fareloom.llm.common import sliced
-from fareloom.llm.tokens import WordTokenizer, word_tokenizer
+from fareloom.llm.tokens import MOST_REMEMBERED, WordTokenizer, word_tokenizer
 
 SIZE = 1024
 END_ID = 0
@@ -99,14 +99,15 @@ def best_windows(cuts: Cuts, size: int = SIZE, window_cost: float = WINDOW_COST)
 
 def possible_cuts(ids: np.ndarray, ends: np.ndarray, sentence_end: np.ndarray) -> Cuts:
     """Cuts of a stream: ``ends`` are the positions behind its documents, ``sentence_end`` tells it of each id."""
-    penalty = np.full(len(ids) + 1, np.inf)
-    penalty[1:][sentence_end[ids]] = SENTENCE_PENALTY
-    penalty[ends] = penalty[0] = 0.0
-    positions = np.flatnonzero(np.isfinite(penalty))
+    # One byte an id: 0 is no cut, others are places in the list of penalties.
+    kind = np.zeros(len(ids) + 1, np.uint8)
+    kind[1:][sentence_end[ids]] = 2
+    kind[ends] = kind[0] = 1
+    positions = np.flatnonzero(kind)
     for k in np.flatnonzero(np.diff(positions) > LONG_SENTENCE):
-        penalty[positions[k] + STEP : positions[k + 1] : STEP] = INSIDE_PENALTY
-    positions = np.flatnonzero(np.isfinite(penalty))
-    return Cuts(positions, penalty[positions])
+        kind[positions[k] + STEP : positions[k + 1] : STEP] = 3
+    positions = np.flatnonzero(kind)
+    return Cuts(positions, np.array([np.inf, 0.0, SENTENCE_PENALTY, INSIDE_PENALTY])[kind[positions]])
 
 
 @lru_cache
@@ -126,8 +127,9 @@ def pack_block(
         if text:
             parts.append(tokenizer.encode(text))
         parts.append(end)
-    ids = np.concatenate(parts).astype("<u4")
+    ids = np.concatenate(parts).astype("<u4", copy=False)
     ends = np.cumsum([len(p) for p in parts])[[p is end for p in parts]]
+    del parts
     cuts = best_windows(possible_cuts(ids, ends, sentence_end), size)
     bounds = np.sort(np.concatenate([cuts, ends]))
     bounds = bounds[np.diff(bounds, prepend=-1) > 0]
@@ -135,7 +137,7 @@ def pack_block(
     begins = np.concatenate([[0], ends[:-1]])
     document = np.searchsorted(ends, start, side="right")
     sequence = np.searchsorted(cuts, start, side="right") - 1
-    octets = memoryview(ids.tobytes())
+    octets = memoryview(ids).cast("B")
     crc = [zlib.crc32(octets[4 * s : 4 * (s + n)]) for s, n in zip(start.tolist(), length.tolist())]
     return {
         "document": document,
@@ -156,13 +158,20 @@ def pack(
     special_tokens: bool = False,
     end_id: int = END_ID,
     size: int = SIZE,
+    remembered: int = MOST_REMEMBERED,
 ) -> DataFrame:
-    """One row for each piece of a document: where it lies in the document and in its sequence."""
+    """One row for each piece of a document: where it lies in the document and in its sequence.
+
+    ``remembered`` bounds the words whose ids a worker keeps at hand; fewer cost time, not rows.
+    """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path, drops_spaces, special_tokens)
+        tokenizer = word_tokenizer(path, drops_spaces, special_tokens, remembered)
         sentence_end = sentence_ends(tokenizer)
+        # What earlier work of this worker has freed goes back to the system before new memory is taken.
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
         sequences = TaskContext.get().partitionId() << _TASK_SHIFT
         for batch in sliced(batches, "text", BLOCK_BYTES):
             found = pack_block(batch.column(1).to_pylist(), tokenizer, sentence_end, end_id, size)

@@ -31,13 +31,18 @@ _STANDS_FOR = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not i
 
 
 class _Remembered(dict):
-    """Ids of a piece, as bytes; ``prefix`` goes in front of a key that does not start with a line end."""
+    """Ids of a piece, as bytes; ``prefix`` goes in front of a key that does not start with a line end.
 
-    def __init__(self, tokenizer: Tokenizer, prefix: str, code: str, lower: bool) -> None:
+    When there are ``most`` pieces all are forgotten; with a smaller ``most`` than ``MOST_REMEMBERED`` they become the ``former``
+    ones, in place of those. A former piece that is met again is remembered anew, so frequent pieces stay.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, prefix: str, code: str, lower: bool, most: int) -> None:
         super().__init__()
         self.tokenizer, self.merged, self.code, self.lower = tokenizer, tokenizer.model.tokenize, code, lower
         self.prefix, self.shown_prefix = prefix, prefix.translate(_STANDS_FOR)
         self.marks: dict[str, bytes] = {"": b""}
+        self.most, self.former = most, {}
 
     def _letters(self, word: str) -> bytes:
         """Ids of a word of letters: one unit, so the library's merges alone decide."""
@@ -51,38 +56,43 @@ class _Remembered(dict):
         return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, key: str) -> bytes:
+        ids = self.former.get(key)
+        if ids is None:
+            ids = self._ids(key)
+        if len(self) + len(self.marks) >= self.most:
+            self.former = dict(self) if self.most < MOST_REMEMBERED else {}
+            self.clear()
+            self.marks = {"": b""}
+        self[key] = ids
+        return ids
+
+    def _ids(self, key: str) -> bytes:
         word = key.rstrip(_MARKS)
         if word.isalpha() and max(word) < _LETTERS_BELOW:
             # Marks behind a word are a unit of their own.
             marks = key[len(word) :]
             if marks not in self.marks:
                 self.marks[marks] = self._any(marks)
-            ids = self._letters(word) + self.marks[marks]
-        else:
-            ids = self._any(key if key.startswith("\n") else self.prefix + key)
-        if len(self) + len(self.marks) >= MOST_REMEMBERED:
-            self.clear()
-            self.marks = {"": b""}
-        self[key] = ids
-        return ids
+            return self._letters(word) + self.marks[marks]
+        return self._any(key if key.startswith("\n") else self.prefix + key)
 
 
 class WordTokenizer:
     """A tokenizer file; ``drops_spaces`` if it lowers letters and its ids do not depend on white space.
 
     ``special_tokens``: special tokens' strings in a text get their one id, as by the library's plain call; otherwise they
-    are ordinary text.
+    are ordinary text. ``most``: pieces that each of two dictionaries remembers.
     """
 
-    def __init__(self, path: str, drops_spaces: bool, special_tokens: bool = False) -> None:
+    def __init__(self, path: str, drops_spaces: bool, special_tokens: bool = False, most: int = MOST_REMEMBERED) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special_tokens
         self.size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.drops_spaces = drops_spaces
         code = "H" if self.kind == "<u2" else "I"
-        self.plain = _Remembered(self.tokenizer, "", code, drops_spaces)
-        self.spaced = _Remembered(self.tokenizer, " ", code, drops_spaces)
+        self.plain = _Remembered(self.tokenizer, "", code, drops_spaces, most)
+        self.spaced = _Remembered(self.tokenizer, " ", code, drops_spaces, most)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of the text, without special tokens around it."""
@@ -98,12 +108,12 @@ class WordTokenizer:
         return np.frombuffer(ids, self.kind)
 
 
-_LOADED: dict[tuple[str, bool, bool], WordTokenizer] = {}
+_LOADED: dict[tuple[str, bool, bool, int], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str, drops_spaces: bool, special_tokens: bool = False) -> WordTokenizer:
+def word_tokenizer(path: str, drops_spaces: bool, special_tokens: bool = False, most: int = MOST_REMEMBERED) -> WordTokenizer:
     """The tokenizer of a file, loaded once in each Python worker."""
-    key = (path, drops_spaces, special_tokens)
+    key = (path, drops_spaces, special_tokens, most)
     if key not in _LOADED:
         _LOADED[key] = WordTokenizer(*key)
     return _LOADED[key]

@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from fareloom.llm import packing, queries
 from fareloom.llm.tokens import word_tokenizer
 from tests.llm.conftest import rows
@@ -109,3 +110,22 @@ def test_queries_pack_with_special_tokens(spark, tmp_path):
     rows(spark, [(1, text, "en")]).write.parquet(str(tmp_path / "documents.parquet"))
     assert [r["doc_tokens"] for r in queries.op3_packing(spark, str(tmp_path)).collect()] == [5]
     assert [r["n_tokens"] for r in queries.op7_token_files(spark, str(tmp_path)).collect()] == [4]
+
+
+def test_few_remembered_words_give_the_same_pieces(spark):
+    """A worker with little memory keeps the frequent words of before and packs as one that remembers all."""
+    docs = spark.createDataFrame([(i, f"word {i} again and again {i % 7}. " * 5) for i in range(300)], "doc_id long, text string").coalesce(1)
+    assert packing.pack(docs, PATH, remembered=50).collect() == packing.pack(docs, PATH).collect()
+    small = word_tokenizer(PATH, False, False, 50)
+    for i in range(400):
+        small.encode(f"the number {i}")
+        assert max(len(small.spaced), len(small.spaced.former)) <= 50
+    assert "number" in small.spaced or "number" in small.spaced.former
+    assert "0" not in small.spaced and "0" not in small.spaced.former
+
+
+def test_the_pipelines_last_stage_remembers_few_words(monkeypatch):
+    asked = {}
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **options: asked.update(options))
+    corpus_pipeline.pack(None, None, "")
+    assert asked["remembered"] <= 200_000
