@@ -39,12 +39,13 @@ from fareloom.schemas import GOLD, SILVER
 from fareloom.session import matching_paths, path_exists, read_text, write_text
 from fareloom.streaming.parts import Ledger, Part, part_name, publish, read_folders, read_ledger, sweep
 
-TRIP, WEATHER, LATE = "trip", "weather", "late"
+_KINDS = TRIP, WEATHER, LATE = "trip", "weather", "late"
 _ROWS = StructType(list(GOLD.fields)).add("day", "date").add("batch_id", "long").add("is_trip", "boolean")
 _KEPT = StructType(list(_ROWS.fields)).add("part", "string").add("kind", "string").add("month", "string")
 _WEATHER_VALUES = ("tempmax", "tempmin")
 _MONTH = "yyyy-MM"
 _SPLIT = "spark.sql.files.maxPartitionBytes"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 #: A task sorts the rows of a split of arriving files, in some twenty times the memory they take there. Its files are merged later.
 KEPT_SPLIT = "16m"
 #: Microseconds of a day, and the hours that a day can have at most in any time zone.
@@ -112,7 +113,9 @@ class Memory:
         rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("kind", kind)
         name = part_name(batch_id)
         part = Part("memory", name, 0, batch_id, {"kinds": []})
-        rows.sortWithinPartitions("kind", "day").write.partitionBy("kind").parquet(self.folder(part))
+        # A day alone sorts as a number, without comparing rows; a file of each kind is open, so rows need no order of kinds.
+        with _setting(self.spark, _OPEN_FILES, str(len(_KINDS))):
+            rows.sortWithinPartitions("day").write.partitionBy("kind").parquet(self.folder(part))
         return Part("memory", name, 0, batch_id, self._notes(part, {}))
 
     def _notes(self, part: Part, known: dict) -> dict:

@@ -77,3 +77,42 @@ def test_staged_files_have_a_bounded_number_of_rows(spark, monkeypatch):
     monkeypatch.setattr(registry, "run_bronze", lambda *a, **o: written.update(files=o["source_options"]["maxFilesPerTrigger"]) or run(*a, **o))
     assert registry.stream_bronze_batches(spark, str(DATA)).count() == sum(sizes)
     assert written["files"] == -(-sum(sizes) // (2 * registry.BATCHES * 200))
+
+
+def test_bounded_late_writes_its_trips_once(spark, tmp_path, monkeypatch):
+    """Its two batches are made from the tables: no table staged for other queries is written first and then again."""
+    trip = lambda day, number, price=10.0: (None if day is None else pd.Timestamp(day), number, price)
+    rows = [
+        *(trip(f"1996-0{1 + n % 9}-0{1 + n % 7}", 1 + n % 7, float(n)) for n in range(20)),
+        *[trip("1998-05-20", 3)] * 2,
+        trip("1998-05-21", None),
+        trip("1995-03-02", 2),
+        *[trip("1995-11-02", 7)] * 3,
+        trip("1992-01-03", 1),
+        trip(None, 4),
+    ]
+    items = pd.DataFrame(rows, columns=["l_shipdate", "l_linenumber", "l_extendedprice"])
+    items = items.astype({"l_shipdate": "datetime64[us]", "l_linenumber": "Int32"}).assign(
+        l_orderkey=range(len(rows)), l_partkey=5, l_suppkey=[k % 30 for k in range(len(rows))], l_quantity=6.0,
+        l_discount=0.1, l_tax=0.1, l_returnflag="R", l_linestatus="O",
+    )
+    days = pd.to_datetime(["1992-01-03", "1995-11-02", "1996-01-01", "1996-03-03", "1998-05-20"]).as_unit("us")
+    weather = pd.DataFrame({"o_orderdate": days, "o_totalprice": 100.0, "o_orderstatus": "F"})
+    nation = pd.DataFrame({"n_nationkey": range(25), "n_name": "N", "n_regionkey": 1}).astype({"n_nationkey": "int32"})
+    connection = duckdb.connect()
+    for name, table in {"lineitem": items, "orders": weather, "nation": nation}.items():
+        connection.register("made", table)
+        connection.execute(f"COPY (SELECT * FROM made) TO '{tmp_path}/{name}.parquet'")
+        connection.unregister("made")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+
+    def staged(*_):
+        raise AssertionError("a table staged for other queries")
+
+    for name in ("staged_trips", "staged_bronze", "staged_silver"):
+        monkeypatch.setattr(fixtures, name, staged)
+    ours = QUERIES["stream_gold_bounded_late"](spark, str(tmp_path)).toPandas()
+    theirs = connection.execute(ORACLES["stream_gold_bounded_late"]).df()
+    assert _multiset(ours) == _multiset(theirs)
+    of_second = ours.set_index("batch_id").loc[1]
+    assert (of_second["arrived"], of_second["candidates"], of_second["late"]) == (5, 4, 1)

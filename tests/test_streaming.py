@@ -582,3 +582,23 @@ def test_a_batch_is_remembered_in_small_splits(spark, lake, monkeypatch):
     assert len(kept) >= 5
     assert read_gold(spark, lake.folder("gold")).count() == 20
     assert session.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+
+
+def test_what_arrives_is_sorted_by_its_day_alone(spark, lake, monkeypatch):
+    """A file of each kind is open at once, whatever the session says, so the sort compares numbers and no texts."""
+    frame, orders = type(spark.range(1)), []
+    sort = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda rows, *columns: orders.append(columns) or sort(rows, *columns))
+    days = [1 + 7 * i % 28 for i in range(28)]
+    silver_trips(
+        spark, [{"vendor_id": "1", "drop_off_timestamp": at(f"2024-01-{day:02d}T10:00:00"), "fare_amount": 1.0} for day in days for _ in range(20)]
+    ).coalesce(1).write.partitionBy("vendor_id").parquet(lake.folder("silver"))
+    lake.add_weather(DAY_TWO, DAY_ONE)
+    session = isolated_session(spark, {remembered._OPEN_FILES: "0"})
+    jobs.run_gold(session, lake.folder("silver"), lake.folder("weather"), lake.folder("gold"), lake.folder("gold-c"), **NOW)
+    assert orders == [("day",)]
+    for kind, rows in (("trip", len(days) * 20), ("weather", 2)):
+        (file,) = Path(lake.folder("gold-c")).glob(f"remembered/part=*/kind={kind}/*.parquet")
+        kept = [r["day"] for r in spark.read.parquet(str(file)).select("day").collect()]
+        assert len(kept) == rows and kept == sorted(kept)
+    assert session.conf.get(remembered._OPEN_FILES) == "0"
