@@ -13,8 +13,8 @@ same anchor make a stretch of bytes; stretches of one anchor go to one bucket.
 2. Each group tells the buckets its anchors' hashes, each once, and about how many stretches it has of each. It learns
    which anchors more documents have, and which have over ``HOT_STRETCHES`` stretches.
 3. Each group sends the stretches of those anchors, equal ones once with their smallest id. A bucket builds the
-   run-compressed index of ``run_index`` over its distinct stretches in order of ids, streams their matching
-   statistics, and answers with the smallest id that has each stretch and the parts that match an earlier one.
+   run-compressed index of ``run_index`` over its distinct stretches in order of ids, but for those whose anchor has no
+   other, as the strings of one stretch all differ; streams their matching statistics, and answers with the smallest id that has each stretch and the parts that match an earlier one.
    Stretches of hot anchors are not sent: their strings are, each as a 128-bit hash with its smallest id, to buckets
    by that hash. So the strings of one anchor are dealt over all buckets, equal ones still meet, and the
    bucket answers with the smallest id of each.
@@ -50,11 +50,12 @@ LENGTH = 50
 ANCHOR = 16
 GROUP_BYTES = 8 << 20
 MOST_FILES = 50_000
-#: Text that one index holds; a bucket has as many indexes as it needs.
-INDEX_BYTES = 1 << 20
-#: Stretches of one anchor that go to one bucket, counted up to twice too high; they are about as long as one index.
+#: Text that one index holds, small enough for a processor's cache; a bucket has as many indexes as it needs.
+INDEX_BYTES = 1 << 18
+#: Stretches of one anchor that go to one bucket, counted up to twice too high; they are a few times as long as one index.
 HOT_STRETCHES = 10_000
-_WINDOW = 1 << 20
+#: Bytes that are hashed at once, for the same reason.
+_WINDOW = 1 << 17
 _PLACE = np.uint64((1 << 22) - 1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -204,14 +205,9 @@ class _Group:
         texts = rows.column("text").take(pa.array(self.sorted)).to_pylist()
         self.texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
         self.document, self.start, self.end, hashes = stretches(self.texts, length)
-        # Anchors by bucket and hash, and which of them each stretch has.
-        distinct, self.anchor_of = np.unique(hashes, return_inverse=True)
-        bucket = (distinct >> np.uint64(32)) % np.uint64(buckets)
-        places = np.argsort(bucket, kind="stable")
-        back = np.empty(len(places), np.int64)
-        back[places] = np.arange(len(places))
-        self.anchor_of = back[self.anchor_of]
-        self.hashes, self.bucket = distinct[places], bucket[places].astype(np.int64)
+        # Anchors by hash, and which of them each stretch has; buckets are ranges of hashes, so they are in order too.
+        self.hashes, self.anchor_of = np.unique(hashes, return_inverse=True)
+        self.bucket = ((self.hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         self.buckets, self.length = buckets, length
 
     def shared_anchors(self) -> np.ndarray:
@@ -276,12 +272,23 @@ class _Group:
 
 def _alike(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of two hashes in order of these, equal ones as given, and the number of each row's value in that order."""
-    ranked = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    first, second = np.ascontiguousarray(hashes.T)
+    ranked = np.argsort(first, kind="stable")
+    if (_changes(second[ranked]) & ~_changes(first[ranked])).any():
+        # Rows that agree in one hash only: rare, as each has 64 bits.
+        ranked = np.lexsort((second, first))
     number = np.empty(len(ranked), np.int64)
-    number[ranked] = np.cumsum((np.diff(hashes[ranked], axis=0, prepend=~hashes[ranked[:1]]) != 0).any(axis=1)) - 1
+    number[ranked] = np.cumsum(_changes(first[ranked]) | _changes(second[ranked])) - 1
     return ranked, number
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before; the first does."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
 def _reply(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.Table:
     kinds = {"g": pa.int32(), "bucket": pa.int32(), "kind": pa.int32(), "first": pa.binary(), "second": pa.binary()}
     return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(kinds.items())})
@@ -405,9 +412,13 @@ def _matched(length: int):
         strings, number = _numbered(octets[a:b] for a, b in zip((ends - about[:, 1]).tolist(), ends.tolist()))
         least = np.full(len(strings), _LAST)
         np.minimum.at(least, number, about[:, 0])
+        # Strings of one stretch are all different, so where an anchor has a single one, no part has an earlier place.
+        anchor, size = about[_firsts(number), 2], about[_firsts(number), 1]
+        _, of, stretches_of = np.unique(anchor, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(stretches_of[of] > 1)
         # Several smaller indexes, each over all stretches of its anchors, take less memory than one.
-        share = about[_firsts(number), 2] % max(1, sum(map(len, strings)) // INDEX_BYTES)
-        ranked = np.lexsort((least, share))
+        share = anchor % max(1, int(size[several].sum()) // INDEX_BYTES)
+        ranked = several[np.lexsort((least[several], share[several]))]
         found = [np.zeros((0, 3), np.int64)]
         for _, s in _slices(share[ranked]):
             own = ranked[s]

@@ -180,3 +180,37 @@ def test_index_of_more_text_than_is_sorted_in_one_number(monkeypatch):
     packed = [x.tolist() for x in RunIndex(*arguments).first_places()]
     monkeypatch.setattr(run_index, "_FIELD", 5)
     assert [x.tolist() for x in RunIndex(*arguments).first_places()] == packed
+
+
+def test_stretches_without_a_counterpart_are_not_indexed(monkeypatch):
+    drawn = random.Random(13)
+    own = lambda n: "".join(drawn.choice("abcdefghij ") for _ in range(n))
+    whole, passage = own(20_000), own(200)
+    texts = [whole, whole, own(40) + passage + own(40), own(40) + passage + own(40)]
+    names = [suffix_dedup._GROUP, suffix_dedup._ORDER, suffix_dedup._MARK, "text"]
+    group = pa.table([pa.array([0] * 4), pa.array(range(4)), pa.array(range(4)), pa.array(texts)], names)
+    sizes = []
+
+    class Counted(RunIndex):
+        def __init__(self, strings, lengths, length):
+            sizes.append(len(strings))
+            super().__init__(strings, lengths, length)
+
+    monkeypatch.setattr(suffix_dedup, "RunIndex", Counted)
+    answers = suffix_dedup._answered(suffix_dedup.HOT_STRETCHES)(suffix_dedup._told(1, 50)(group))
+    matches = suffix_dedup._matched(50)(suffix_dedup._brought(1, 50)(group, answers))
+    # The copied text is sent, one stretch an anchor, which nothing else can match; only the borders of the passage are indexed.
+    assert sum(sizes) < 2_000
+    removed = suffix_dedup._removed(suffix_dedup._Group(group, 1, 50), pa.concat_tables([answers, matches]))
+    lost = [sum((b - a for a, b in spans.tolist())) for spans in removed]
+    assert lost == [n_removed for _, _, n_removed, _, _ in plain(list(enumerate(texts)))]
+    assert lost[1] == 20_000 and lost[3] >= 200
+
+
+def test_rows_are_alike_in_both_hashes():
+    drawn = np.random.default_rng(14)
+    hashes = drawn.integers(0, 5, (400, 2)).astype(np.uint64)
+    ranked, number = suffix_dedup._alike(hashes)
+    values = sorted({tuple(r) for r in hashes.tolist()})
+    assert number.tolist() == [values.index(tuple(r)) for r in hashes.tolist()]
+    assert ranked.tolist() == sorted(range(400), key=lambda i: (number[i], i))
